@@ -1,0 +1,10 @@
+"""Row-wise operators that also run on a streaming DataFrame.
+
+There is no stateful streaming work in this library. The functions named here use stateless
+built-in expressions only, so ``spark.readStream`` frames can go through them unchanged.
+"""
+
+from tamarack.functions.dates import with_date_parts
+from tamarack.functions.text import with_keyword_flags, with_readability, with_token_stats
+
+__all__ = ["with_date_parts", "with_keyword_flags", "with_readability", "with_token_stats"]
