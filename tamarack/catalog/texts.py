@@ -10,6 +10,7 @@ from tamarack.catalog.registry import TEST_KEYWORDS, Tables, big, query, rounded
 from tamarack.functions.constants import ENTITY_TYPES
 from tamarack.functions.dates import day_name, days_between, with_date_parts
 from tamarack.functions.text import (
+    exploded_terms,
     whitespace_word_count,
     with_keyword_flags,
     with_readability,
@@ -183,7 +184,8 @@ BOOSTERS, DAMPENERS, NEGATIONS = ["the", "der", "le"], ["is", "und", "la"], ["th
 
 def word_valences(t: Tables) -> DataFrame:
     """Words of the benchmark texts with a valence derived from their letters."""
-    words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0))).alias("term"))
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0))
+    words = exploded_terms(t.benchmark, [], found, "term")
     valence = (F.pmod(F.length("term") * 7 + F.ascii("term"), F.lit(9)) - 4).cast("double") / 2
     return words.distinct().withColumn("valence", valence)
 
@@ -236,7 +238,7 @@ def name_list(t: Tables) -> DataFrame:
     spans = F.transform(
         "w", lambda x, i: F.array(x, F.when(i + 1 < F.size("w"), F.concat_ws(" ", x, F.get("w", i + 1))))
     )
-    names = words.select(F.explode(F.flatten(spans)).alias("surface")).where(F.rlike("surface", F.lit(r"^\p{Lu}")))
+    names = exploded_terms(words, [], F.flatten(spans), "surface").where(F.rlike("surface", F.lit(r"^\p{Lu}")))
     types = F.array(*[F.lit(x) for x in ENTITY_TYPES])
     return names.distinct().withColumn("entity_type", F.get(types, F.pmod(F.length("surface"), F.lit(len(ENTITY_TYPES)))))
 

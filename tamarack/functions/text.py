@@ -99,6 +99,15 @@ def ngrams(words: str | Column, sizes: Sequence[int]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def exploded_terms(df: DataFrame, keep: Sequence[str], terms: str | Column, output: str) -> DataFrame:
+    """One row per array element.
+
+    The outer form keeps the optimiser from adding a size filter, which would compute the array
+    a second time.
+    """
+    return df.select(*keep, F.explode_outer(terms).alias(output)).where(F.col(output).isNotNull())
+
+
 def syllables(word: Column) -> Column:
     """Vowel groups less a silent final e, at least one."""
     return F.greatest(

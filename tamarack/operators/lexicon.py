@@ -58,24 +58,22 @@ def with_sentiment(
             F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(BLANK_SPLIT), F.lit(0)), _stripped
         ).alias("_words"),
     )
-    placed = words.where(F.size("_words") > 0).select(
+    facts = words.select(
         id_col,
         (F.exists("_words", _is_caps) & F.exists("_words", lambda w: ~_is_caps(w))).alias("_mixed"),
         F.array_position(F.transform("_words", F.lower), "but").alias("_but"),
-        F.explode(
-            F.transform(
-                "_words",
-                lambda w, i: F.struct(
-                    w.alias("word"),
-                    (i + 1).alias("place"),
-                    *[
-                        F.when(i >= k, F.lower(F.get("_words", i - k))).alias(f"before{k}")
-                        for k in (1, 2, 3)
-                    ],
-                ),
-            )
-        ).alias("_t"),
-    ).select(id_col, "_mixed", "_but", "_t.*", F.lower("_t.word").alias("term"))
+        F.transform(
+            "_words",
+            lambda w, i: F.struct(
+                w.alias("word"),
+                (i + 1).alias("place"),
+                *[F.when(i >= k, F.lower(F.get("_words", i - k))).alias(f"before{k}") for k in (1, 2, 3)],
+            ),
+        ).alias("_places"),
+    )
+    placed = facts.select(id_col, "_mixed", "_but", F.explode_outer("_places").alias("_t")).select(
+        id_col, "_mixed", "_but", "_t.*", F.lower("_t.word").alias("term")
+    )
     hits = lookup_join(placed, lexicon.select("term", "valence"), ["term"], [id_col, "place"])
     value = F.col("valence")
     value = value + F.when(
@@ -139,7 +137,7 @@ def entity_mentions(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame,
         ),
         lambda s: s["surface"].isNotNull(),
     )
-    placed = words.select(id_col, F.inline(spans))
+    placed = words.select(id_col, F.inline_outer(spans)).where(F.col("surface").isNotNull())
     hits = lookup_join(placed, gazetteer.select("surface", "entity_type"), ["surface"], [id_col, "place"])
     longest = W.partitionBy(id_col, "place").orderBy(F.desc("words"), "entity_type")
     earlier = W.partitionBy(id_col).orderBy("place").rowsBetween(W.unboundedPreceding, -1)

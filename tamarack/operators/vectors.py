@@ -10,7 +10,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.functions.text import ngrams, vector_words
+from tamarack.functions.text import exploded_terms, ngrams, vector_words
 from tamarack.session import spread
 
 UNIGRAMS = (1,)
@@ -32,13 +32,13 @@ def term_counts(df: DataFrame, keep: Sequence[str], text: str, sizes: Sequence[i
     slots = df.sparkSession.sparkContext.defaultParallelism
     slots = max(slots, df.rdd.getNumPartitions())
     rows = df.select(*keep, text).repartition(slots, keep[0])
-    exploded = with_terms(rows, text, sizes).select(*keep, F.explode("terms").alias("term"))
+    exploded = exploded_terms(with_terms(rows, text, sizes), keep, "terms", "term")
     return exploded.groupBy(*keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(df: DataFrame, text: str, size: int, sizes: Sequence[int] = UNIGRAMS) -> DataFrame:
     """The ``size`` most frequent terms of the corpus, ties by term: (term, tf)."""
-    terms = with_terms(spread(df.select(text)), text, sizes).select(F.explode("terms").alias("term"))
+    terms = exploded_terms(with_terms(spread(df.select(text)), text, sizes), [], "terms", "term")
     counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
     return counts.orderBy(F.desc("tf"), "term").limit(size)
 
@@ -54,7 +54,7 @@ class TfidfModel:
     terms: list[str] | None
 
     def transform(self, df: DataFrame, output: str = "tfidf") -> DataFrame:
-        counted = self.counter.transform(with_terms(df, self.text, self.sizes, "_terms"))
+        counted = self.counter.transform(with_terms(spread(df), self.text, self.sizes, "_terms"))
         weighted = ElementwiseProduct(scalingVec=self.scale, inputCol="_tf", outputCol="_weighted").transform(counted)
         return Normalizer(p=2.0, inputCol="_weighted", outputCol=output).transform(weighted).drop(
             "_terms", "_tf", "_weighted"
@@ -88,5 +88,5 @@ def vector_entries(df: DataFrame, keep: Sequence[str], vector: str) -> DataFrame
     raw = df.select(*keep, F.unwrap_udt(vector).alias("_v"))
     return raw.select(
         *keep,
-        F.inline(F.arrays_zip(F.col("_v.indices").alias("position"), F.col("_v.values").alias("weight"))),
-    )
+        F.inline_outer(F.arrays_zip(F.col("_v.indices").alias("position"), F.col("_v.values").alias("weight"))),
+    ).where(F.col("position").isNotNull())
