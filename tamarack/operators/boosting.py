@@ -61,20 +61,24 @@ def fit_adaboost(
     depth: int = 1,
     seed: int = 42,
 ) -> BoostedModel:
-    """Reweight the rows after every tree; the weight column is checkpointed every few rounds."""
-    current = df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
-    current = cut_lineage(current.withColumns({"_a": vector_to_array("features"), "_w": F.lit(1.0)}))
+    """Reweight the rows after every tree.
+
+    The weight is an expression over the trees grown since the last checkpoint; every few rounds
+    it is written down, so that neither the expression nor the lineage grows with the rounds.
+    """
+    rows = df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
+    held = cut_lineage(rows.withColumns({"_a": vector_to_array("features"), "_w": F.lit(1.0)}))
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
     trees, weights = [], []
-    held = current.persist(StorageLevel.MEMORY_AND_DISK)
+    factor = F.lit(1.0)
     for turn in range(rounds):
+        current = held.select("label", "features", "_a", (F.col("_w") * factor).alias("_w"))
         learner = DecisionTreeClassifier(
             labelCol="label", featuresCol="features", weightCol="_w", maxDepth=depth, seed=seed + turn
         )
-        tree = learner.fit(held)
-        voted = held.withColumn("_miss", (_vote(tree, "_a") > 0).cast("double") != F.col("label"))
-        sums = voted.agg(
-            F.sum(F.when(F.col("_miss"), F.col("_w")).otherwise(0.0)).alias("bad"), F.sum("_w").alias("all")
-        ).first()
+        tree = learner.fit(current)
+        miss = (_vote(tree, "_a") > 0).cast("double") != F.col("label")
+        sums = current.agg(F.sum(F.when(miss, F.col("_w")).otherwise(0.0)).alias("bad"), F.sum("_w").alias("all")).first()
         error = sums["bad"] / sums["all"]
         if error <= 0:
             trees.append(tree)
@@ -85,18 +89,10 @@ def fit_adaboost(
         weight = learning_rate * math.log((1 - error) / error)
         trees.append(tree)
         weights.append(weight)
-        scale = 1.0 / sums["all"]
-        following = voted.select(
-            "label",
-            "features",
-            "_a",
-            (F.col("_w") * scale * F.when(F.col("_miss"), math.exp(weight)).otherwise(1.0)).alias("_w"),
-        )
+        factor = factor * F.when(miss, math.exp(weight) / sums["all"]).otherwise(1.0 / sums["all"])
         if (turn + 1) % CHECKPOINT_EVERY == 0:
-            following = cut_lineage(following)
-        following = following.persist(StorageLevel.MEMORY_AND_DISK)
-        following.count()
-        held.unpersist()
-        held = following
+            written = cut_lineage(held.withColumn("_w", F.col("_w") * factor)).persist(StorageLevel.MEMORY_AND_DISK)
+            held.unpersist()
+            held, factor = written, F.lit(1.0)
     held.unpersist()
     return BoostedModel(trees, weights)

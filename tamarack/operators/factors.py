@@ -15,11 +15,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.operators.blocks import sum_blocks
 from tamarack.operators.profile import hash_sample
 from tamarack.operators.scaling import fit_scaler
 
 BLOCK_ROWS = 256
-FAN_IN = 32
 
 
 def _sparse_rows(df: DataFrame, vector: str, *keep: str) -> DataFrame:
@@ -42,28 +42,6 @@ def _blocks(pdf: pd.DataFrame, width: int) -> Iterator[tuple[slice, np.ndarray]]
         yield part, _dense_block(indices[part], values[part], width)
 
 
-def _add_up(partials: DataFrame, count: int, shape: tuple[int, int]) -> np.ndarray:
-    """Sum one matrix per input split in a tree of bounded fan-in; the driver adds the last few."""
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(shape)
-        for raw in pdf["m"]:
-            total += np.frombuffer(raw).reshape(shape)
-        return pd.DataFrame({"slot": [int(pdf["slot"].iloc[0])], "m": [total.tobytes()]})
-
-    while count > FAN_IN:
-        count = -(-count // FAN_IN)
-        partials = (
-            partials.withColumn("slot", F.pmod("slot", F.lit(count)))
-            .groupBy("slot")
-            .applyInPandas(merge, "slot int, m binary")
-        )
-    total = np.zeros(shape)
-    for row in partials.select("m").toLocalIterator():
-        total += np.frombuffer(row.m).reshape(shape)
-    return total
-
-
 @dataclass
 class SvdModel:
     """Right singular vectors (features x components) and singular values; no centring."""
@@ -115,8 +93,7 @@ def fit_svd(
                     total += block.T @ (block @ shared.value)
             yield pd.DataFrame({"m": [total.tobytes()]})
 
-        partials = rows.mapInPandas(multiply, "m binary").select(F.spark_partition_id().alias("slot"), "m")
-        return _add_up(partials, splits, (width, size))
+        return sum_blocks(rows.mapInPandas(multiply, "m binary"), splits, (width, size))
 
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, size)))[0]
     for _ in range(power_iterations):

@@ -17,6 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.operators.blocks import sum_blocks
+
 BATCH = 32
 
 
@@ -70,7 +72,7 @@ def fit_sgd(
         (F.col(label).cast("double") * 2 - 1).alias("y"),
         (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    width = len(rows.first()["x"]) + 1
+    width, splits = len(rows.first()["x"]) + 1, rows.rdd.getNumPartitions()
     l1_share = {"l1": 1.0, "l2": 0.0}.get(penalty, l1_ratio)
     state = np.zeros(width)
     done = 0
@@ -93,12 +95,10 @@ def fit_sgd(
                     gradient[:-1] += alpha * ((1 - l1_share) * own[:-1] + l1_share * np.sign(own[:-1]))
                     own = own - gradient * 0.1 / np.sqrt(1 + epoch)
                 seen += len(pdf)
-            yield pd.DataFrame({"n": [seen], "own": [own]})
+            yield pd.DataFrame({"m": [np.append(own * seen, seen).tobytes()]})
 
-        parts = rows.mapInPandas(descend, "n bigint, own array<double>").where("n > 0")
-        total = F.sum("n")
-        mean = parts.agg(*[(F.sum(F.col("n") * F.get("own", F.lit(i))) / total).alias(f"c{i}") for i in range(width)])
-        fresh = np.array(mean.first())
+        total = sum_blocks(rows.mapInPandas(descend, "m binary"), splits, (width + 1,))
+        fresh = total[:-1] / total[-1]
         done = epoch + 1
         moved = np.linalg.norm(fresh - state) / max(np.linalg.norm(state), 1e-12)
         state = fresh

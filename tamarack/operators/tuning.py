@@ -164,6 +164,15 @@ def fold_scores(fit: Callable[[DataFrame], Fitted], folded: DataFrame, fold: int
     return row["f1"], row["balanced_accuracy"]
 
 
+def _in_parallel(frame: DataFrame, run: Callable, tasks: Sequence, parallel: int) -> list:
+    """Submit several Spark jobs at a time from driver threads."""
+    pool = ThreadPool(parallel)
+    try:
+        return pool.map(inheritable_thread_target(frame.sparkSession)(run), tasks, chunksize=1)
+    finally:
+        pool.close()
+
+
 @dataclass
 class SearchResult:
     """Every candidate's fold scores, the best parameters and the refitted model."""
@@ -185,14 +194,9 @@ def random_search(
         StorageLevel.MEMORY_AND_DISK
     )
     tasks = [(c, f) for c in range(candidates) for f in range(folds)]
-    run = inheritable_thread_target(train.sparkSession)(
-        lambda task: (*task, *fold_scores(BUILDERS[name](drawn[task[0]]), folded, task[1]))
+    rows = _in_parallel(
+        train, lambda task: (*task, *fold_scores(BUILDERS[name](drawn[task[0]]), folded, task[1])), tasks, parallel
     )
-    pool = ThreadPool(parallel)
-    try:
-        rows = pool.map(run, tasks, chunksize=1)
-    finally:
-        pool.close()
     f1 = [float(np.mean([r[2] for r in rows if r[0] == c])) for c in range(candidates)]
     winner = int(np.argmax(f1))
     best = BUILDERS[name](drawn[winner])(folded.drop("fold"))
@@ -205,9 +209,11 @@ def random_search(
     return SearchResult(name, table, drawn[winner], f1[winner], best)
 
 
-def cross_validate(fit: Callable[[DataFrame], Fitted], train: DataFrame, folds: int = 5, seed: int = 42) -> list[float]:
+def cross_validate(
+    fit: Callable[[DataFrame], Fitted], train: DataFrame, folds: int = 5, parallel: int = 4, seed: int = 42
+) -> list[float]:
     folded = with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    scores = [fold_scores(fit, folded, f)[0] for f in range(folds)]
+    scores = _in_parallel(train, lambda f: fold_scores(fit, folded, f)[0], range(folds), parallel)
     folded.unpersist()
     return scores
 
@@ -237,6 +243,7 @@ def learning_curve(
     train: DataFrame,
     shares: Sequence[float] = tuple(np.linspace(0.1, 1.0, 10)),
     folds: int = 5,
+    parallel: int = 4,
     seed: int = 42,
 ) -> DataFrame:
     """Training and validation F1, mean and population std over folds, per share of the training rows.
@@ -246,22 +253,30 @@ def learning_curve(
     folded = with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed)
     place = F.pmod(F.xxhash64(F.lit(seed + 1), ID), F.lit(1 << 20)) / float(1 << 20)
     held = folded.withColumn("_place", place).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for share in shares:
-        used, seen, fresh = [], [], []
-        for fold in range(folds):
-            part = held.where((F.col("fold") != fold) & (F.col("_place") < float(share))).select(ID, LABEL, FEATURES)
-            valid = held.where(F.col("fold") == fold).select(ID, LABEL, FEATURES)
-            fitted = fit(part)
-            used.append(part.count())
-            seen.append(metrics.binary_scores(fitted.score(part), LABEL, "prediction").first()["f1"])
-            fresh.append(metrics.binary_scores(fitted.score(valid), LABEL, "prediction").first()["f1"])
-        rows.append(
-            (float(share), float(np.mean(used)), *(float(v) for v in (np.mean(seen), np.std(seen), np.mean(fresh), np.std(fresh))))
+
+    def score(task: tuple[float, int]) -> tuple[float, float, float]:
+        share, fold = task
+        part = held.where((F.col("fold") != fold) & (F.col("_place") < share)).select(ID, LABEL, FEATURES)
+        valid = held.where(F.col("fold") == fold).select(ID, LABEL, FEATURES)
+        fitted = fit(part)
+        seen, fresh = (
+            metrics.binary_scores(fitted.score(rows), LABEL, "prediction").first()["f1"] for rows in (part, valid)
         )
+        return share, seen, fresh
+
+    rows = _in_parallel(train, score, [(float(s), f) for s in shares for f in range(folds)], parallel)
+    counts = held.agg(
+        *[F.count(F.when(F.col("_place") < float(s), 1)).alias(f"c{i}") for i, s in enumerate(shares)]
+    ).first()
     held.unpersist()
+    table = []
+    for i, share in enumerate(shares):
+        seen = [r[1] for r in rows if r[0] == float(share)]
+        fresh = [r[2] for r in rows if r[0] == float(share)]
+        stats = (np.mean(seen), np.std(seen), np.mean(fresh), np.std(fresh))
+        table.append((float(share), counts[i] * (folds - 1) / folds, *map(float, stats)))
     return train.sparkSession.createDataFrame(
-        rows,
+        table,
         "share double, train_rows double, train_f1_mean double, train_f1_std double, "
         "valid_f1_mean double, valid_f1_std double",
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
@@ -16,6 +18,14 @@ RUNTIME_CONF = {
 }
 
 
+def ship_code() -> None:
+    """Send this package's functions to the Python workers inside the tasks.
+
+    Executors then need no copy of the package on their path.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["tamarack"])
+
+
 def get_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; on a cluster use the one you are given."""
     builder = (
@@ -30,6 +40,7 @@ def get_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSes
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
+    ship_code()
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -37,6 +48,7 @@ def get_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSes
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
+    ship_code()
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
