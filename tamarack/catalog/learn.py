@@ -12,6 +12,7 @@ from tamarack.operators import models, tuning
 from tamarack.operators.splitting import train_test_split
 from tamarack.plans.features import FeatureConfig, build_features
 from tamarack.plans.splits import prepare
+from tamarack.session import cut_lineage
 
 
 def feature_config(t: Tables, **changes) -> FeatureConfig:
@@ -30,7 +31,7 @@ def engineered_features(t: Tables) -> DataFrame:
 @query("engineered_splits")
 def engineered_splits(t: Tables) -> DataFrame:
     """Rows and class counts of every variant and split, from the engineered features."""
-    prepared = prepare(engineered_features(t))
+    prepared = prepare(cut_lineage(engineered_features(t)))
     out = None
     for variant, frames in prepared.variants.items():
         for split, frame in zip(("train", "test"), frames):

@@ -143,8 +143,8 @@ def dense_codes(df: DataFrame, value: str, output: str, salt_by: Sequence[str])
 
 def row_index(df: DataFrame, key: str, output: str = "row_index") -> DataFrame:
     """Dense 0-based index by the order of a unique key, computed range by range."""
-    indexed = running_totals(df.withColumn("n", F.lit(1).cast("long")), [], key, ["n"])
-    return indexed.withColumnRenamed("n_before", output).drop("n", "n_total")
+    indexed = running_totals(df.withColumn("_one", F.lit(1).cast("long")), [], key, ["_one"])
+    return indexed.withColumnRenamed("_one_before", output).drop("_one", "_one_total")
 
 
 def pick_by_hash(

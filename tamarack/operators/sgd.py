@@ -1,7 +1,7 @@
 """Linear classifiers by parameter-averaged stochastic gradient descent.
 
-Each epoch every task runs SGD over its own rows and the weights are averaged by row count
-(Zinkevich et al., 2010, "Parallelized Stochastic Gradient Descent"). Spark ML has no
+Each epoch every task runs SGD over its own rows; the means of their weights over the steps are
+averaged by row count (Zinkevich et al., 2010, "Parallelized Stochastic Gradient Descent"). Spark ML has no
 modified-Huber or perceptron loss; this covers them.
 """
 
@@ -80,7 +80,8 @@ def fit_sgd(
         start = state
 
         def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own, seen = start.copy(), 0
+            own, seen, steps = start.copy(), 0, 0
+            path = np.zeros(width)
             order = np.random.default_rng(seed + epoch)
             for pdf in batches:
                 if not len(pdf):
@@ -94,8 +95,10 @@ def fit_sgd(
                     gradient = slope @ x[pick] / len(pick)
                     gradient[:-1] += alpha * ((1 - l1_share) * own[:-1] + l1_share * np.sign(own[:-1]))
                     own = own - gradient * 0.1 / np.sqrt(1 + epoch)
+                    path, steps = path + own, steps + 1
                 seen += len(pdf)
-            yield pd.DataFrame({"m": [np.append(own * seen, seen).tobytes()]})
+            mean = path / steps if steps else own
+            yield pd.DataFrame({"m": [np.append(mean * seen, seen).tobytes()]})
 
         total = sum_blocks(rows.mapInPandas(descend, "m binary"), splits, (width + 1,))
         fresh = total[:-1] / total[-1]

@@ -19,6 +19,7 @@ from tamarack.operators.ordering import percentile_rank
 from tamarack.operators.profile import group_stats
 from tamarack.operators.similarity import pair_cosine
 from tamarack.operators.vectors import TRIGRAMS, UNIGRAMS, fit_tfidf
+from tamarack.session import cut_lineage
 
 ID = "review_id"
 
@@ -51,19 +52,22 @@ def with_review_features(reviews: DataFrame, config: FeatureConfig) -> DataFrame
     return with_date_parts(with_keyword_flags(out, "review_text", config.keywords), "review_date")
 
 
-def with_movie_features(reviews: DataFrame, movies: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_movie_features(reviews: DataFrame, movies: DataFrame, rated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(merged, with statistics): inner join with the movies, then rating statistics per movie.
 
-    The statistics come from all reviews, before the join drops those without a movie.
+    The statistics come from ``rated``, all reviews before the join drops those without a movie.
+    ``merged`` is a hand-off table and the start of every later family: it is written down once.
     """
     timed = movies.withColumn("duration_minutes", duration_strict("duration"))
-    merged = lookup_join(
-        reviews.withColumnRenamed("rating", "rating_x"),
-        timed.withColumnRenamed("rating", "rating_y"),
-        ["movie_id"],
-        [ID],
+    merged = cut_lineage(
+        lookup_join(
+            reviews.withColumnRenamed("rating", "rating_x"),
+            timed.withColumnRenamed("rating", "rating_y"),
+            ["movie_id"],
+            [ID],
+        )
     )
-    stats = group_stats(reviews, ["movie_id"], "rating", "rating")
+    stats = group_stats(rated, ["movie_id"], "rating", "rating")
     joined = lookup_join(merged, stats, ["movie_id"], [ID], "left")
     ranked = percentile_rank(joined, ["movie_id"], "word_count", "review_length_percentile", [ID])
     return merged, ranked.withColumn("days_since_release", days_between("review_date", "release_date"))
@@ -87,7 +91,7 @@ def build_features(reviews: DataFrame, movies: DataFrame, config: FeatureConfig)
     that key once and all families join onto the same partitioning.
     """
     own = with_review_features(reviews, config)
-    merged, final = with_movie_features(own, movies)
+    merged, final = with_movie_features(own, movies, reviews)
     texts = merged.select(ID, "review_text")
     families = [with_readability(texts, "review_text").drop("review_text")]
     if config.gazetteer is not None:

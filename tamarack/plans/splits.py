@@ -59,12 +59,12 @@ def prepare(
     neighbours: int = 4,
     seed: int = 42,
 ) -> Prepared:
-    """Base, smote and smote_pca variants.
+    """Base, smote and smote_pca variants. ``final`` should be a written table: it is read several times.
 
     ``fit_on='train'`` keeps the test rows out of the scaler; ``'all'`` fits it on every row.
     """
     table, names = feature_table(final, id_col, label)
-    raw = assemble(table, names, "_raw").select("row_id", "label", "_raw")
+    raw = cut_lineage(assemble(table, names, "_raw").select("row_id", "label", "_raw"))
     marked = cut_lineage(with_split(raw, "label", "row_id", test_share, seed))
     scaler = fit_scaler(marked if fit_on == "all" else marked.where("split = 'train'"), "_raw")
     scaled = scaler.transform(marked, "_raw", "features").select("row_id", "label", "features", "split")
@@ -86,12 +86,12 @@ def prepare(
         {"base": (train, test), "smote": (grown, test), "smote_pca": (reduce(grown), reduce(test))}, scaler, pca, names
     )
     prepared.metadata = run_metadata(
-        (table.count(), len(final.columns)),
+        (raw.count(), len(final.columns)),
         names,
         pca.components,
         float(np.cumsum(pca.ratios)[pca.components - 1]),
         {
-            "original": value_counts(table, "label"),
+            "original": value_counts(raw, "label"),
             "train": value_counts(train, "label"),
             "train_smote": value_counts(grown, "label"),
             "test": value_counts(test, "label"),
