@@ -12,6 +12,7 @@ from tamarack.functions.text import token_count, with_keyword_flags, with_token_
 from tamarack.operators import clean, correlation, profile
 from tamarack.operators.joins import lookup_join, skew_join
 from tamarack.operators.ordering import dense_codes, exact_quantiles, percentile_rank
+from tamarack.session import spread
 from tamarack.sources.readers import info
 
 TOKENS = r"len(regexp_extract_all(text, '[\p{L}\p{N}_'']+|[^\p{L}\p{N}_''\s]'))"
@@ -35,7 +36,8 @@ LETTERS = r"length(regexp_replace(text, '\s+', '', 'g'))"
     """,
 )
 def toxic_rate_by_length_quartile(t: Tables) -> DataFrame:
-    sized = t.documents.select("doc_id", "source", token_count("text").alias("word_count"))
+    texts = spread(t.documents.select("doc_id", "source", "text"), "doc_id")
+    sized = texts.select("doc_id", "source", token_count("text").alias("word_count"))
     ranked = percentile_rank(sized, ["source"], "word_count", "pct", ["doc_id"])
     out = (
         ranked.join(t.labels, "doc_id")

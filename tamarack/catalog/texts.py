@@ -136,7 +136,7 @@ def top15_tokens(t: Tables) -> DataFrame:
     """,
 )
 def length_percentile(t: Tables) -> DataFrame:
-    sized = with_token_stats(t.documents.select("doc_id", "source", "text"), "text").drop("text")
+    sized = with_token_stats(spread(t.documents.select("doc_id", "source", "text"), "doc_id"), "text").drop("text")
     ranked = percentile_rank(sized, ["source"], "word_count", "pct", ["doc_id"])
     return ranked.select("doc_id", F.round("pct", 6).alias("pct"))
 

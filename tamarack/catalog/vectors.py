@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tamarack.operators.neighbours import knn, knn_classify
 from tamarack.operators.resample import smote
 from tamarack.operators.scaling import class_weights, fit_scaler, standardize_columns
 from tamarack.operators.similarity import pair_cosine
+from tamarack.session import spread
 
 WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 
@@ -43,8 +45,8 @@ def vocab_top_n(t: Tables) -> DataFrame:
     """,
 )
 def tfidf_weights(t: Tables) -> DataFrame:
-    model = vectors.fit_tfidf(t.documents, "text", 5000)
-    entries = vectors.vector_entries(model.transform(t.documents.select("doc_id", "text")), ["doc_id"], "tfidf")
+    model, rows = vectors.fit_transform_tfidf(t.documents, "doc_id", "text", 5000)
+    entries = vectors.vector_entries(rows, ["doc_id"], "tfidf")
     terms = t.spark.createDataFrame(list(enumerate(model.terms)), "position int, term string")
     weights = entries.groupBy("position").agg(
         F.count(F.lit(1)).alias("docs"), F.round(F.sum("weight"), 5).alias("total"), F.round(F.max("weight"), 6).alias("top")
@@ -61,8 +63,9 @@ def tfidf_weights(t: Tables) -> DataFrame:
 )
 def hashed_tf(t: Tables) -> DataFrame:
     """Bucket numbers depend on the hash; the total per text does not."""
-    model = vectors.fit_tfidf(t.documents, "text", 5000, hashing=True)
-    counted = model.counter.transform(vectors.with_terms(t.documents.select("doc_id", "text"), "text", model.sizes, "_terms"))
+    counter = HashingTF(numFeatures=5000, inputCol="_terms", outputCol="_tf")
+    texts = spread(t.documents.select("doc_id", "text"), "doc_id")
+    counted = vectors.counted_terms(texts, "text", vectors.TRIGRAMS, counter)
     total = F.aggregate(F.unwrap_udt("_tf").getField("values"), F.lit(0.0), lambda a, x: a + x)
     return counted.select("doc_id", big(total).alias("terms"))
 
@@ -94,9 +97,8 @@ def pair_cosine_query(t: Tables) -> DataFrame:
 
 
 def _document_vectors(t: Tables, sizes, hashing: bool) -> tuple[DataFrame, int]:
-    texts = t.documents.select("doc_id", "text")
-    model = vectors.fit_tfidf(texts, "text", 5000, sizes, hashing)
-    return model.transform(texts).select("doc_id", "tfidf"), model.scale.size
+    model, rows = vectors.fit_transform_tfidf(t.documents, "doc_id", "text", 5000, sizes, hashing)
+    return rows, model.scale.size
 
 
 @query("svd_features")

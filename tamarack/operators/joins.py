@@ -26,13 +26,18 @@ def hot_keys(df: DataFrame, on: Sequence[str], parts: int | None = None) -> Data
     Fewer than ``parts`` such keys can exist, so the result is safe to broadcast whatever the
     size of ``df``.
     """
-    parts = parts or shuffle_width(df.sparkSession)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    share = F.col("_rows") * F.lit(parts) / total
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    return hot_from_counts(counts, on, "_rows", parts, df.agg(F.count(F.lit(1))).scalar())
+
+
+def hot_from_counts(
+    counts: DataFrame, on: Sequence[str], rows: str, parts: int | None = None, total: Column | None = None
+) -> DataFrame:
+    """The same from a table of row counts per key that is at hand already."""
+    parts = parts or shuffle_width(counts.sparkSession)
+    total = counts.agg(F.sum(rows)).scalar() if total is None else total
     return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*on, share.alias("_share"))
+        counts.select(*on, (F.col(rows) * F.lit(parts) / total).alias("_share"))
         .where(F.col("_share") > 1)
         .select(*on, F.ceil("_share").cast("int").alias("_pieces"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.operators.ordering import running_totals
+from tamarack.session import cut_lineage
 
 
 def _cells(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -75,7 +76,7 @@ def score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.sum(F.when(y == 1, 1).otherwise(0)).alias("pos"), F.sum(F.when(y == 0, 1).otherwise(0)).alias("neg"))
     )
-    return running_totals(counts, [], "score", ["pos", "neg"])
+    return running_totals(cut_lineage(counts), [], "score", ["pos", "neg"])
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:

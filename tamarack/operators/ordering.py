@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamarack.operators.joins import skew_join
-from tamarack.session import shuffle_width
+from tamarack.operators.joins import hot_from_counts, skew_join
+from tamarack.session import cut_lineage, shuffle_width
 
 MAX_RANGES = 512
 
@@ -74,6 +74,11 @@ def running_totals(
     )
 
 
+def written_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The value counts as a written table: the order statistics read them several times."""
+    return cut_lineage(value_counts_by(df, keys, value))
+
+
 def value_counts_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One row per (keys, value) with its row count ``n``; null values are left out."""
     return (
@@ -93,7 +98,7 @@ def exact_quantiles(
 
     A group may hold any number of rows: it is never gathered in one task.
     """
-    ranked = running_totals(value_counts_by(df, keys, value), keys, value, ["n"])
+    ranked = running_totals(written_counts(df, keys, value), keys, value, ["n"])
     aggregates = []
     for name, q in quantiles.items():
         spot = (F.col("n_total") - 1) * F.lit(float(q))
@@ -122,22 +127,22 @@ def percentile_rank(
     Ranks are computed on distinct values and joined back, so a group holding a third of all
     rows costs no more than its number of distinct values.
     """
-    counts = value_counts_by(df, keys, value)
+    counts = written_counts(df, keys, value)
     ranks = running_totals(counts, keys, value, ["n"]).select(
         *keys,
         value,
         ((F.col("n_before") + (F.col("n") + 1) / 2) / F.col("n_total")).alias(output),
     )
-    return skew_join(df, ranks, [*keys, value], salt_by, "left")
+    return skew_join(df, ranks, [*keys, value], salt_by, "left", hot_from_counts(counts, [*keys, value], "n"))
 
 
 def dense_codes(df: DataFrame, value: str, output: str, salt_by: Sequence[str]) -> DataFrame:
     """Code every value by its place among the sorted distinct values; null gets -1."""
-    values = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.lit(1).cast("long").alias("n"))
-    codes = running_totals(values, [], value, ["n"]).select(
+    counts = written_counts(df, [], value)
+    codes = running_totals(counts.select(value, F.lit(1).cast("long").alias("n")), [], value, ["n"]).select(
         value, F.col("n_before").cast("int").alias(output)
     )
-    joined = skew_join(df, codes, [value], salt_by, "left")
+    joined = skew_join(df, codes, [value], salt_by, "left", hot_from_counts(counts, [value], "n"))
     return joined.withColumn(output, F.coalesce(output, F.lit(-1)))
 
 

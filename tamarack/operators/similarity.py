@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.operators.joins import skew_join
+from tamarack.operators.joins import hot_from_counts, skew_join
 from tamarack.operators.vectors import term_counts
-from tamarack.session import shuffle_width
+from tamarack.session import cut_lineage, shuffle_width
 
 
 def pair_cosine(
@@ -22,7 +22,7 @@ def pair_cosine(
     """(id, output) for every row of ``texts`` whose key is among ``items``.
 
     The idf is fitted on both columns of the joined pairs, where an item text counts once per
-    text that refers to it. Items are counted once and weighted by their number of references,
+    text that refers to it. Term counts are written down once and read by every later step. Items are counted once and weighted by their number of references,
     and only the terms a pair shares are multiplied. Frequent terms and items with very many
     texts are cut into pieces for the joins. No shared term, or no term at all, gives 0.
     """
@@ -35,14 +35,17 @@ def pair_cosine(
         .join(item_rows.select(key), key, "left_semi")
     )
     pair_rows = references.agg(F.sum("_refs")).scalar()
-    left = term_counts(texts.where(F.col(key).isNotNull()), [id_col, key], text)
-    right = term_counts(item_rows, [key], item_text).join(references, key)
+    paired = texts.join(references.select(key), key, "left_semi")
+    left = cut_lineage(term_counts(paired, [id_col, key], text))
+    right = cut_lineage(term_counts(item_rows, [key], item_text).join(references, key))
 
-    spread_terms = left.join(references.select(key), key, "left_semi").groupBy("term").agg(
-        F.count(F.lit(1)).alias("_docs")
+    text_terms = left.groupBy("term").agg(F.count(F.lit(1)).alias("_docs"), F.count(F.lit(1)).alias("_rows"))
+    item_terms = right.groupBy("term").agg(F.sum("_refs").alias("_docs"), F.lit(0).cast("bigint").alias("_rows"))
+    frequency = cut_lineage(
+        text_terms.unionAll(item_terms)
+        .groupBy("term")
+        .agg(F.sum("_docs").alias("_docs"), F.sum("_rows").alias("_rows"))
     )
-    item_terms = right.groupBy("term").agg(F.sum("_refs").alias("_docs"))
-    frequency = spread_terms.unionAll(item_terms).groupBy("term").agg(F.sum("_docs").alias("_docs"))
     idf = frequency.select(
         "term", (F.log((2 * pair_rows + 1.0) / (F.col("_docs") + 1.0)) + 1.0).alias("_idf")
     )
@@ -58,7 +61,8 @@ def pair_cosine(
     lengths = item_weights.groupBy(key).agg(F.sqrt(F.sum(F.col("_w2") * F.col("_w2"))).alias("_len2"))
     unit_items = item_weights.join(lengths, key).select(key, "term", (F.col("_w2") / F.col("_len2")).alias("_u2"))
 
-    text_weights = skew_join(left, idf, ["term"], [id_col]).select(
+    hot_terms = hot_from_counts(frequency, ["term"], "_rows")
+    text_weights = skew_join(left, idf, ["term"], [id_col], hot=hot_terms).select(
         id_col, key, "term", (F.col("tf") * F.col("_idf")).alias("_w1")
     )
     hot_items = F.broadcast(hot_items)
@@ -74,5 +78,4 @@ def pair_cosine(
             F.sum(F.col("_w1") * F.coalesce("_u2", F.lit(0.0))), F.sqrt(F.sum(F.col("_w1") * F.col("_w1")))
         ).alias(output)
     )
-    wanted = texts.join(references.select(key), key, "left_semi").select(id_col)
-    return wanted.join(scores, id_col, "left").withColumn(output, F.coalesce(output, F.lit(0.0)))
+    return paired.select(id_col).join(scores, id_col, "left").withColumn(output, F.coalesce(output, F.lit(0.0)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import exploded_terms, ngrams, vector_words
-from tamarack.session import spread
+from tamarack.session import cut_lineage, spread
 
 UNIGRAMS = (1,)
 TRIGRAMS = (1, 2, 3)
@@ -53,24 +53,32 @@ class TfidfModel:
     scale: DenseVector
     terms: list[str] | None
 
-    def transform(self, df: DataFrame, output: str = "tfidf") -> DataFrame:
-        counted = self.counter.transform(with_terms(spread(df), self.text, self.sizes, "_terms"))
+    def weigh(self, counted: DataFrame, output: str = "tfidf") -> DataFrame:
+        """From the count column ``_tf`` to unit-length TF-IDF."""
         weighted = ElementwiseProduct(scalingVec=self.scale, inputCol="_tf", outputCol="_weighted").transform(counted)
-        return Normalizer(p=2.0, inputCol="_weighted", outputCol=output).transform(weighted).drop(
-            "_terms", "_tf", "_weighted"
-        )
+        return Normalizer(p=2.0, inputCol="_weighted", outputCol=output).transform(weighted).drop("_tf", "_weighted")
+
+    def transform(self, df: DataFrame, output: str = "tfidf") -> DataFrame:
+        return self.weigh(counted_terms(spread(df), self.text, self.sizes, self.counter), output)
+
+
+def counted_terms(df: DataFrame, text: str, sizes: Sequence[int], counter: CountVectorizerModel | HashingTF) -> DataFrame:
+    """Add the sparse term counts ``_tf``. Counting happens inside each row on the JVM: no shuffle."""
+    return counter.transform(with_terms(df, text, sizes, "_terms")).drop("_terms")
 
 
-def fit_tfidf(
+def fit_transform_tfidf(
     df: DataFrame,
+    id_col: str,
     text: str,
     max_features: int = 5000,
     sizes: Sequence[int] = TRIGRAMS,
     hashing: bool = False,
-) -> TfidfModel:
-    """Fit TF-IDF. Only the vocabulary (``max_features`` terms) and its idf reach the driver.
+) -> tuple[TfidfModel, DataFrame]:
+    """Fit TF-IDF and vectorise the same texts: the model and (id, tfidf).
 
-    Counting happens inside each row on the JVM, so vectorising a text takes no shuffle.
+    The counts are written down once; the idf and all later passes read the sparse vectors, not
+    the texts. Only the vocabulary (``max_features`` terms) and its idf reach the driver.
     """
     terms = None
     if hashing:
@@ -78,9 +86,11 @@ def fit_tfidf(
     else:
         terms = sorted(r.term for r in vocabulary(df, text, max_features, sizes).collect())
         counter = CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_tf")
-    counted = counter.transform(with_terms(spread(df.select(text)), text, sizes, "_terms")).select("_tf")
+    texts = spread(df.select(id_col, text), id_col)
+    counted = cut_lineage(counted_terms(texts, text, sizes, counter).select(id_col, "_tf"))
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf
-    return TfidfModel(text, tuple(sizes), counter, DenseVector(idf.toArray() + 1.0), terms)
+    model = TfidfModel(text, tuple(sizes), counter, DenseVector(idf.toArray() + 1.0), terms)
+    return model, model.weigh(counted)
 
 
 def vector_entries(df: DataFrame, keep: Sequence[str], vector: str) -> DataFrame:

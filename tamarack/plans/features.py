@@ -18,7 +18,7 @@ from tamarack.operators.lexicon import with_entity_counts, with_sentiment
 from tamarack.operators.ordering import percentile_rank
 from tamarack.operators.profile import group_stats
 from tamarack.operators.similarity import pair_cosine
-from tamarack.operators.vectors import TRIGRAMS, UNIGRAMS, fit_tfidf
+from tamarack.operators.vectors import TRIGRAMS, UNIGRAMS, fit_transform_tfidf
 from tamarack.session import cut_lineage
 
 ID = "review_id"
@@ -76,10 +76,9 @@ def with_movie_features(reviews: DataFrame, movies: DataFrame, rated: DataFrame)
 def vector_features(rows: DataFrame, config: FeatureConfig) -> list[DataFrame]:
     """SVD columns of the n-gram TF-IDF, and topic columns of the unigram TF-IDF, by review id."""
     texts = rows.select(ID, "review_text")
-    tfidf = fit_tfidf(texts, "review_text", config.max_features, TRIGRAMS, config.hashing)
-    vectors = tfidf.transform(texts, "tfidf").select(ID, "tfidf")
+    tfidf, vectors = fit_transform_tfidf(texts, ID, "review_text", config.max_features, TRIGRAMS, config.hashing)
     svd = fit_svd(vectors, "tfidf", tfidf.scale.size, config.components)
-    words = fit_tfidf(texts, "review_text", config.max_features, UNIGRAMS).transform(texts, "tfidf").select(ID, "tfidf")
+    _, words = fit_transform_tfidf(texts, ID, "review_text", config.max_features, UNIGRAMS)
     topics = fit_topics(words, "tfidf", config.topics)
     return [svd.transform(vectors, ID, "tfidf"), topic_features(topics, words, ID)]
 
