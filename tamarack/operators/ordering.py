@@ -48,7 +48,7 @@ def running_totals(
     whole group.
     """
     keys = list(keys)
-    ranges = min(ranges or shuffle_width(distinct.sparkSession), MAX_RANGES)
+    ranges = min(ranges or 4 * shuffle_width(distinct.sparkSession), MAX_RANGES)
     ranged = _with_range(distinct, order, keys, ranges)
     group = W.partitionBy(*keys) if keys else W.partitionBy()
     ahead = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -162,7 +162,8 @@ def pick_by_hash(
 ) -> DataFrame:
     """Mark exactly ``quota`` rows per stratum, those with the smallest hash of (seed, id).
 
-    ``quotas`` has one row per stratum: the strata columns and ``quota``. Returns ``df`` with a
+    ``quotas`` has one row per stratum, a number the caller has bounded: the strata columns and
+    ``quota``, at most the rows of the stratum. Returns ``df`` with a
     boolean ``picked``. The hash histogram finds the one slot per stratum in which the quota
     ends; only the rows of that slot are ordered, and the big table is read without a shuffle.
     """

@@ -66,7 +66,10 @@ def fit_sgd(
     tolerance: float = 1e-3,
     seed: int = 42,
 ) -> LinearModel:
-    """Stop after ``epochs`` or when the averaged weights move less than ``tolerance`` (relative)."""
+    """Steps scale with the mean squared length of the rows, and small inputs take smaller batches.
+
+    Stop after ``epochs`` or when the averaged weights move less than ``tolerance`` (relative).
+    """
     rows = df.select(
         vector_to_array(features).alias("x"),
         (F.col(label).cast("double") * 2 - 1).alias("y"),
@@ -89,12 +92,14 @@ def fit_sgd(
                 x = np.column_stack([np.stack(pdf["x"].to_numpy()), np.ones(len(pdf))])
                 y, w = pdf["y"].to_numpy(), pdf["w"].to_numpy()
                 shuffled = order.permutation(len(pdf))
-                for i in range(0, len(pdf), BATCH):
-                    pick = shuffled[i : i + BATCH]
+                size = max(1, min(BATCH, len(pdf) // 200))
+                rate = 0.5 / (x * x).sum(1).mean() / np.sqrt(1 + epoch)
+                for i in range(0, len(pdf), size):
+                    pick = shuffled[i : i + size]
                     slope = _slope(y[pick] * (x[pick] @ own), loss) * y[pick] * w[pick]
                     gradient = slope @ x[pick] / len(pick)
                     gradient[:-1] += alpha * ((1 - l1_share) * own[:-1] + l1_share * np.sign(own[:-1]))
-                    own = own - gradient * 0.1 / np.sqrt(1 + epoch)
+                    own = own - gradient * rate
                     path, steps = path + own, steps + 1
                 seen += len(pdf)
             mean = path / steps if steps else own
