@@ -63,12 +63,17 @@ def rate_by(df: DataFrame, key: str, label: str) -> DataFrame:
     )
 
 
+def _numbered(df: DataFrame, names: Sequence[str], number: str, name: str) -> DataFrame:
+    """A short fixed list of names as a frame, with their places from 0."""
+    place = F.col("id").cast("int")
+    texts = F.array(*[F.lit(n) for n in names])
+    return df.sparkSession.range(len(names)).select(place.alias(number), F.get(texts, place).alias(name))
+
+
 def lag_bin_rate(df: DataFrame, days: str, label: str) -> DataFrame:
     """Rate and count per release-lag bin, empty bins included, in calendar order."""
     found = rate_by(df.withColumn("lag_bin", lag_bin(days)), "lag_bin", label)
-    every = df.sparkSession.createDataFrame(
-        [(i, label_) for i, (_, _, label_) in enumerate(LAG_BINS)], "bin_order int, lag_bin string"
-    )
+    every = _numbered(df, [name for _, _, name in LAG_BINS], "bin_order", "lag_bin")
     return every.join(found, "lag_bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -207,7 +212,7 @@ def monthly_counts(df: DataFrame, date: str) -> DataFrame:
 def weekday_counts(df: DataFrame, date: str) -> DataFrame:
     """Rows per day of week, Monday first, days without rows as 0."""
     counts = df.groupBy(day_name(date).alias("day_of_week")).agg(F.count(F.lit(1)).alias("n"))
-    week = df.sparkSession.createDataFrame(list(enumerate(WEEKDAYS)), "day_order int, day_of_week string")
+    week = _numbered(df, WEEKDAYS, "day_order", "day_of_week")
     return week.join(counts, "day_of_week", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 

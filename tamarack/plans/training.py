@@ -18,7 +18,7 @@ from tamarack.operators.models import (
 )
 from tamarack.operators.tuning import evaluate_tuned, random_search
 from tamarack.sources.readers import read_split
-from tamarack.sources.writers import save_model, write_leaderboard, write_tuning_result
+from tamarack.sources.writers import save_fitted, write_leaderboard, write_tuning_result
 
 
 @dataclass
@@ -41,7 +41,7 @@ def compare_variants(
 ) -> tuple[DataFrame, DataFrame]:
     """Leaderboards of all variants and the best model of each, written as CSV.
 
-    With ``models`` set, every Spark ML model is saved below that folder.
+    With ``models`` set, every trained model is saved below that folder.
     """
     boards = {}
     for variant in variants:
@@ -49,8 +49,8 @@ def compare_variants(
         boards[variant] = run.board
         write_leaderboard(run.board, f"{reports}/{variant.lower()}/model_comparison")
         for fitted in run.training.fitted:
-            if models and hasattr(fitted.model, "write"):
-                save_model(fitted.model, f"{models}/{variant.lower()}/{fitted.name.replace(' ', '_').lower()}_model")
+            if models:
+                save_fitted(spark, fitted.model, f"{models}/{variant.lower()}/{fitted.name.replace(' ', '_').lower()}_model")
     combined = combine_boards(boards)
     write_leaderboard(combined, f"{reports}/all_model_comparison")
     return combined, best_per_variant(combined)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from typing import Any
+
+import numpy as np
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamarack.functions.dates import parse_date
 from tamarack.functions.parsing import parse_list
+from tamarack.operators.boosting import BoostedModel
 from tamarack.sources import schemas
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
@@ -53,6 +59,22 @@ def read_leaderboard(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.LEADERBOARD)
 
 
+def load_model(spark: SparkSession, path: str) -> Any:
+    """A saved Spark ML model of any class."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)
+
+
+def load_arrays(spark: SparkSession, kind: type, path: str) -> Any:
+    """A model saved by ``save_arrays``; lists of numbers become arrays again."""
+    state = json.loads(spark.read.schema("state string").json(path).first()["state"])
+    return kind(**{k: np.array(v) if isinstance(v, list) else v for k, v in state.items()})
+
+
+def load_boosted(spark: SparkSession, path: str) -> BoostedModel:
+    weights = json.loads(spark.read.schema("state string").json(f"{path}/weights").first()["state"])
+    return BoostedModel([load_model(spark, f"{path}/tree_{i}") for i in range(len(weights))], weights)
+
+
 def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 

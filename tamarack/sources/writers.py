@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from dataclasses import fields, is_dataclass
 
+import numpy as np
 from pyspark.ml import Model, Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamarack.operators.boosting import BoostedModel
 from tamarack.sources.readers import CSV_OPTIONS
 
 
@@ -71,6 +75,34 @@ def save_model(model: Model | Transformer, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_arrays(spark: SparkSession, model: object, path: str) -> None:
+    """Save a model that is a dataclass of arrays, numbers and texts as one JSON row."""
+    state = {f.name: getattr(model, f.name) for f in fields(model)}
+    plain = {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in state.items()}
+    spark.createDataFrame([(json.dumps(plain),)], "state string").coalesce(1).write.mode("overwrite").json(path)
+
+
+def save_boosted(spark: SparkSession, model: BoostedModel, path: str) -> None:
+    """Every tree as a Spark model, and one row with their weights."""
+    for i, tree in enumerate(model.trees):
+        save_model(tree, f"{path}/tree_{i}")
+    row = [(json.dumps(model.weights),)]
+    spark.createDataFrame(row, "state string").coalesce(1).write.mode("overwrite").json(f"{path}/weights")
+
+
+def save_fitted(spark: SparkSession, model: object, path: str) -> bool:
+    """Save any trained classifier; False for one without a model of its own (nearest neighbours)."""
+    if isinstance(model, BoostedModel):
+        save_boosted(spark, model, path)
+    elif isinstance(model, (Model, Transformer)):
+        save_model(model, path)
+    elif is_dataclass(model):
+        save_arrays(spark, model, path)
+    else:
+        return False
+    return True
+
+
 def run_metadata(
     shape: tuple[int, int],
     feature_names: list[str],

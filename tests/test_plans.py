@@ -116,3 +116,43 @@ def test_search_and_failed_model(spark, data):
     assert found.scores.count() == 4 and found.best.name == "Decision Tree"
     broken = models.train_all(train, ["no such model", "Decision Tree"])
     assert list(broken.failed) == ["no such model"] and len(broken.fitted) == 1
+
+
+def test_stages_in_a_spark_pipeline(spark, data):
+    from pyspark.ml import Pipeline
+
+    from tamarack.plans import stages
+
+    t = Tables(spark, data)
+    reviews = reviews_of(t).select("review_id", "movie_id", "review_date", "review_text")
+    plots = movies_of(t).select("movie_id", "plot_summary")
+    chain = Pipeline(
+        stages=[
+            stages.text_stage("review_id", "review_text"), stages.readability_stage("review_text"), stages.date_stage("review_date"),
+            stages.tfidf_stage("review_id", "review_text", 200, 3, use_hashing=True), stages.topic_stage("review_id", "review_text", 2, 200),
+            stages.cosine_stage("review_id", "movie_id", "review_text", plots, "plot_summary", "similarity"),
+        ]
+    )
+    out = chain.fit(reviews).transform(reviews)
+    assert out.count() == reviews.count()
+    assert {"word_count", "smog_index", "review_year", "svd_2", "topic_1", "similarity"} <= set(out.columns)
+
+
+def test_models_load_again(spark, data, tmp_path):
+    from tamarack.operators.scaling import Scaler, fit_scaler
+    from tamarack.operators.sgd import LinearModel
+
+    df = examples(Tables(spark, data)).cache()
+    scaler = fit_scaler(df, "features")
+    writers.save_arrays(spark, scaler, str(tmp_path / "scaler"))
+    assert (readers.load_arrays(spark, Scaler, str(tmp_path / "scaler")).mean == scaler.mean).all()
+    for name in ("Decision Tree", "SGD Classifier"):
+        fitted = models.train(name, df)
+        assert writers.save_fitted(spark, fitted.model, str(tmp_path / name))
+        path = str(tmp_path / name)
+        again = readers.load_model(spark, path) if name == "Decision Tree" else readers.load_arrays(spark, LinearModel, path)
+        want = fitted.model.transform(df).select("row_id", "prediction").orderBy("row_id").collect()
+        assert again.transform(df).select("row_id", "prediction").orderBy("row_id").collect() == want
+    boosted = models.adaboost(df, rounds=3).model
+    writers.save_fitted(spark, boosted, str(tmp_path / "boosted"))
+    assert readers.load_boosted(spark, str(tmp_path / "boosted")).weights == boosted.weights
