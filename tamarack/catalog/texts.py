@@ -221,7 +221,7 @@ def _sentiment_sql() -> str:
         WHEN len(regexp_extract_all(text, '\?')) <= 1 THEN 0 WHEN len(regexp_extract_all(text, '\?')) <= 3
         THEN len(regexp_extract_all(text, '\?')) * 0.18 ELSE 0.96 END AS a FROM documents LEFT JOIN g USING (doc_id)),
     f AS (SELECT doc_id, CAST(s + sign(s) * a AS DOUBLE) AS s FROM e)
-    SELECT doc_id, round(round(s / sqrt(s * s + 15), 4), 3) AS compound FROM f
+    SELECT doc_id, round(s / sqrt(s * s + 15), 4) AS compound FROM f
     """
 
 
@@ -229,7 +229,7 @@ def _sentiment_sql() -> str:
 def lexicon_sentiment(t: Tables) -> DataFrame:
     texts = spread(t.documents.select("doc_id", "text"), "doc_id")
     scored = with_sentiment(texts, "doc_id", "text", word_valences(t), BOOSTERS, DAMPENERS, NEGATIONS)
-    return scored.select("doc_id", F.round("compound_sentiment_score", 3).alias("compound"))
+    return scored.select("doc_id", F.col("compound_sentiment_score").alias("compound"))
 
 
 def name_list(t: Tables) -> DataFrame:

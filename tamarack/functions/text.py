@@ -26,6 +26,11 @@ def _text(column: str | Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+def _letters(text: Column) -> Column:
+    """Number of non-blank characters."""
+    return F.length(F.translate(text, " \t\n\r\f\x0b", ""))
+
+
 def whitespace_word_count(column: str | Column) -> Column:
     return F.regexp_count(_text(column), F.lit(r"\S+"))
 
@@ -45,7 +50,7 @@ def average_token_length(column: str | Column) -> Column:
     """Tokens cover every non-space character, so their total length is the text without spaces."""
     text = _text(column)
     return F.coalesce(
-        F.try_divide(F.length(F.regexp_replace(text, r"\s+", "")), token_count(text)), F.lit(0.0)
+        F.try_divide(_letters(text), token_count(text)), F.lit(0.0)
     )
 
 
@@ -55,7 +60,7 @@ def with_token_stats(df: DataFrame, column: str) -> DataFrame:
         {
             "word_count": token_count(text),
             "num_sentences": sentence_count(text),
-            "_letters": F.length(F.regexp_replace(text, r"\s+", "")),
+            "_letters": _letters(text),
         }
     )
     return counted.withColumn(

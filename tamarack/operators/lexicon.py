@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,13 +13,13 @@ from tamarack.functions import constants as C
 from tamarack.operators.joins import lookup_join
 
 BLANK_SPLIT = r"[^ \t\n\r\f]+"
-EDGE_MARKS = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+EDGE_MARKS = string.punctuation
 NAME_WORD = r"[\p{L}\p{N}_']+"
 
 
 def _stripped(word: Column) -> Column:
     """Drop punctuation at the edges unless that leaves two characters or fewer (emoticons)."""
-    bare = F.regexp_replace(word, EDGE_MARKS, "")
+    bare = F.btrim(word, F.lit(EDGE_MARKS))
     return F.when(F.length(bare) <= 2, word).otherwise(bare)
 
 
@@ -57,22 +58,23 @@ def with_sentiment(
         F.transform(
             F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(BLANK_SPLIT), F.lit(0)), _stripped
         ).alias("_words"),
-    )
+    ).withColumn("_lower", F.transform("_words", F.lower))
     facts = words.select(
         id_col,
         (F.exists("_words", _is_caps) & F.exists("_words", lambda w: ~_is_caps(w))).alias("_mixed"),
-        F.array_position(F.transform("_words", F.lower), "but").alias("_but"),
+        F.array_position("_lower", "but").alias("_but"),
         F.transform(
             "_words",
             lambda w, i: F.struct(
                 w.alias("word"),
+                F.get("_lower", i).alias("term"),
                 (i + 1).alias("place"),
-                *[F.when(i >= k, F.lower(F.get("_words", i - k))).alias(f"before{k}") for k in (1, 2, 3)],
+                *[F.get("_lower", i - k).alias(f"before{k}") for k in (1, 2, 3)],
             ),
         ).alias("_places"),
     )
     placed = facts.select(id_col, "_mixed", "_but", F.explode_outer("_places").alias("_t")).select(
-        id_col, "_mixed", "_but", "_t.*", F.lower("_t.word").alias("term")
+        id_col, "_mixed", "_but", "_t.*"
     )
     hits = lookup_join(placed, lexicon.select("term", "valence"), ["term"], [id_col, "place"])
     value = F.col("valence")
