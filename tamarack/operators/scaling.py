@@ -12,6 +12,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.operators.splitting import class_counts
+
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
     """One vector column; missing numbers become 0."""
@@ -64,10 +66,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def balanced(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    """Add the balanced weight of the row's class; a classifier has few classes, all on the driver."""
-    rows = class_weights(df, label).collect()
-    chain = None
-    for row in rows:
-        hit = F.col(label) == F.lit(row[label])
-        chain = F.when(hit, row["weight"]) if chain is None else chain.when(hit, row["weight"])
-    return df.withColumn(output, chain if chain is not None else F.lit(1.0))
+    """Add the balanced weight of the row's class; the number of classes is bounded by ``class_counts``."""
+    counts = class_counts(df, label)
+    total, chain = sum(counts.values()), F
+    for value, n in counts.items():
+        chain = chain.when(F.col(label) == F.lit(value), total / (len(counts) * n))
+    return df.withColumn(output, chain if counts else F.lit(1.0))
