@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import table
+from tamarack.llm.common import crc_fold, table
 from tamarack.llm.ledger import scan_documents, span_text
+from tamarack.llm.pieces import encode_documents
 from tamarack.llm.sharding import kd_shards
+from tamarack.llm.toxicity import labelled, train_toxicity
 from tamarack.llm.urls import PATTERN_RULES, SITE_RULES, compile_rule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +90,22 @@ def _urls_sql() -> str:
 def op10_rare_token_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL."""
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+@query()
+def op5_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op9_folded_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; learnt from the labels of three quarters of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(labelled(docs, table(spark, sf_dir, "labels")))
+    held_out = crc_fold("doc_id", 4) == 2
+    return model.score(docs).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
