@@ -183,6 +183,7 @@ def shingle_hashes(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[
         value[at] = (whole + int(counts[row])) % 2**64
         keep[at] = True
     number = np.where(counts >= width, counts - width + 1, (counts > 0).astype(np.int64))
+    value += np.uint64(width) * (room >= width)  # as the whole sequence of a row that long has it
     return mix(value[keep]), number
 
 

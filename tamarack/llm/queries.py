@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import crc_fold, table
+from tamarack.llm.containment import mark_leaks
 from tamarack.llm.ledger import scan_documents, span_text
 from tamarack.llm.pieces import encode_documents
 from tamarack.llm.sharding import kd_shards
+from tamarack.llm.topk import top_k
 from tamarack.llm.toxicity import labelled, train_toxicity
 from tamarack.llm.urls import PATTERN_RULES, SITE_RULES, compile_rule, judge_urls
 
@@ -109,3 +111,36 @@ def op9_folded_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score(docs).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+)
+def op6_columnar_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows of every vector whose id is divisible by 20."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents), i AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+    a AS (SELECT DISTINCT item_id, least(len(w), 5) AS n, array_to_string(w[k:k + least(len(w), 5) - 1], ' ') AS g
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS k FROM i)),
+    b AS (SELECT DISTINCT doc_id, n, array_to_string(w[k:k + n - 1], ' ') AS g
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM a))),
+    z AS (SELECT item_id, count(*) AS size FROM a GROUP BY item_id)
+    SELECT doc_id, item_id, CAST(any_value(size) AS INTEGER) AS item_shingles, CAST(count(*) AS INTEGER) AS shared
+    FROM a JOIN b USING (n, g) JOIN z USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 75 * any_value(size)"""
+)
+def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold three quarters or more of a benchmark item's shingles, with the item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("leaks") > 0)
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
