@@ -16,6 +16,7 @@ from tamarack.llm.sharding import kd_shards
 from tamarack.llm.topk import top_k
 from tamarack.llm.toxicity import labelled, train_toxicity
 from tamarack.llm.urls import PATTERN_RULES, SITE_RULES, compile_rule, judge_urls
+from tamarack.llm.wrapper import extract_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,9 +115,9 @@ def op9_folded_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-    s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
         FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
@@ -144,3 +145,10 @@ def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = mark_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("leaks") > 0)
     return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query()
+def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_pages(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
