@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.common import crc_fold, table
 from tamarack.llm.containment import mark_leaks
+from tamarack.llm.katz import katz_scores
 from tamarack.llm.ledger import scan_documents, span_text
 from tamarack.llm.pieces import encode_documents
 from tamarack.llm.sharding import kd_shards
@@ -152,3 +153,10 @@ def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_pages(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under a model of six sevenths of the documents."""
+    held_out = (crc_fold("doc_id", 7) == 2).alias("held_out")
+    return katz_scores(table(spark, sf_dir, "documents").select("doc_id", "text", held_out))
