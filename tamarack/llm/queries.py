@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.common import crc_fold, table
 from tamarack.llm.containment import mark_leaks
+from tamarack.llm.jaccard import near_duplicates
 from tamarack.llm.katz import katz_scores
 from tamarack.llm.ledger import scan_documents, span_text
 from tamarack.llm.pieces import encode_documents
@@ -160,3 +161,9 @@ def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every text under a model of six sevenths of the documents."""
     held_out = (crc_fold("doc_id", 7) == 2).alias("held_out")
     return katz_scores(table(spark, sf_dir, "documents").select("doc_id", "text", held_out))
+
+
+@query()
+def op3_bitmap_tile_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
