@@ -40,6 +40,9 @@ EXCEPTIONS = (
 #: Least likelihood-ratio statistic, and least log odds, of a term; a bound on the terms that reach the executors.
 EVIDENCE, LEAST_WEIGHT, MOST_TERMS = 12.0, 1.5, 100_000
 
+#: Labels up to which they are broadcast to the texts; beyond it the texts are shuffled to them.
+BROADCAST_LABELS = 2_000_000
+
 STEMS = (4, 6)
 _FOLD = str.maketrans(HOMOGLYPHS | DIGITS | {chr(c): " " for c in range(128) if not chr(c).isalnum()})
 _SIGN = re.compile(r"(?<=\w)[@$](?=\w)")
@@ -221,6 +224,7 @@ def train_toxicity(rows: DataFrame, exceptions: Sequence[str] = EXCEPTIONS, fold
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text, toxic and fold of the training rows: those whose crc32(doc_id as text) mod 4 is not 2."""
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = written(known.where(crc_fold("doc_id", 4) != 2), "labels")
     fold = crc_fold("doc_id", 4)
-    joined = docs.select("doc_id", "text").join(known, "doc_id")
+    joined = docs.select("doc_id", "text").join(F.broadcast(known) if known.count() <= BROADCAST_LABELS else known, "doc_id")
     return joined.select("text", "toxic", fold.alias("part")).where("part <> 2").select("text", "toxic", F.least("part", F.lit(2)).alias("fold"))
