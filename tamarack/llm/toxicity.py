@@ -19,6 +19,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamarack.llm.common import crc_fold, written
 
@@ -163,8 +164,7 @@ class ToxicityModel:
     def strengths(docs: DataFrame, lexicons: dict, exceptions: Sequence[str], text: str, fold: str) -> DataFrame:
         keep = [c for c in docs.columns if c not in (fold, "_strength")]
         run = partial(_score_batches, lexicons=lexicons, exceptions=exceptions, keep=keep, column=text, fold=fold)
-        schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-        return docs.mapInArrow(run, f"{schema}, _strength double")
+        return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), T.StructField("_strength", T.DoubleType())]))
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """Add ``score`` in 0..1 to every row. A null or empty text has strength 0. An existing ``score`` is replaced."""
