@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 from tamarack.llm.common import word_hashes, written
 
 #: Counts up to this are discounted; counts reserved per context; tokens sorted at once; tokens per bucket; most rows of a chunk.
-SMALL, RESERVE, CHUNK_TOKENS, BUCKET_TOKENS, CHUNK_ROWS = 5, 0.1, 3_000_000, 4_000_000, 32_768
+SMALL, RESERVE, CHUNK_TOKENS, BUCKET_TOKENS, CHUNK_ROWS = 5, 0.1, 3_000_000, 3_000_000, 32_768
+
+#: Ids below this are short codes of the commonest words as contexts; it shortens what is sent, nothing else.
+CODES = 65_536
 
 #: Fewest buckets, and contexts' buckets.
 LEAST_BUCKETS = 16
@@ -90,7 +93,7 @@ def _tokens(batches: Iterator[pa.RecordBatch], each: int) -> Iterator[tuple[np.n
         doc_ids = np.array(doc_ids.to_pylist(), object)
         for begin, end, hashes, counts in word_hashes(batch.column(1)):
             ids = hashes & MASK
-            ids[ids < 16] += np.uint64(16)
+            ids[ids < CODES] += np.uint64(CODES)
             held.append((ids, counts, doc_ids[begin:end], flags[begin:end]))
             waiting, rows = waiting + len(ids), rows + len(counts)
             if waiting >= each or rows >= CHUNK_ROWS // 2:
@@ -126,11 +129,11 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return unique, np.bincount(place, weights=values, minlength=len(unique))
 
 
-def _add_words(group: pa.Table) -> pa.Table:
+def _add_words(group: pa.Table, most: int) -> pa.Table:
     parts = [_unpack(d.as_py(), "u6", "<u4") for d in group["data"]]
     words, counts = _sum_by(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
     counts = counts.astype(np.int64)
-    top = np.argsort(-counts, kind="stable")[:64]
+    top = np.argsort(-counts, kind="stable")[:most]
     singles = [int((counts == r).sum()) for r in range(1, SMALL + 2)]
     return pa.table(
         {
@@ -182,7 +185,27 @@ def _is_common(words: np.ndarray, common: np.ndarray) -> np.ndarray:
     return common[np.minimum(np.searchsorted(common, words), len(common) - 1)] == words
 
 
-def _bigram_batches(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _coded(words: np.ndarray, coded: np.ndarray) -> np.ndarray:
+    """Common words as codes from 16 to CODES - 1, the place in the sorted ``coded``; the others as they are."""
+    if not len(coded):
+        return words
+    at = np.minimum(np.searchsorted(coded, words), len(coded) - 1)
+    return np.where(coded[at] == words, (at + 16).astype(np.uint64), words)
+
+
+def _pack_contexts(before: np.ndarray) -> list[np.ndarray]:
+    short = before < CODES
+    return [np.packbits(short), before[short].astype(np.uint16), _narrow(before[~short])]
+
+
+def _unpack_contexts(n: int, flags: np.ndarray, short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    is_short = np.unpackbits(flags, count=n).astype(bool)
+    out = np.empty(n, np.uint64)
+    out[is_short], out[~is_short] = short, long
+    return out
+
+
+def _bigram_batches(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray, coded: np.ndarray) -> Iterator[pa.RecordBatch]:
     """All tokens with context and document, sorted, one row per bucket and chunk; and one row per chunk about its documents."""
     context = TaskContext.get()
     number = 0
@@ -190,7 +213,7 @@ def _bigram_batches(batches: Iterator[pa.RecordBatch], buckets: int, common: np.
         for tokens, row, doc_ids, held in _split_rows(whole):
             chunk = (context.partitionId() << 24) + number
             number += 1
-            before = np.concatenate([[BEGIN], tokens[:-1]])
+            before = np.concatenate([[BEGIN], _coded(tokens[:-1], coded)])
             before[1:][row[1:] != row[:-1]] = BEGIN
             spread = np.where(_is_common(tokens, common), tokens ^ (before * np.uint64(0x9E3779B1)), tokens)
             bucket = (spread % np.uint64(buckets)).astype(np.uint32)
@@ -218,8 +241,9 @@ def _bigram_batches(batches: Iterator[pa.RecordBatch], buckets: int, common: np.
                     _pack(
                         _narrow(tokens[mine[heads]]),
                         np.diff(np.append(heads, hi - lo)).astype(np.uint32),
-                        _narrow(before[mine]),
-                        times[lo:hi].astype(np.uint32),
+                        *_pack_contexts(before[mine]),
+                        np.minimum(times[lo:hi], 255).astype(np.uint8),
+                        times[lo:hi][times[lo:hi] >= 255].astype(np.uint32),
                         mark[edges[b] : edges[b + 1]],
                     )
                 )
@@ -255,31 +279,35 @@ def _count_bucket(group: pa.Table, model: WordModel, common: dict[int, int], con
         elif kind == 3:
             out.append((3, 0, chunk, data.as_py()))
         else:
-            blocks.append((chunk, *_unpack(data.as_py(), "u6", "<u4", "u6", "<u4", "<u2")))
+            own, numbers, flags, short, long, times, more, mark = _unpack(data.as_py(), "u6", "<u4", "u1", "<u2", "u6", "u1", "<u4", "<u2")
+            times = times.astype(np.int32)
+            times[times == 255] = more
+            blocks.append((chunk, own, numbers, _unpack_contexts(len(times), flags, short, long), times, mark))
     if not blocks:
         return _rows(out)
-    words, place = np.unique(np.concatenate(known_words), return_index=True)
+    known, place = np.unique(np.concatenate(known_words), return_index=True)
     counts = np.concatenate(known_counts)[place]
-    word = np.concatenate([np.repeat(b[1], b[2]) for b in blocks])
+    words = np.unique(np.concatenate([b[1] for b in blocks]))
+    at = np.minimum(np.searchsorted(known, words), max(0, len(known) - 1))
+    single = np.where(known[at] == words, counts[at], 0) if len(known) else np.zeros(len(words), np.int64)  # count of each word
+    p1 = model.p(single)
+    del known, counts, known_words, known_counts, at, place
+    word = np.concatenate([np.repeat(np.searchsorted(words, b[1]).astype(np.int32), b[2]) for b in blocks])
     before = np.concatenate([b[3] for b in blocks])
-    times = np.concatenate([b[4] for b in blocks]).astype(np.int64)
-    mark = np.concatenate([b[5] for b in blocks])
-    starts = np.cumsum(times) - times
-    trained = np.add.reduceat((mark < CHUNK_ROWS).astype(np.int64), starts)
+    times = np.concatenate([b[4] for b in blocks])
+    trained = np.add.reduceat(np.concatenate([b[5] for b in blocks]) < CHUNK_ROWS, np.cumsum(times) - times, dtype=np.int32)
+    del times
     order = np.lexsort((before, word))
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (word[order][1:] != word[order][:-1]) | (before[order][1:] != before[order][:-1])
-    group_of = np.empty(len(order), np.int64)
-    group_of[order] = np.cumsum(fresh) - 1
+    fresh[1:] = (word[order[1:]] != word[order[:-1]]) | (before[order[1:]] != before[order[:-1]])
+    group_of = np.empty(len(order), np.int32)
+    group_of[order] = np.cumsum(fresh, dtype=np.int32) - 1
     total = np.bincount(group_of, weights=trained).astype(np.int64)
-    at = np.minimum(np.searchsorted(words, word), max(0, len(words) - 1))
-    single = np.where(words[at] == word, counts[at], 0) if len(words) else np.zeros(len(word), np.int64)
-    pair = total[group_of]
-    p1 = model.p(single)
 
     first = order[fresh]
     seen = total > 0
-    own_context, own_total, own_p1 = before[first][seen], total[seen], p1[first][seen]
+    own_context, own_total, own_p1 = before[first[seen]], total[seen], p1[word[first[seen]]]
+    del order, fresh, first, trained, before
     contexts, slot = np.unique(own_context, return_inverse=True)
     if len(contexts):
         sums = [np.bincount(slot, weights=own_total), np.bincount(slot, weights=own_p1)]
@@ -294,22 +322,20 @@ def _count_bucket(group: pa.Table, model: WordModel, common: dict[int, int], con
     out.append((4, 0, 0, _pack(np.array([int((total == r).sum()) for r in range(1, SMALL + 2)], np.int64))))
 
     begin = 0
-    spot = 0
+    end_at = int(np.searchsorted(words, END)) if END in words else -1
     for chunk, _, _, ctx, t, m in blocks:
-        part = slice(begin, begin + len(ctx))
+        own, pair = word[begin : begin + len(ctx)], total[group_of[begin : begin + len(ctx)]]
         begin += len(ctx)
-        t = t.astype(np.int64)
         row = (m & (CHUNK_ROWS - 1)).astype(np.int64)
-        spot += len(m)
-        c1, c2 = np.repeat(single[part], t), np.repeat(pair[part], t)
-        is_word = np.repeat(word[part] != END, t)
+        c1, c2 = np.repeat(single[own], t), np.repeat(pair, t)
+        is_word = np.repeat(own != end_at, t)
         rows, place = np.unique(row, return_inverse=True)
 
         def per_row(values: np.ndarray) -> np.ndarray:
             return np.bincount(place, weights=values, minlength=len(rows))
 
         base = per_row(np.log10(c1 + 1.0))
-        logs = np.where(c2 > SMALL, np.log10(np.maximum(c2, 1)), 0.0) + np.where(c2 == 0, np.log10(np.repeat(p1[part], t)), 0.0)
+        logs = np.where(c2 > SMALL, np.log10(np.maximum(c2, 1)), 0.0) + np.where(c2 == 0, np.log10(np.repeat(p1[own], t)), 0.0)
         logs -= np.where(is_word & (c1 > 0), np.log10(c1 + RESERVE), 0.0)
         classes = [per_row(c2 == r).astype(np.uint32) for r in range(1, SMALL + 1)]
         out.append((2, 0, chunk, _pack(rows.astype(np.uint16), base, per_row(logs), per_row(c1 > 0).astype(np.uint32), *classes)))
@@ -397,8 +423,10 @@ def katz_scores(docs: DataFrame, held_out: str = "held_out", text: str = "text")
     buckets = max(LEAST_BUCKETS, -(-int(size[0]) // (6 * BUCKET_TOKENS)))
     words = rows.mapInArrow(partial(_word_batches, buckets=buckets), "part int, data binary")
 
+    most = max(64, (CODES - 16) // buckets)
+
     def add(group: pa.Table) -> pa.Table:
-        return _add_words(group)
+        return _add_words(group, most)
 
     words = written(
         words.groupBy("part").applyInArrow(
@@ -409,15 +437,17 @@ def katz_scores(docs: DataFrame, held_out: str = "held_out", text: str = "text")
     stats = words.drop("data").collect()  # one short row per bucket
     total, types = sum(r["total"] for r in stats), sum(r["types"] for r in stats)
     model = WordModel(total, types, [sum(r["with_count"][k] for r in stats) for k in range(SMALL + 1)])
+    tops = [(n, w) for r in stats for w, n in zip(r["top_words"], r["top_counts"])]
+    coded = np.array(sorted(w for _, w in sorted(tops, reverse=True)[: CODES - 16]), np.uint64)
     common = {w: n for r in stats for w, n in zip(r["top_words"], r["top_counts"]) if n * buckets * 4 > total}  # under 4 x buckets words
     sent = np.array(sorted(common), np.uint64)
-    parts = rows.mapInArrow(partial(_bigram_batches, buckets=buckets, common=sent), _PART)
+    parts = rows.mapInArrow(partial(_bigram_batches, buckets=buckets, common=sent, coded=coded), _PART)
     parts = parts.unionByName(words.select(F.lit(0).alias("kind"), "part", F.lit(0).cast("long").alias("chunk"), "data"))
 
     def count(group: pa.Table) -> pa.Table:
         return _count_bucket(group, model, common, buckets)
 
-    counted = written(parts.groupBy("part").applyInArrow(count, _PART), "katz-counts")
+    counted = written(parts.groupBy("part").applyInArrow(count, _PART), "katz-counts", compression="zstd")
     found = [_unpack(bytes(r["data"]), "<i8")[0] for r in counted.where("kind = 4").select("data").collect()]  # one short row per bucket
     d = discounts(np.sum(found, axis=0).tolist() if found else [0] * (SMALL + 1))
 
