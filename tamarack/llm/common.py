@@ -171,7 +171,7 @@ def shingle_hashes(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[
     ends = np.cumsum(counts)
     room = np.repeat(ends, counts) - np.arange(n)  # words from here to the end of the row
     value = np.zeros(n, np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         value[: n - k] = value[: n - k] * np.uint64(_BASE) + hashes[k:]
     keep = room >= width
     short = np.flatnonzero((counts > 0) & (counts < width))
