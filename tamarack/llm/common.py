@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tamarack.session import ensure_checkpoint_dir
 
 #: Bytes of text that are hashed at once; bounds the memory of a task, not the length of a text.
-PIECE_BYTES = 2 * 1024 * 1024
+PIECE_BYTES = 512 * 1024
 
 WORD = r"[^\x20\x09-\x0D]+"
 

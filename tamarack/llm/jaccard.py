@@ -19,7 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import list_column, mix, shingle_sets, signed, written
@@ -33,7 +33,10 @@ BANDS, ROWS = 8, 3
 
 #: Shingles counted at once for the order of rarity, least count in them that is noted, and most shingles that are noted at all. The order
 #: decides how much work there is, never the result.
-COUNTED, NOTED, FREQUENT = 2**22, 4, 2**18
+COUNTED, NOTED, FREQUENT = 2**21, 4, 2**18
+
+#: Rare shingles packed at once.
+PACKED = 2**20
 
 #: Classes per block of a tile; bits of the filter for shared shingles; rows up to which class tables are broadcast.
 BLOCK, FILTER_BITS, BROADCAST_ROWS = 2048, 2**26, 2_000_000
@@ -137,7 +140,7 @@ def _shared_batches(
             token, owner = _prefixes(values, sizes, tokens, counts)
             held.append((token, component[row : row + len(sizes)][owner]))
             waiting += len(token)
-            if waiting >= COUNTED:
+            if waiting >= PACKED:
                 yield flush()
                 waiting = 0
     if held:
@@ -160,22 +163,23 @@ def _filter_bits(group: pa.Table, buckets: int, bits: int) -> pa.Table:
     mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
     out = np.zeros(bits, bool)
     out[((token[first][mixed] // np.uint64(buckets)) % np.uint64(bits)).astype(np.int64)] = True
-    return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()), "data": pa.array([np.packbits(out).tobytes()], pa.binary())})
+    return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()), "data": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
 
 
 def _entry_batches(
     batches: Iterator[pa.RecordBatch], width: int, buckets: int, tokens: np.ndarray, counts: np.ndarray, bits: int, kept: dict[int, bytes]
 ) -> Iterator[pa.RecordBatch]:
     """(token, class) of the rare shingles that pass the filter."""
-    table = np.zeros((buckets, bits), bool)
+    table = np.zeros((buckets, bits // 8), np.uint8)
     for part, data in kept.items():
-        table[part] = np.unpackbits(np.frombuffer(data, np.uint8), count=bits).astype(bool)
+        table[part] = np.frombuffer(data, np.uint8)
     for batch in batches:
         classes = batch.column(1).to_numpy()
         for row, values, sizes in shingle_sets(batch.column(0), width):
             token, owner = _prefixes(values, sizes, tokens, counts)
             part = (token % np.uint64(buckets)).astype(np.int64)
-            hit = table[part, ((token // np.uint64(buckets)) % np.uint64(bits)).astype(np.int64)]
+            bit = ((token // np.uint64(buckets)) % np.uint64(bits)).astype(np.int64)
+            hit = (table[part, bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(token[hit])), pa.array(classes[row : row + len(sizes)][owner[hit]])], ["token", "class"]
             )
@@ -390,12 +394,16 @@ class JaccardJoin:
         band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
         live = live.withColumns({"band": band, "block": F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")})
         all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
-        home = F.transform(all_blocks, lambda j: F.struct(F.lit(0).alias("side"), F.col("band").alias("at"), F.col("block").alias("i"), j.alias("j")))
-        away = [
-            F.transform(all_blocks, lambda i, down=down: F.struct(F.lit(1).alias("side"), (F.col("band") - down).alias("at"), i.alias("i"), F.col("block").alias("j")))
-            for down in (0, 1)
-        ]
-        dealt = live.select("token", "class", "component", "n", "band", F.explode(F.concat(home, *away)).alias("t"))
+
+        def role(side: int, down: int) -> Column:
+            def place(other: Column) -> Column:
+                i, j = (other, F.col("block")) if side else (F.col("block"), other)
+                return F.struct(F.lit(side).alias("side"), (F.col("band") - down).alias("at"), i.alias("i"), j.alias("j"))
+
+            return F.transform(all_blocks, place)
+
+        roles = F.concat(role(0, 0), role(1, 0), role(1, 1))  # left in the own band; right for the own band and the one below
+        dealt = live.select("token", "class", "component", "n", "band", F.explode(roles).alias("t"))
         dealt = dealt.select(F.xxhash64("token", "t.at", "t.i", "t.j").alias("tile"), "t.side", "class", "component", "n", "band")
         useful = dealt.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("side").alias("s0"), F.max("side").alias("s1"))
         dealt = dealt.join(useful.where("low < high AND s0 < s1").select("tile"), "tile", "left_semi").join(bitmaps.select("class", "bits"), "class")
