@@ -15,5 +15,5 @@ def docs_of(spark):
 #: Null, empty, blank, short and long texts, and repeated rows.
 ODD = [
     (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "one"), (6, "One two three"), (7, "a " * 60_000), (8, "é" * 70_000),
-    (9, "same text in two rows of the table"), (9, "same text in two rows of the table"), (None, "no id but a text of six words"),
+    (9, "same text in two rows of the table"), (9, "same text in two rows of the table"), (None, "no id but a text of eight words"),
 ]

@@ -59,7 +59,7 @@ def test_components_equal_brute_force(spark, docs_of):
     assert len(got) == len(rows)
     for r in got:
         if r["doc_id"] is None:
-            assert r["n_shingles"] == 3 and r["component_id"] is None
+            assert r["n_shingles"] == 4 and r["component_id"] is None
         else:
             assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]], r
     assert near_duplicates(docs_of([])).count() == 0
