@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # texts differ in length by orders of magnitude: batches are bounded by bytes, so that Python workers stay small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
