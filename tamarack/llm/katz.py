@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tamarack.llm.common import word_hashes, written
 
 #: Counts up to this are discounted; counts reserved per context; tokens sorted at once; tokens per bucket; most rows of a chunk.
-SMALL, RESERVE, CHUNK_TOKENS, BUCKET_TOKENS, CHUNK_ROWS = 5, 0.1, 3_000_000, 3_000_000, 32_768
+SMALL, RESERVE, CHUNK_TOKENS, BUCKET_TOKENS, CHUNK_ROWS = 5, 0.1, 1_500_000, 2_000_000, 32_768
 
 #: Ids below this are short codes of the commonest words as contexts; it shortens what is sent, nothing else.
 CODES = 65_536
