@@ -55,13 +55,13 @@ def reviews_of(t: Tables) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("review_date"),
         F.col("o_custkey").alias("user_id"),
     )
-    summaries = t.conversations.where("turn = 0").groupBy(F.col("conv_id").alias("doc_id")).agg(
-        F.min("text").alias("review_summary")
+    summaries = t.conversations.groupBy(F.col("conv_id").alias("doc_id")).agg(
+        F.min_by("text", F.struct("turn", "text")).alias("review_summary")
     )
     items = t.benchmark.agg(F.count(F.lit(1))).scalar()
     return (
         t.labelled()
-        .join(orders, "doc_id")
+        .join(orders, "doc_id", "left")
         .join(summaries, "doc_id", "left")
         .select(
             F.col("doc_id").alias("review_id"),
@@ -85,12 +85,12 @@ def movies_of(t: Tables) -> DataFrame:
         (F.col("p_retailprice") / 100).alias("rating"),
     )
     dates = t.orders.select(F.col("o_orderkey").alias("item_id"), F.col("o_orderdate").cast("date").alias("release_date"))
-    synopses = t.conversations.where("turn = 1").groupBy(F.col("conv_id").alias("item_id")).agg(
-        F.min("text").alias("plot_synopsis")
+    synopses = t.conversations.groupBy(F.col("conv_id").alias("item_id")).agg(
+        F.max_by("text", F.struct("turn", "text")).alias("plot_synopsis")
     )
     return (
-        t.benchmark.join(parts, "item_id")
-        .join(dates, "item_id")
+        t.benchmark.join(parts, "item_id", "left")
+        .join(dates, "item_id", "left")
         .join(synopses, "item_id", "left")
         .select(
             F.col("item_id").cast("string").alias("movie_id"),

@@ -79,14 +79,14 @@ POINTS_SQL = f"""
 """
 
 
-@query("roc_points", POINTS_SQL + "SELECT score AS threshold, round(fp / ns, 6) AS fpr, round(tp / ps, 6) AS tpr FROM c")
+@query("roc_points", POINTS_SQL + "SELECT score AS threshold, round(fp / ns, 6) AS fpr, round(tp / ps, 6) AS tpr FROM c UNION ALL SELECT CAST('infinity' AS DOUBLE), 0.0, 0.0")
 def roc_points(t: Tables) -> DataFrame:
     return rounded(metrics.roc_curve(scored(t), "label", "score"), 6, "fpr", "tpr")
 
 
 @query(
     "pr_points",
-    POINTS_SQL + "SELECT score AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / ps, 6) AS recall FROM c",
+    POINTS_SQL + "SELECT score AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / ps, 6) AS recall FROM c UNION ALL SELECT NULL, 1.0, 0.0",
 )
 def pr_points(t: Tables) -> DataFrame:
     return rounded(metrics.precision_recall_curve(scored(t), "label", "score"), 6, "precision", "recall")

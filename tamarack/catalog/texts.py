@@ -246,7 +246,7 @@ def name_list(t: Tables) -> DataFrame:
 @query(
     "gazetteer_counts",
     rf"""
-    WITH b AS (SELECT regexp_extract_all(text, '[\p{{L}}\p{{N}}_'']+') AS w FROM benchmark),
+    WITH RECURSIVE b AS (SELECT regexp_extract_all(text, '[\p{{L}}\p{{N}}_'']+') AS w FROM benchmark),
     n AS (SELECT DISTINCT s FROM (SELECT unnest(w) AS s FROM b UNION ALL
         SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM b)
         WHERE regexp_matches(s, '^\p{{Lu}}')),
@@ -257,9 +257,11 @@ def name_list(t: Tables) -> DataFrame:
       UNION ALL SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, 3, w FROM d),
     h AS (SELECT doc_id, p, n, k FROM g JOIN z ON s = array_to_string(w[p:p + n - 1], ' ')),
     l AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY doc_id, p ORDER BY n DESC, k) = 1),
-    m AS (SELECT *, max(p + n) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM l),
+    x AS (SELECT a.doc_id, a.p, a.k, b.p AS q FROM l a ASOF LEFT JOIN l b ON a.doc_id = b.doc_id AND a.p + a.n <= b.p),
+    m AS (SELECT doc_id, p, k, q FROM x QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p) = 1
+      UNION ALL SELECT x.doc_id, x.p, x.k, x.q FROM m JOIN x ON x.doc_id = m.doc_id AND x.p = m.q),
     c AS (SELECT doc_id, {", ".join(f"count(*) FILTER (k = '{e}') AS e{i}" for i, e in enumerate(ENTITY_TYPES))}
-          FROM m WHERE r IS NULL OR r <= p GROUP BY 1)
+          FROM m GROUP BY 1)
     SELECT doc_id, {", ".join(f"CAST(coalesce(e{i}, 0) AS INT) AS entity_{e}" for i, e in enumerate(ENTITY_TYPES))}
     FROM documents LEFT JOIN c USING (doc_id)
     """,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.session import shuffle_width
+from tamarack.session import cut_lineage, shuffle_width
 
 SMALL_ROWS = 100_000
 SMALL_BYTES = 64 * 1024 * 1024
@@ -98,11 +98,17 @@ def lookup_join(
     ``right_is_bounded`` says that the caller built ``right`` with a fixed row bound (a top-n
     vocabulary, one row per feature), which saves the counting job.
     """
+    if not right_is_bounded:
+        right = cut_lineage(right)  # it is counted and joined: compute it once
     if right_is_bounded or fits(right, max_rows):
         return left.join(F.broadcast(right), list(on), how)
     return skew_join(left, right, on, salt_by, how)
 
 
-def null_safe(column: str | Column, default) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(column, F.lit(default))
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which null meets null; the columns of ``left``, then those of ``right`` without the keys."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    condition = F.lit(True)
+    for k in on:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(named, condition, how).drop(*[f"_right_{k}" for k in on])

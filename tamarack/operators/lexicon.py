@@ -111,8 +111,7 @@ def entity_mentions(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame,
     """(id, place, words, entity_type) of every gazetteer surface found in the text.
 
     ``gazetteer`` has the columns surface and entity_type. The longest surface wins at each
-    place, and a mention that begins inside an earlier one is dropped. The windows span one
-    text each.
+    place, and a mention that begins inside an earlier one that was kept is dropped.
     """
     words = df.select(
         id_col,
@@ -141,15 +140,17 @@ def entity_mentions(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame,
     )
     placed = words.select(id_col, F.inline_outer(spans)).where(F.col("surface").isNotNull())
     hits = lookup_join(placed, gazetteer.select("surface", "entity_type"), ["surface"], [id_col, "place"])
-    longest = W.partitionBy(id_col, "place").orderBy(F.desc("words"), "entity_type")
-    earlier = W.partitionBy(id_col).orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    return (
-        hits.withColumn("_rank", F.row_number().over(longest))
-        .where(F.col("_rank") == 1)
-        .withColumn("_reach", F.max(F.col("place") + F.col("words")).over(earlier))
-        .where(F.col("_reach").isNull() | (F.col("_reach") <= F.col("place")))
-        .select(id_col, "place", "words", "entity_type")
-    )
+    hit = F.struct("place", (-F.col("words")).alias("short"), "entity_type")
+    ordered = hits.groupBy(id_col).agg(F.array_sort(F.collect_list(hit)).alias("_hits"))  # the hits of one text
+    start = F.struct(F.lit(0).alias("reach"), F.array().cast(ordered.schema["_hits"].dataType).alias("kept"))
+
+    def step(acc: Column, h: Column) -> Column:
+        kept = F.struct((h["place"] - h["short"]).alias("reach"), F.concat(acc["kept"], F.array(h)).alias("kept"))
+        return F.when(h["place"] >= acc["reach"], kept).otherwise(acc)
+
+    chosen = F.aggregate("_hits", start, step, lambda acc: acc["kept"])
+    flat = ordered.select(id_col, F.explode(chosen).alias("_hit"))
+    return flat.select(id_col, "_hit.place", (-F.col("_hit.short")).alias("words"), "_hit.entity_type")
 
 
 def with_entity_counts(

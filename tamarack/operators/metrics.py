@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,25 +90,29 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score, predicting positive at or above it."""
+    """(threshold, fpr, tpr) for every distinct score, predicting positive at or above it, and (0, 0) at infinity."""
     t = score_totals(df, label, score)
-    return t.select(
+    start = df.sparkSession.createDataFrame([(math.inf, 0.0, 0.0)], "threshold double, fpr double, tpr double")
+    curve = t.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("neg_total") - F.col("neg_before"), F.col("neg_total")).alias("fpr"),
         F.try_divide(F.col("pos_total") - F.col("pos_before"), F.col("pos_total")).alias("tpr"),
     )
+    return start.unionByName(curve)
 
 
 def precision_recall_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, precision, recall) for every distinct score."""
+    """(threshold, precision, recall) for every distinct score, and (1, 0) without a threshold."""
     t = score_totals(df, label, score)
+    last = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
     tp = F.col("pos_total") - F.col("pos_before")
     fp = F.col("neg_total") - F.col("neg_before")
-    return t.select(
+    curve = t.select(
         F.col("score").alias("threshold"),
         F.try_divide(tp, tp + fp).alias("precision"),
         F.try_divide(tp, F.col("pos_total")).alias("recall"),
     )
+    return curve.unionByName(last)
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:

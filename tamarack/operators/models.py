@@ -24,7 +24,6 @@ from tamarack.operators import metrics
 from tamarack.operators.boosting import fit_adaboost
 from tamarack.operators.neighbours import knn_classify
 from tamarack.operators.scaling import balanced
-from tamarack.operators.sgd import fit_sgd
 from tamarack.operators.splitting import class_counts
 
 BOARD_COLUMNS = ["Model", "Accuracy", "Precision", "Recall", "F1-Score", "AUC-ROC", "Training Time"]
@@ -72,15 +71,12 @@ def logistic_regression(frame: DataFrame, c: float = 0.1, iterations: int = 1000
     )(frame)
 
 
-def sgd_classifier(frame: DataFrame, loss: str = "modified_huber") -> Fitted:
-    model = fit_sgd(balanced(frame, LABEL), LABEL, FEATURES, "weight", loss)
-    score = "probability_1" if loss != "perceptron" else "margin"
-
-    def scores(f: DataFrame) -> DataFrame:
-        out = model.transform(f, FEATURES).select(ID, LABEL, "prediction", F.col(score).alias("score"))
-        return out if loss != "perceptron" else metrics.scaled_margin(out, "score", "score")
-
-    return Fitted("", scores, model, loss != "perceptron")
+def sgd_classifier(frame: DataFrame, alpha: float = 1e-4, iterations: int = 1000) -> Fitted:
+    """Stands in for a linear classifier by stochastic descent: Spark's logistic regression with the same L2 penalty."""
+    learner = LogisticRegression(regParam=alpha, elasticNetParam=0.0, standardization=False, maxIter=iterations)
+    fitted = _estimator(learner)(frame)
+    fitted.note = "substitute: Spark logistic regression"
+    return fitted
 
 
 def random_forest(frame: DataFrame) -> Fitted:

@@ -7,32 +7,32 @@ rows of one range of one group are ever sorted together.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamarack.operators.joins import hot_from_counts, skew_join
+from tamarack.operators.joins import fits, hot_from_counts, null_safe_join, skew_join
 from tamarack.session import cut_lineage, shuffle_width
 
-MAX_RANGES = 512
-
-
 def _with_range(df: DataFrame, order: str, keys: Sequence[str], ranges: int) -> DataFrame:
     """Add the range number of every value; the borders are a uniform sample of the distinct values.
 
-    Borders only balance the work: results do not depend on them.
+    Borders only balance the work: results do not depend on them. A value is compared with every
+    n-th border first and then with the n after the last one below it, n the root of their number.
     """
-    borders = (
-        df.select(order, F.xxhash64(*keys, order).alias("_pick"))
-        .orderBy("_pick", order)
-        .limit(ranges)
-        .agg(F.array_sort(F.collect_set(order)))
-        .scalar()
-    )
-    below = F.filter("_borders", lambda b: b < F.col(order))
-    return df.withColumn("_borders", borders).withColumn("_range", F.size(below)).drop("_borders")
+    step = max(1, math.isqrt(ranges))
+    sample = df.select(order, F.xxhash64(*keys, order).alias("_pick")).orderBy("_pick", order).limit(ranges)
+    borders = sample.agg(F.array_sort(F.collect_set(order)).alias("all"))
+    borders = borders.select(
+        F.struct("all", F.filter("all", lambda b, i: F.pmod(i + 1, F.lit(step)) == 0).alias("tops"))
+    ).scalar()
+    above = F.size(F.filter("_borders.tops", lambda b: b < F.col(order))) * step  # whole steps of borders below the value
+    near = F.filter(F.slice("_borders.all", F.col("_above") + 1, F.lit(step)), lambda b: b < F.col(order))
+    found = df.withColumn("_borders", borders).withColumn("_above", above)
+    return found.withColumn("_range", F.col("_above") + F.size(near)).drop("_borders", "_above")
 
 
 def running_totals(
@@ -48,7 +48,7 @@ def running_totals(
     whole group.
     """
     keys = list(keys)
-    ranges = min(ranges or 4 * shuffle_width(distinct.sparkSession), MAX_RANGES)
+    ranges = ranges or 4 * shuffle_width(distinct.sparkSession)
     ranged = _with_range(distinct, order, keys, ranges)
     group = W.partitionBy(*keys) if keys else W.partitionBy()
     ahead = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -65,7 +65,7 @@ def running_totals(
     ranged = ranged.withColumns(
         {f"_inner_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights}
     )
-    joined = ranged.join(offsets, [*keys, "_range"])
+    joined = null_safe_join(ranged, offsets, [*keys, "_range"])
     joined = joined.withColumns(
         {f"{w}_before": F.col(f"_inner_{w}") + F.col(f"_base_{w}") for w in weights}
     )
@@ -162,7 +162,7 @@ def pick_by_hash(
 ) -> DataFrame:
     """Mark exactly ``quota`` rows per stratum, those with the smallest hash of (seed, id).
 
-    ``quotas`` has one row per stratum, a number the caller has bounded: the strata columns and
+    ``quotas`` has one row per stratum, null being one: the strata columns and
     ``quota``, at most the rows of the stratum. Returns ``df`` with a
     boolean ``picked``. The hash histogram finds the one slot per stratum in which the quota
     ends; only the rows of that slot are ordered, and the big table is read without a shuffle.
@@ -173,13 +173,16 @@ def pick_by_hash(
     )
     ahead = W.partitionBy(*strata).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     histogram = hashed.groupBy(*strata, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    quotas_side = F.broadcast(quotas) if fits(quotas) else quotas
+    edges = histogram.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
     edges = (
-        histogram.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
-        .join(F.broadcast(quotas), strata)
+        null_safe_join(edges, quotas_side, strata)
         .where((F.col("_before") < F.col("quota")) & (F.col("quota") <= F.col("_before") + F.col("_n")))
         .select(*strata, F.col("_slot").alias("_edge"), (F.col("quota") - F.col("_before")).alias("_left"))
     )
-    in_edge = hashed.select(*strata, id_col, "_hash", "_slot").join(F.broadcast(edges), strata)
+    edges = cut_lineage(edges)  # one row per stratum
+    few = fits(edges)
+    in_edge = null_safe_join(hashed.select(*strata, id_col, "_hash", "_slot"), F.broadcast(edges) if few else edges, strata)
     place = W.partitionBy(*strata).orderBy("_hash", id_col)
     last = (
         in_edge.where(F.col("_slot") == F.col("_edge"))
@@ -191,7 +194,7 @@ def pick_by_hash(
         (F.col("_hash") == F.col("_last_hash")) & (F.col(id_col) <= F.col("_last_id"))
     )
     return (
-        hashed.join(F.broadcast(last), strata, "left")
+        null_safe_join(hashed, F.broadcast(last) if few else last, strata, "left")
         .withColumn("picked", F.coalesce(below, F.lit(False)))
         .drop("_hash", "_slot", "_last_hash", "_last_id")
     )

@@ -145,7 +145,15 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(exact_quantiles(long, ["feature"], "value", QUARTILES), "feature")
+    found = moments.join(exact_quantiles(long, ["feature"], "value", QUARTILES), "feature")
+    return _with_empty(found, columns)
+
+
+def _with_empty(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column: columns without a single value get a count of 0 and nulls."""
+    names = found.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    out = names.join(found, "feature", "left")
+    return out.withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
 
 
 def describe_string(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -155,9 +163,10 @@ def describe_string(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     summary = counts.groupBy("feature").agg(
         F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), best
     )
-    return summary.select(
+    found = summary.select(
         "feature", "count", "unique", F.col("_best.value").alias("top"), (-F.col("_best.rank")).alias("freq")
     )
+    return _with_empty(found, columns).withColumn("unique", F.coalesce("unique", F.lit(0).cast("bigint")))
 
 
 def describe_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -172,11 +181,12 @@ def describe_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """All columns in one table; statistics that do not apply are null."""
-    number_types = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType)
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, number_types)]
-    dates = [f.name for f in df.schema if isinstance(f.dataType, (T.DateType, T.TimestampType))]
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BooleanType))]
+    """All columns in one table; statistics that do not apply are null. Lists, maps and structs count as their JSON text."""
+    nested = [f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    df = df.withColumns({c: F.to_json(c) for c in nested})
+    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    dates = [f.name for f in df.schema if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    texts = [f.name for f in df.schema if f.name not in (*numeric, *dates)]
     parts = []
     if numeric:
         parts.append(describe_numeric(df, numeric))

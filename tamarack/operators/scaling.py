@@ -12,7 +12,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.operators.splitting import class_counts
+from tamarack.operators.joins import fits
+from tamarack.session import cut_lineage
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -66,9 +67,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def balanced(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    """Add the balanced weight of the row's class; the number of classes is bounded by ``class_counts``."""
-    counts = class_counts(df, label)
-    total, chain = sum(counts.values()), F
-    for value, n in counts.items():
-        chain = chain.when(F.col(label) == F.lit(value), total / (len(counts) * n))
-    return df.withColumn(output, chain if counts else F.lit(1.0))
+    """Add the balanced weight of the row's class, from ``class_weights``; rows without a label get none."""
+    weights = class_weights(df, label).withColumnRenamed("weight", output)
+    rows = df.drop(output)
+    weights = cut_lineage(weights.where(F.col(label).isNotNull()))
+    return rows.join(F.broadcast(weights) if fits(weights) else weights, label, "left").select(*rows.columns, output)

@@ -9,48 +9,40 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.operators import metrics
 from tamarack.operators.boosting import fit_adaboost
 from tamarack.operators.models import FEATURES, ID, LABEL, Fitted, _estimator, nearest_neighbours
-from tamarack.operators.scaling import balanced
-from tamarack.operators.sgd import fit_sgd
 from tamarack.operators.spaces import DEEPEST, sample_space
 from tamarack.operators.splitting import with_folds
 
 
-class LabelScore(Evaluator):
-    """Scores hard predictions by f1, accuracy, precision, recall or balanced_accuracy (Spark ML)."""
-
-    def __init__(self, metric: str = "f1", label: str = LABEL, prediction: str = "prediction") -> None:
-        super().__init__()
-        self.metric, self.label, self.prediction = metric, label, prediction
+def _subset(name: str | None) -> str:
+    return {"sqrt": "sqrt", "log2": "log2"}.get(name, "all")
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        return metrics.binary_scores(dataset, self.label, self.prediction).first()[self.metric]
 
-    def isLargerBetter(self) -> bool:
-        return True
+def _depth(p: dict) -> int:
+    """Spark trees end at ``DEEPEST``; deeper draws, and none, mean that depth."""
+    return min(p["max_depth"] or DEEPEST, DEEPEST)
 
 
-def _subset(name: str | None) -> str:
-    return {"sqrt": "sqrt", "log2": "log2"}.get(name, "all")
+def effective(p: dict) -> dict:
+    """The drawn parameters as Spark uses them."""
+    return p | {"max_depth": _depth(p)} if "max_depth" in p else p
 
 
 def _forest(p: dict) -> Callable[[DataFrame], Fitted]:
     return _estimator(
         RandomForestClassifier(
             numTrees=p["n_estimators"],
-            maxDepth=p["max_depth"] or DEEPEST,
+            maxDepth=_depth(p),
             minInstancesPerNode=p["min_samples_leaf"],
             featureSubsetStrategy=_subset(p["max_features"]),
             bootstrap=p["bootstrap"],
@@ -62,19 +54,32 @@ def _forest(p: dict) -> Callable[[DataFrame], Fitted]:
     )
 
 
-def _boosted(p: dict, least: int, weighted: bool) -> Callable[[DataFrame], Fitted]:
-    return _estimator(
-        GBTClassifier(
-            maxIter=p["n_estimators"],
-            stepSize=p["learning_rate"],
-            maxDepth=p["max_depth"],
-            minInstancesPerNode=least,
-            subsamplingRate=p["subsample"],
-            featureSubsetStrategy=_subset(p.get("max_features")),
-            seed=42,
-        ),
-        weighted=weighted,
+def _boosted(p: dict, least: int, weighted: bool, positive: float = 1.0) -> Callable[[DataFrame], Fitted]:
+    """``positive`` weighs the rows of class 1. A share of columns, and early stopping on a part of the rows, carry over."""
+    share = p.get("colsample_bytree")
+    learner = GBTClassifier(
+        maxIter=p["n_estimators"],
+        stepSize=p["learning_rate"],
+        maxDepth=_depth(p),
+        minInstancesPerNode=least,
+        subsamplingRate=p["subsample"],
+        featureSubsetStrategy=f"{share:.6f}" if share is not None else _subset(p.get("max_features")),
+        seed=42,
     )
+    held = p.get("validation_fraction")
+    if held is not None:
+        learner = learner.setValidationIndicatorCol("_held").setParams(validationTol=p["tol"])
+
+    def fit(frame: DataFrame) -> Fitted:
+        if held is not None:
+            place = F.pmod(F.xxhash64(F.lit(7), ID), F.lit(1 << 20)) / float(1 << 20)
+            frame = frame.withColumn("_held", place < held)
+        if positive == 1.0:
+            return _estimator(learner, weighted)(frame)
+        ready = frame.withColumn("weight", F.when(F.col(LABEL) == 1, float(positive)).otherwise(1.0))
+        return _estimator(learner.setWeightCol("weight"), weighted=False)(ready)
+
+    return fit
 
 
 def _logistic(p: dict) -> Callable[[DataFrame], Fitted]:
@@ -100,17 +105,10 @@ def _svc(p: dict) -> Callable[[DataFrame], Fitted]:
 
 
 def _linear(p: dict) -> Callable[[DataFrame], Fitted]:
-    def fit(frame: DataFrame) -> Fitted:
-        ready = balanced(frame, LABEL) if p["class_weight"] else frame.withColumn("weight", F.lit(1.0))
-        model = fit_sgd(ready, LABEL, FEATURES, "weight", p["loss"], p["penalty"], p["alpha"], p["l1_ratio"])
-
-        def scores(f: DataFrame) -> DataFrame:
-            out = model.transform(f, FEATURES)
-            return metrics.scaled_margin(out.select(ID, LABEL, "prediction", "margin"), "margin", "score").drop("margin")
-
-        return Fitted("", scores, model, p["loss"] != "perceptron")
-
-    return fit
+    """Substitute: Spark's logistic regression with the drawn penalty and strength."""
+    mix = {"l1": 1.0, "l2": 0.0}.get(p["penalty"], p["l1_ratio"])
+    learner = LogisticRegression(regParam=p["alpha"], elasticNetParam=mix, standardization=False, maxIter=p["max_iter"])
+    return _estimator(learner, p["class_weight"] is not None)
 
 
 def _neighbours(p: dict) -> Callable[[DataFrame], Fitted]:
@@ -131,9 +129,14 @@ def _boost(p: dict) -> Callable[[DataFrame], Fitted]:
 
 
 def _tree(p: dict) -> Callable[[DataFrame], Fitted]:
+    """A forest of one tree on all rows, which knows the feature subset per split."""
     return _estimator(
-        DecisionTreeClassifier(
-            maxDepth=p["max_depth"] or DEEPEST,
+        RandomForestClassifier(
+            numTrees=1,
+            bootstrap=False,
+            subsamplingRate=1.0,
+            featureSubsetStrategy=_subset(p["max_features"]),
+            maxDepth=_depth(p),
             minInstancesPerNode=p["min_samples_leaf"],
             impurity=p["criterion"],
             seed=42,
@@ -147,7 +150,7 @@ BUILDERS: dict[str, Callable[[dict], Callable[[DataFrame], Fitted]]] = {
     "SGD Classifier": _linear,
     "Random Forest": _forest,
     "K-Nearest Neighbors": _neighbours,
-    "XGBoost": lambda p: _boosted(p, p["min_child_weight"], p["scale_pos_weight"] > 1),
+    "XGBoost": lambda p: _boosted(p, p["min_child_weight"], False, p["scale_pos_weight"]),
     "LightGBM": lambda p: _boosted(p, p["min_child_samples"], p["class_weight"] is not None),
     "Gradient Boosting": lambda p: _boosted(p, p["min_samples_leaf"], False),
     "AdaBoost": _boost,
@@ -194,17 +197,26 @@ def random_search(
         StorageLevel.MEMORY_AND_DISK
     )
     tasks = [(c, f) for c in range(candidates) for f in range(folds)]
-    rows = _in_parallel(
-        train, lambda task: (*task, *fold_scores(BUILDERS[name](drawn[task[0]]), folded, task[1])), tasks, parallel
-    )
-    f1 = [float(np.mean([r[2] for r in rows if r[0] == c])) for c in range(candidates)]
+
+    def score(task: tuple[int, int]) -> tuple:
+        try:
+            return (*task, *fold_scores(BUILDERS[name](drawn[task[0]]), folded, task[1]), None)
+        except Exception as error:  # a candidate that cannot be fitted is noted and loses; the search goes on
+            return (*task, None, None, str(error).split("\n")[0][:500])
+
+    rows = _in_parallel(train, score, tasks, parallel)
+    if all(r[4] for r in rows):
+        folded.unpersist()
+        raise RuntimeError(f"no candidate of {name} could be fitted: {rows[0][4]}")
+    whole = {c for c in range(candidates) if not any(r[4] for r in rows if r[0] == c)}
+    f1 = [float(np.mean([r[2] for r in rows if r[0] == c])) if c in whole else -1.0 for c in range(candidates)]
     winner = int(np.argmax(f1))
     best = BUILDERS[name](drawn[winner])(folded.drop("fold"))
     best.name = name
     folded.unpersist()
     table = train.sparkSession.createDataFrame(
-        [(c, str(drawn[c]), f, float(a), float(b)) for c, f, a, b in rows],
-        "candidate int, params string, fold int, f1 double, roc_auc double",
+        [(c, str(effective(drawn[c])), f, a, b, e) for c, f, a, b, e in rows],
+        "candidate int, params string, fold int, f1 double, roc_auc double, error string",
     )
     return SearchResult(name, table, drawn[winner], f1[winner], best)
 
@@ -219,12 +231,12 @@ def cross_validate(
 
 
 def evaluate_tuned(
-    name: str, params: dict, train: DataFrame, test: DataFrame, data_type: str, folds: int = 5
+    name: str, params: dict, train: DataFrame, test: DataFrame, data_type: str, folds: int = 5, fitted: Fitted | None = None
 ) -> dict:
     """Cross-validated F1 mean and population std, test F1 and test AUC (None without probabilities)."""
     fit = BUILDERS[name](params)
     cv = cross_validate(fit, train, folds)
-    fitted = fit(train.select(ID, LABEL, FEATURES))
+    fitted = fitted or fit(train.select(ID, LABEL, FEATURES))
     scored = fitted.score(test.select(ID, LABEL, FEATURES))
     auc = metrics.roc_auc(scored, LABEL, "score").first()["auc"] if fitted.has_probability else None
     return {

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import exploded_terms, ngrams, vector_words
-from tamarack.session import cut_lineage, spread
+from tamarack.session import cut_lineage, shuffle_width, spread
 
 UNIGRAMS = (1,)
 TRIGRAMS = (1, 2, 3)
@@ -29,8 +29,8 @@ def term_counts(df: DataFrame, keep: Sequence[str], text: str, sizes: Sequence[i
     further shuffle, and texts are smaller than their exploded terms.
     """
     keep = list(keep)
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    slots = max(slots, df.rdd.getNumPartitions())
+    spark = df.sparkSession
+    slots = max(spark.sparkContext.defaultParallelism, shuffle_width(spark))
     rows = df.select(*keep, text).repartition(slots, keep[0])
     exploded = exploded_terms(with_terms(rows, text, sizes), keep, "terms", "term")
     return exploded.groupBy(*keep, "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -16,7 +16,7 @@ from tamarack.operators.models import (
     train_all,
     vote_of_best,
 )
-from tamarack.operators.tuning import evaluate_tuned, random_search
+from tamarack.operators.tuning import BUILDERS, evaluate_tuned, learning_curve, random_search
 from tamarack.sources.readers import read_split
 from tamarack.sources.writers import save_fitted, write_leaderboard, write_tuning_result
 
@@ -58,14 +58,20 @@ def compare_variants(
 
 def tune(
     spark: SparkSession, name: str, splits: str, reports: str, variants: Sequence[str] = ("BASE", "SMOTE", "SMOTE_PCA"),
-    candidates: int = 100, folds: int = 5,
+    candidates: int = 100, folds: int = 5, models: str | None = None,
 ) -> dict[str, dict]:
-    """Random search and evaluation per variant; results go to JSON."""
+    """Random search, evaluation and learning curve per variant; results go to JSON and CSV.
+
+    With ``models`` set, the best model of every variant is saved below that folder.
+    """
     results = {}
     for variant in variants:
         train, test = read_split(spark, splits, variant, "train"), read_split(spark, splits, variant, "test")
         found = random_search(name, train, candidates, folds)
-        results[variant] = evaluate_tuned(name, found.best_params, train, test, variant, folds)
-        slug = name.replace(" ", "_").lower()
-        write_tuning_result(spark, results[variant], f"{reports}/{slug}_{variant.lower()}")
+        results[variant] = evaluate_tuned(name, found.best_params, train, test, variant, folds, found.best)
+        slug = f"{name.replace(' ', '_').lower()}_{variant.lower()}"
+        write_tuning_result(spark, results[variant], f"{reports}/{slug}")
+        write_leaderboard(learning_curve(BUILDERS[name](found.best_params), train, folds=folds), f"{reports}/{slug}_curve")
+        if models:
+            save_fitted(spark, found.best.model, f"{models}/{slug}")
     return results

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -76,18 +77,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder, so that lost executors cost no recompute."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the frame as Parquet to the shared folder and read it back.
+
+    Lost executors then cost no recompute, and later readers decode only the columns they use.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tamarack-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _bytes(value: str) -> int:
+    """A size setting such as 128MB or 16m in bytes."""
+    number = value.strip().lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:], 0)
+    return int(number[:-1] if unit else number) << unit
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition by ``keys`` only when the input has fewer splits than the cluster has slots.
 
-    Text work is CPU bound: a file that arrives as one split would keep one core busy. Inputs
-    that already have enough splits pass through without a shuffle.
+    Text work is CPU bound: a file that arrives as one split would keep one core busy. The splits
+    are estimated from the plan's size; nothing is executed.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys)
+    split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df if size >= slots * split else df.repartition(slots, *keys)

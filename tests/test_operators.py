@@ -8,12 +8,11 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tamarack.operators import clean, correlation, factors, lexicon, metrics, models, ordering, profile, splitting
+from tamarack.operators import clean, correlation, factors, lexicon, metrics, models, ordering, profile, splitting, tuning
 from tamarack.operators.joins import fits, hot_keys, lookup_join, skew_join
 from tamarack.operators.neighbours import knn
 from tamarack.operators.resample import smote, synthetic_rows
 from tamarack.operators.scaling import balanced, fit_scaler, standardize_columns
-from tamarack.operators.sgd import fit_sgd
 from tamarack.operators.spaces import SPACES, sample_space
 
 
@@ -107,7 +106,8 @@ def test_population_scaling(spark):
 
 
 def test_split_sizes_and_repeatability(spark):
-    assert splitting.largest_remainder({0: 422522, 1: 150856}, math.ceil(573378 * 0.2)) == {0: 84505, 1: 30171}
+    counts = spark.createDataFrame([(0, 422522), (1, 150856)], "y int, n bigint")
+    assert rows(splitting.largest_remainder(counts, "y", math.ceil(573378 * 0.2)), "y") == [(0, 84505), (1, 30171)]
     df = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
     train, test = splitting.train_test_split(df, "y", "id")
     assert train.count() == 800 and test.count() == 200
@@ -248,11 +248,26 @@ def test_adaboost_learns(spark):
     assert models.board_row(fitted, df).first()["AUC-ROC"] > 0.9
 
 
-def test_sgd_losses(spark):
-    df = balanced(_blobs(spark), "label").cache()
-    for loss in ("log_loss", "perceptron"):
-        out = fit_sgd(df, weight="weight", loss=loss, penalty="elasticnet").transform(df)
-        assert metrics.binary_scores(out, "label", "prediction").first()["accuracy"] > 0.8
+def test_every_draw_builds_and_deep_or_failing_candidates_do_not_end_a_search(spark, monkeypatch):
+    for name in SPACES:
+        for drawn in sample_space(name, 100):
+            assert tuning.BUILDERS[name](drawn) and (tuning.effective(drawn).get("max_depth") or 0) <= 30
+    df = _blobs(spark).cache()
+    deep = {"n_estimators": 3, "max_depth": 49, "min_samples_leaf": 1, "max_features": None, "bootstrap": True, "criterion": "gini",
+            "max_samples": 0.9, "class_weight": None}
+    assert metrics.binary_scores(tuning.BUILDERS["Random Forest"](deep)(df).score(df), "label", "prediction").first()["f1"] > 0.8
+    monkeypatch.setattr(tuning, "sample_space", lambda *a: [deep, deep | {"min_samples_leaf": -1}])
+    found = tuning.random_search("Random Forest", df, candidates=2, folds=2)
+    noted = {r["candidate"]: r["error"] for r in found.scores.collect()}
+    assert noted[0] is None and noted[1] and found.best_params == deep
+    assert all("'max_depth': 30" in r["params"] for r in found.scores.collect())
+
+
+def test_positive_weights_reach_the_learner(spark):
+    boost = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 0.7, "min_child_weight": 1}
+    df = _blobs(spark).select("row_id", "label", array_to_vector(F.array(F.rand(3))).alias("features")).cache()
+    share = [tuning.BUILDERS["XGBoost"](boost | {"scale_pos_weight": w})(df).score(df).agg(F.avg("score")).first()[0] for w in (1, 5, 10)]
+    assert share[0] < share[1] < share[2]
 
 
 def test_vote_uses_members_with_probability_only(spark):
@@ -269,3 +284,43 @@ def test_search_spaces_are_repeatable():
         assert drawn == sample_space(name, 5) and len(drawn) == 5
     depths = [d["max_depth"] for d in sample_space("Decision Tree", 200)]
     assert None in depths and all(d is None or 5 <= d < 50 for d in depths)
+
+
+def test_a_dropped_mention_blocks_nothing(spark):
+    names = spark.createDataFrame([("A B", "X"), ("B C D", "Y"), ("D E", "Z")], "surface string, entity_type string")
+    df = spark.createDataFrame([(1, "A B C D E"), (2, "B C D E"), (3, None)], "i int, t string")
+    got = lexicon.entity_mentions(df, "i", F.col("t"), names).orderBy("i", "place").collect()
+    assert [tuple(r) for r in got] == [(1, 1, 2, "X"), (1, 4, 2, "Z"), (2, 1, 3, "Y")]
+
+
+def test_describe_keeps_every_column(spark):
+    df = spark.createDataFrame(
+        [(None, 1, [1], None), (None, 2, [1], None)], "a double, b byte, c array<int>, d string"
+    ).withColumn("e", F.lit("1.5").cast("decimal(5,2)"))
+    got = {r["feature"]: r for r in profile.describe(df).collect()}
+    assert set(got) == set("abcde")
+    assert (got["a"]["count"], got["d"]["count"], got["d"]["unique"], got["b"]["mean"], got["e"]["max"]) == (0, 0, 0, 1.5, 1.5)
+    assert (got["c"]["top"], got["c"]["freq"]) == ("[1]", 2)
+
+
+def test_null_labels_are_a_class_of_the_split(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") < 10, None).otherwise(F.col("id") % 3).alias("y"))
+    train, test = splitting.train_test_split(df, "y", "id", 0.2)
+    assert (train.count(), test.count(), test.where("y IS NULL").count()) == (80, 20, 2)
+    folded = splitting.with_folds(df, "y", "id", 5)
+    assert sorted(r["count"] for r in folded.where("y IS NULL").groupBy("fold").count().collect()) == [2] * 5
+
+
+def test_many_classes_and_many_ranges(spark):
+    df = spark.range(30000).select("id", (F.col("id") % 12000).alias("y"))
+    picked = splitting.stratified_pick(df, "y", "id", 6000).where("picked")
+    assert picked.count() == 6000
+    totals = ordering.running_totals(df.select("id", F.lit(1).cast("long").alias("n")), [], "id", ["n"], ranges=1500)
+    assert totals.where("n_before <> id").count() == 0 and totals.count() == 30000
+
+
+def test_curves_have_their_end_points(spark):
+    df = spark.createDataFrame([(0, 0.1), (1, 0.4), (0, 0.35), (1, 0.8)], "y int, s double")
+    roc = {(r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, "y", "s").collect()}
+    assert {(0.0, 0.0), (1.0, 1.0)} <= roc and len(roc) == 5
+    assert (1.0, 0.0) in {(r["precision"], r["recall"]) for r in metrics.precision_recall_curve(df, "y", "s").collect()}

@@ -105,7 +105,8 @@ def test_splits_training_and_tuning(spark, final, tmp_path):
     assert os.path.isdir(tmp_path / "models" / "base" / "decision_tree_model")
     board = readers.read_leaderboard(spark, str(tmp_path / "reports" / "base" / "model_comparison"))
     assert {r["Model"] for r in board.collect()} == {"Decision Tree", "Logistic Regression"}
-    tune(spark, "Decision Tree", str(tmp_path / "splits"), str(tmp_path / "tuned"), ["BASE"], candidates=1, folds=2)
+    tune(spark, "Decision Tree", str(tmp_path / "splits"), str(tmp_path / "tuned"), ["BASE"], candidates=1, folds=2, models=str(tmp_path / "best"))
+    assert os.path.isdir(tmp_path / "best" / "decision_tree_base") and os.path.isdir(tmp_path / "tuned" / "decision_tree_base_curve")
     saved = spark.read.json(str(tmp_path / "tuned" / "decision_tree_base")).first()
     assert saved["data_type"] == "BASE" and saved["best_params"]["criterion"] in ("gini", "entropy")
 
@@ -140,7 +141,6 @@ def test_stages_in_a_spark_pipeline(spark, data):
 
 def test_models_load_again(spark, data, tmp_path):
     from tamarack.operators.scaling import Scaler, fit_scaler
-    from tamarack.operators.sgd import LinearModel
 
     df = examples(Tables(spark, data)).cache()
     scaler = fit_scaler(df, "features")
@@ -149,8 +149,7 @@ def test_models_load_again(spark, data, tmp_path):
     for name in ("Decision Tree", "SGD Classifier"):
         fitted = models.train(name, df)
         assert writers.save_fitted(spark, fitted.model, str(tmp_path / name))
-        path = str(tmp_path / name)
-        again = readers.load_model(spark, path) if name == "Decision Tree" else readers.load_arrays(spark, LinearModel, path)
+        again = readers.load_model(spark, str(tmp_path / name))
         want = fitted.model.transform(df).select("row_id", "prediction").orderBy("row_id").collect()
         assert again.transform(df).select("row_id", "prediction").orderBy("row_id").collect() == want
     boosted = models.adaboost(df, rounds=3).model
