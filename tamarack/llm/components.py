@@ -13,6 +13,10 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for all nodes of the undirected ``edges``; a component is named by its smallest node.
 
@@ -20,15 +24,16 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     are written, and end when the edges are stars around the smallest nodes.
     """
     edges = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    edges, before = written(edges, "edges"), None
-    while True:
+    edges = written(edges, "edges")
+    before = _state(edges)
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.join(_least(large), "u")
         small = down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
         edges = written(small.where("u <> v").distinct(), "edges")
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before or not state[0]:
+        state = _state(edges)
+        if state == before:
             break
         before = state
     tops = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))

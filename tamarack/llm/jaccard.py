@@ -8,6 +8,7 @@
    tile, bitmaps are compared: bits in which two differ are shingles that only one has, so their number bounds the overlap from
    above. What passes, between different components, goes to exact intersection of the sorted arrays.
 4. Tiles first give the best partner of each class in each other component, then, with the components joined, all that is left.
+   A shingle of a few classes only needs no tile: its pairs of fitting size are told apart first and compared once each.
 
 No pair above the threshold can be missed; no pair within a component is ever formed.
 """
@@ -38,6 +39,9 @@ COUNTED, NOTED, FREQUENT = 2**21, 4, 2**18
 #: Rare shingles packed at once.
 PACKED = 2**20
 
+#: Lists of classes up to this are compared without a tile.
+SHORT = 16
+
 #: Classes per block of a tile; bits of the filter for shared shingles; rows up to which class tables are broadcast.
 BLOCK, FILTER_BITS, BROADCAST_ROWS = 2048, 2**26, 2_000_000
 
@@ -169,19 +173,19 @@ def _filter_bits(group: pa.Table, buckets: int, bits: int) -> pa.Table:
 def _entry_batches(
     batches: Iterator[pa.RecordBatch], width: int, buckets: int, tokens: np.ndarray, counts: np.ndarray, bits: int, kept: dict[int, bytes]
 ) -> Iterator[pa.RecordBatch]:
-    """(token, class) of the rare shingles that pass the filter."""
+    """(token, class, component, n) of the rare shingles that pass the filter."""
     table = np.zeros((buckets, bits // 8), np.uint8)
     for part, data in kept.items():
         table[part] = np.frombuffer(data, np.uint8)
     for batch in batches:
-        classes = batch.column(1).to_numpy()
         for row, values, sizes in shingle_sets(batch.column(0), width):
             token, owner = _prefixes(values, sizes, tokens, counts)
             part = (token % np.uint64(buckets)).astype(np.int64)
             bit = ((token // np.uint64(buckets)) % np.uint64(bits)).astype(np.int64)
             hit = (table[part, bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+            whose = pa.array(row + owner[hit])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(token[hit])), pa.array(classes[row : row + len(sizes)][owner[hit]])], ["token", "class"]
+                [pa.array(signed(token[hit])), *(batch.column(k).take(whose) for k in (1, 2, 3))], ["token", "class", "component", "n"]
             )
 
 
@@ -233,6 +237,18 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs with sizes and bitmaps: those whose bitmaps let them through."""
+    for batch in batches:
+        keep = []
+        for n, left, right in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4)):
+            a, b = left.as_py(), right.as_py()
+            width = min(len(a), len(b)) * 8
+            apart = int(np.bitwise_count(_fold(a, width) ^ _fold(b, width)).sum())
+            keep.append((100 + PERCENT) * (n - apart) >= 2 * PERCENT * n)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _fold(raw: bytes, width: int) -> np.ndarray:
     bits = np.frombuffer(raw, np.uint8)
     while len(bits) * 8 > width:
@@ -369,8 +385,8 @@ class JaccardJoin:
         return written(out.select("class", "n", F.coalesce("component", "class").alias("component")), "components")
 
     def entries(self, labelled: DataFrame) -> DataFrame:
-        """(token, class) for the rare shingles that classes of different components hold."""
-        texts = self._texts(labelled.select("class", "component"), "class", self.n_classes)
+        """(token, class, component, n) for the rare shingles that classes of different components hold."""
+        texts = self._texts(labelled.select("class", "component", "n"), "class", self.n_classes)
         sent = {"width": self.width, "buckets": self.buckets, "tokens": self.tokens, "counts": self.counts}
         shared = texts.mapInArrow(partial(_shared_batches, **sent), "part int, data binary")
         buckets, bits = self.buckets, self.bits
@@ -379,20 +395,51 @@ class JaccardJoin:
             return _filter_bits(group, buckets, bits)
 
         kept = {r["part"]: bytes(r["data"]) for r in shared.groupBy("part").applyInArrow(group_bits, "part int, data binary").collect()}
-        texts = texts.select("text", "class")
-        return written(texts.mapInArrow(partial(_entry_batches, **sent, bits=bits, kept=kept), "token long, class long").distinct(), "entries")
+        run = partial(_entry_batches, **sent, bits=bits, kept=kept)
+        return written(texts.mapInArrow(run, "token long, class long, component long, n long"), "entries")
 
-    def tiles(self, entries: DataFrame, labelled: DataFrame, bitmaps: DataFrame, best: bool) -> DataFrame:
-        """Pairs of classes of different components that pass the bitmaps."""
-        rows = entries.join(labelled, "class")
+    def lists(self, entries: DataFrame) -> DataFrame:
+        """(token, held): one shingle for each distinct list of classes that spans components; equal lists give equal pairs."""
         size = F.count(F.lit(1)).alias("held")
         low, high = F.min("component").alias("low"), F.max("component").alias("high")
         mark, more = F.bit_xor(F.xxhash64("class")).alias("mark"), F.sum(F.shiftrightunsigned(F.xxhash64("class", F.lit(7)), 32)).alias("more")
-        lists = rows.groupBy("token").agg(size, low, high, mark, more).where("low < high")
-        lists = lists.groupBy("held", "low", "high", "mark", "more").agg(F.min("token").alias("token"))  # equal lists give equal pairs
-        live = rows.join(lists.select("token", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")), "token")
+        lists = entries.groupBy("token").agg(size, low, high, mark, more).where("low < high")
+        return lists.groupBy("held", "low", "high", "mark", "more").agg(F.min("token").alias("token")).select("token", "held")
+
+    def short_pairs(self, entries: DataFrame, lists: DataFrame) -> DataFrame:
+        """Pairs of different components and fitting size from the lists of at most ``SHORT`` classes."""
+        rows = entries.join(lists.where(F.col("held") <= SHORT).select("token"), "token")
+        held = rows.groupBy("token").agg(F.collect_set(F.struct("class", "component", "n")).alias("held"))
+
+        def fits(x: Column, y: Column) -> Column:
+            sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * PERCENT
+            return (x["class"] > y["class"]) & (x["component"] != y["component"]) & sizes
+
+        def partners(x: Column) -> Column:
+            return F.transform(
+                F.filter("held", lambda y: fits(x, y)),
+                lambda y: F.struct(x["class"].alias("a"), y["class"].alias("b"), (x["n"] + y["n"]).alias("both")),
+            )
+
+        return held.select(F.explode(F.flatten(F.transform("held", partners))).alias("pair")).select("pair.*").distinct()
+
+    def bitmaps(self, classes: DataFrame) -> DataFrame:
+        texts = self._texts(classes.distinct(), "class", self.n_classes)
+        found = texts.mapInArrow(partial(_bitmap_batches, width=self.width), "class long, n long, bits binary")
+        return written(found.dropDuplicates(["class"]), "bitmaps")
+
+    def near(self, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b, both) that pass the bitmaps."""
+        left = bitmaps.select(F.col("class").alias("a"), F.col("bits").alias("left"))
+        right = bitmaps.select(F.col("class").alias("b"), F.col("bits").alias("right"))
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "both", "left", "right")
+        return joined.mapInArrow(_near_batches, "a long, b long")
+
+    def tiles(self, rows: DataFrame, bitmaps: DataFrame, best: bool) -> DataFrame:
+        """Pairs of classes of different components that pass the bitmaps, from (token, held, class, component, n)."""
         band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
-        live = live.withColumns({"band": band, "block": F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")})
+        live = rows.withColumns({"band": band, "blocks": F.ceil(F.col("held") / BLOCK).cast("int")})
+        live = live.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
         all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
 
         def role(side: int, down: int) -> Column:
@@ -409,20 +456,27 @@ class JaccardJoin:
         dealt = dealt.join(useful.where("low < high AND s0 < s1").select("tile"), "tile", "left_semi").join(bitmaps.select("class", "bits"), "class")
         dealt = dealt.select("tile", "side", "class", "component", "n", "band", "bits")
         sorted_ = dealt.repartition("tile").sortWithinPartitions("tile")
-        return written(sorted_.mapInArrow(partial(_tile_batches, best=best), "a long, b long").distinct(), "tiles")
+        return sorted_.mapInArrow(partial(_tile_batches, best=best), "a long, b long")
 
     def run(self) -> DataFrame:
         """doc_id, n_shingles and component_id of every document."""
         links = self.confirm(self.likely())
         labelled = self.components(links)
         entries = self.entries(labelled)
-        involved = entries.select("class").distinct()
-        texts = self._texts(involved, "class", self.n_classes)
-        bitmaps = written(texts.mapInArrow(partial(_bitmap_batches, width=self.width), "class long, n long, bits binary").dropDuplicates(["class"]), "bitmaps")
+        lists = written(self.lists(entries), "lists")
+        pairs = written(self.short_pairs(entries, lists), "pairs")
+        large = entries.join(lists.where(F.col("held") > SHORT), "token").select("token", "held", "class", "component", "n")
+        large = written(large.distinct(), "large")
+        met = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+        bitmaps = self.bitmaps(met.unionByName(large.select("class")))
         for best in (True, False):
-            more = self.confirm(self.tiles(entries, labelled, bitmaps, best))
-            links = links.unionByName(more)
-            labelled = self.components(links)
+            found = self.tiles(large, bitmaps, best)
+            found = self.near(pairs, bitmaps).unionByName(found) if best else found
+            more = self.confirm(written(found.distinct(), "near"))
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                labelled = self.components(links)
+                large = large.drop("component").join(labelled.select("class", "component"), "class")
         named = self.classes.join(labelled.select("class", "component"), "class").select("h1", "h2", "n", "component")
         out = self.rows.join(named, ["h1", "h2", "n"], "left")
         own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
