@@ -336,9 +336,8 @@ class JaccardJoin:
         first = written(self.docs.mapInArrow(partial(_first_pass, width=width), schema), "shingles")
         self.rows = first.where("kind = 0").select("doc_id", "n", "h1", "h2")
         sets = first.where("kind = 0 AND n > 0 AND doc_id IS NOT NULL")
-        classes = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class"))
+        classes = sets.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class"), F.first("bands").alias("bands"))
         self.classes = written(classes, "classes")
-        self.bands = sets.select(F.col("doc_id").alias("class"), "bands")
         frequent = first.where("kind = 1").groupBy("token").agg(F.sum("count").alias("count"))
         top = frequent.orderBy(F.desc("count"), "token").limit(FREQUENT).toArrow()
         tokens = top["token"].to_numpy().view(np.uint64)
@@ -371,8 +370,7 @@ class JaccardJoin:
 
     def likely(self) -> DataFrame:
         """One partner for each class, the smallest class of the MinHash bucket they share most often."""
-        keyed = self.bands.join(self.classes.select("class"), "class", "left_semi").dropDuplicates(["class"])
-        keyed = keyed.select("class", F.posexplode("bands").alias("band", "key"))
+        keyed = self.classes.select("class", F.posexplode("bands").alias("band", "key"))
         hubs = keyed.groupBy("band", "key").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("held")).where("held > 1")
         met = keyed.join(hubs, ["band", "key"]).where("hub <> class").groupBy("class", "hub").agg(F.count(F.lit(1)).alias("times"))
         best = met.groupBy("class").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
