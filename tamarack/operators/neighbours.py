@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +51,7 @@ def _closest(queries: pd.DataFrame, base: pd.DataFrame, k: int, metric: str, ski
     a, b = np.stack(queries["_f"].to_numpy()), np.stack(base["_f"].to_numpy())
     ids, payload = base["neighbour_id"].to_numpy(), base["payload"].to_numpy()
     rough = distances(a, b, metric)
+    bound = queries["bound"].fillna(np.inf).to_numpy()
     scale = 1.0 + np.sqrt((a * a).sum(1).max()) + np.sqrt((b * b).sum(1).max())
     found = []
     for i, query_id in enumerate(queries["query_id"].to_numpy()):
@@ -59,9 +60,9 @@ def _closest(queries: pd.DataFrame, base: pd.DataFrame, k: int, metric: str, ski
             row = np.where(ids == query_id, np.inf, row)
         want = min(k, len(row))
         limit = np.partition(row, want - 1)[want - 1]
-        near = np.nonzero((row <= limit + 1e-6 * scale) & np.isfinite(row))[0]
+        near = np.nonzero((row <= min(limit, bound[i]) + 1e-6 * scale) & np.isfinite(row))[0]
         exact = _rowwise(a[i], b[near], metric)
-        best = np.lexsort((ids[near], exact))[:want]
+        best = np.lexsort((ids[near], exact))[:want]  # none where all rows lie beyond the bound
         found.append((np.repeat(query_id, len(best)), ids[near][best], exact[best], payload[near][best]))
     return pd.DataFrame({c: np.concatenate([f[j] for f in found]) for j, c in enumerate(columns)})
 
@@ -87,8 +88,10 @@ def knn(
     """(query_id, neighbour_id, distance, payload, rank) with the k closest base rows per query.
 
     ``features`` is an array<double> column of both frames; ids are integers; ``payload`` is a
-    numeric base column to carry along, such as the label. Only the pivots (at most 256 rows)
-    and one row of statistics per cell reach the driver.
+    numeric base column to carry along, such as the label. ``pivots`` is the number of cells, by
+    default an eighth of the root of the base rows; only the pivots and one row of statistics per
+    cell reach the driver. Queries are taken in pieces of their home cell, and a block of base
+    rows is sent only to the pieces some query of which must look into its cell.
     """
     base_rows = base.select(
         F.col(base_id).alias("neighbour_id"),
@@ -96,8 +99,7 @@ def knn(
         (F.col(payload) if payload else F.lit(0)).cast("double").alias("payload"),
     )
     query_rows = queries.select(F.col(query_id).alias("query_id"), F.col(features).cast("array<double>").alias("_f"))
-    n_queries, n_base = query_rows.count(), base_rows.count()
-    count = pivots or max(1, min(256, int(n_base**0.5) // 8))
+    count = pivots or max(1, int(base_rows.count() ** 0.5) // 8)
     picked = base_rows.orderBy(F.xxhash64("neighbour_id"), "neighbour_id").limit(count).select("_f").collect()
     if not picked:
         return query_rows.select("query_id").where("false").withColumns(
@@ -120,41 +122,46 @@ def knn(
         F.count(F.lit(1)).alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")
     ).collect()
     stats = {r["cell"]: (r["n"], r["inner"], r["outer"]) for r in cells}
-    pieces = {c: -(-n // block) for c, (n, _, _) in stats.items()}
-    query_pieces = max(1, -(-n_queries // block))
+    located = assigned(query_rows)
+    asked = {r["cell"]: r["count"] for r in located.groupBy("cell").count().collect()}
 
-    def piece_count(cell: str):
-        return F.element_at(F.lit([pieces.get(c, 0) for c in range(len(centres))]), F.col(cell) + 1)
+    def pieces(counts: dict[int, int], cell: str) -> Column:
+        """Pieces of at most about ``block`` rows, 0 for an empty cell."""
+        return F.element_at(F.lit([-(-counts.get(c, 0) // block) for c in range(len(centres))]), F.col(cell) + 1)
 
     base_blocks = celled.select(
         "cell",
-        F.pmod(F.xxhash64("neighbour_id"), F.greatest(piece_count("cell"), F.lit(1))).cast("int").alias("piece"),
+        F.pmod(F.xxhash64("neighbour_id"), pieces({c: n for c, (n, _, _) in stats.items()}, "cell")).cast("int").alias("piece"),
         "neighbour_id",
         "_f",
         "payload",
-    ).withColumn("query_piece", F.explode(F.sequence(F.lit(0), F.lit(query_pieces - 1))))
+    )
+    part = F.pmod(F.xxhash64("query_id"), pieces(asked, "cell")).cast("int")
+    home = located.select("query_id", "_f", F.col("cell").alias("home"), part.alias("part"))
 
     def search(routed: DataFrame) -> DataFrame:
-        """``routed`` has query_id, _f and the cell to look into."""
-        sent = (
-            routed.withColumn("_pieces", piece_count("cell"))
-            .where(F.col("_pieces") > 0)
-            .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-            .withColumn("query_piece", F.pmod(F.xxhash64("query_id"), F.lit(query_pieces)).cast("int"))
-        )
-        block_key = ["cell", "piece", "query_piece"]
+        """``routed`` has query_id, _f, home, part, bound and the cells to look into; it is read twice."""
+        held = {c: n for c, (n, _, _) in stats.items()}
+
+        def visits(*columns: str) -> DataFrame:
+            looked = routed.select(*columns, "home", "part", F.explode("cells").alias("cell"))
+            looked = looked.withColumn("_pieces", pieces(held, "cell")).where(F.col("_pieces") > 0)
+            return looked.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
+
+        block_key = ["cell", "piece", "home", "part"]
+        wanted = visits().select(*[F.col(c).alias(f"_{c}") for c in block_key]).distinct().toDF(*block_key)
         return (
-            sent.select(*block_key, "query_id", "_f")
+            visits("query_id", "_f", "bound")
             .groupBy(*block_key)
-            .cogroup(base_blocks.groupBy(*block_key))
+            .cogroup(base_blocks.join(wanted, ["cell", "piece"]).groupBy(*block_key))
             .applyInPandas(
                 lambda q, b: _closest(q, b, k, metric, skip_self),
                 "query_id bigint, neighbour_id bigint, distance double, payload double",
             )
         )
 
-    home = assigned(query_rows)
-    first = cut_lineage(_top(search(home.select("query_id", "_f", "cell")), k))
+    own_cell = home.withColumns({"cells": F.array("home"), "bound": F.lit(None).cast("double")})
+    first = cut_lineage(_top(search(own_cell), k))
     bound = first.groupBy("query_id").agg(
         F.max(F.when(F.col("rank") == k, F.col("distance"))).alias("bound")
     )
@@ -167,7 +174,7 @@ def knn(
             if not len(pdf):
                 continue
             gap = distances(np.stack(pdf["_f"].to_numpy()), centres, metric)
-            own = pdf["cell"].to_numpy()
+            own = pdf["home"].to_numpy()
             least = np.maximum(np.maximum(gap - outer, inner - gap), 0.0)
             if metric == "euclidean":
                 own_gap = gap[np.arange(len(pdf)), own][:, None]
@@ -177,16 +184,11 @@ def knn(
             limit = pdf["bound"].fillna(np.inf).to_numpy()[:, None]
             go = least <= limit * (1 + SLACK) + 1e-6
             go[np.arange(len(pdf)), own] = False
-            yield pd.DataFrame(
-                {"query_id": pdf["query_id"], "_f": pdf["_f"], "cells": [np.nonzero(g)[0].astype("int32") for g in go]}
-            )
+            yield pdf.assign(cells=[np.nonzero(g)[0].astype("int32") for g in go])
 
-    routed = (
-        home.join(bound, "query_id", "left")
-        .select("query_id", "_f", "cell", "bound")
-        .mapInPandas(route, "query_id bigint, _f array<double>, cells array<int>")
-        .select("query_id", "_f", F.explode("cells").alias("cell"))
-    )
+    routed = home.join(bound, "query_id", "left").select("query_id", "_f", "home", "part", "bound")
+    schema = T.StructType([*routed.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    routed = cut_lineage(routed.mapInPandas(route, schema))
     return _top(first.drop("rank").unionByName(search(routed)), k)
 
 

@@ -9,6 +9,7 @@ from tamarack.operators.joins import skew_join
 from tamarack.operators.neighbours import knn
 from tamarack.operators.ordering import row_index
 from tamarack.operators.splitting import class_counts
+from tamarack.session import cut_lineage
 
 
 def synthetic_rows(
@@ -25,6 +26,7 @@ def synthetic_rows(
     near = knn(rows, rows, neighbours, "base_id", "base_id", "_x", skip_self=True).select(
         F.col("query_id").alias("base_id"), "neighbour_id", "rank"
     )
+    near = cut_lineage(near)  # the join below reads its left side more than once
     indexed = row_index(rows.select("base_id"), "base_id")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total * neighbours))
     draws = spark.range(needed).select(
