@@ -40,7 +40,7 @@ COUNTED, NOTED, FREQUENT = 2**21, 4, 2**18
 PACKED = 2**20
 
 #: Lists of classes up to this are compared without a tile.
-SHORT = 16
+SHORT = 64
 
 #: Classes per block of a tile; bits of the filter for shared shingles; rows up to which class tables are broadcast.
 BLOCK, FILTER_BITS, BROADCAST_ROWS = 2048, 2**26, 2_000_000
