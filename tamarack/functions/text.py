@@ -46,14 +46,6 @@ def sentence_count(column: str | Column) -> Column:
     return F.when(has_token, F.greatest(F.lit(1), F.regexp_count(text, F.lit(SENTENCE_END)))).otherwise(0)
 
 
-def average_token_length(column: str | Column) -> Column:
-    """Tokens cover every non-space character, so their total length is the text without spaces."""
-    text = _text(column)
-    return F.coalesce(
-        F.try_divide(_letters(text), token_count(text)), F.lit(0.0)
-    )
-
-
 def with_token_stats(df: DataFrame, column: str) -> DataFrame:
     text = _text(column)
     counted = df.withColumns(

@@ -67,7 +67,3 @@ def encode_strings(df: DataFrame, id_col: str, columns: Sequence[str] | None = N
         df = dense_codes(df, column, f"_code_{column}", [id_col]).drop(column)
         df = df.withColumnRenamed(f"_code_{column}", column)
     return df
-
-
-def select_features(df: DataFrame, drop: Sequence[str] = NON_FEATURES) -> DataFrame:
-    return df.drop(*drop)

@@ -347,11 +347,6 @@ def clip_to_quantile(df: DataFrame, column: str, q: float = 0.95) -> DataFrame:
     return df.where((F.col(column) >= 0) & (F.col(column) <= top))
 
 
-def approximate_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000) -> DataFrame:
-    """One-pass sketch for tables where the exact quantile is not worth a shuffle."""
-    return df.agg(F.percentile_approx(column, q, accuracy).alias("quantile"))
-
-
 def activity_counts(df: DataFrame, user: str) -> DataFrame:
     """Rows per user."""
     return value_counts(df, user)

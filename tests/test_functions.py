@@ -69,7 +69,7 @@ def test_readability_formulas(spark):
 
 
 def test_row_functions_run_on_streams(spark, tmp_path):
-    from tamarack.streaming import with_keyword_flags, with_token_stats
+    from tamarack.functions.text import with_keyword_flags, with_token_stats
 
     spark.createDataFrame([(1, "a secret"), (2, "none here")], "i int, t string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("i int, t string").parquet(str(tmp_path / "in"))
