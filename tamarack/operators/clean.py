@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarack.functions.constants import NON_FEATURES
 from tamarack.operators.ordering import dense_codes
 
 

@@ -6,7 +6,6 @@ import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tamarack.functions import constants as C

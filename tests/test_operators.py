@@ -12,7 +12,7 @@ from tamarack.operators import clean, correlation, factors, lexicon, metrics, mo
 from tamarack.operators.joins import fits, hot_keys, lookup_join, skew_join
 from tamarack.operators.neighbours import knn
 from tamarack.operators.resample import smote, synthetic_rows
-from tamarack.operators.scaling import balanced, fit_scaler, standardize_columns
+from tamarack.operators.scaling import fit_scaler, standardize_columns
 from tamarack.operators.spaces import SPACES, sample_space
 
 
