@@ -32,7 +32,17 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: lost executors cost no recompute, and later reads prune columns."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path, **options)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables from :func:`written` that no later step reads, so that the shared folder holds what is in use only."""
+    for frame in frames:
+        if place := getattr(frame, "written_to", None):
+            path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

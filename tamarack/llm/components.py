@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import written
+from tamarack.llm.common import discard, written
 
 #: Edges (16 bytes each) that one task handles.
 FEW = 50_000
@@ -28,7 +28,7 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     spares the shuffles; the steps and the result are the same.
     """
     edges = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    edges = written(edges, "edges")
+    source = edges = written(edges, "edges")
     before = _state(edges)
     while before[0]:
         if before[0] <= FEW:
@@ -39,7 +39,9 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
         down = large.join(_least(large), "u")
         small = down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
         small = small.coalesce(1) if before[0] <= FEW else small
-        edges = written(small.where("u <> v").distinct(), "edges")
+        last, edges = source, written(small.where("u <> v").distinct(), "edges")
+        source = edges
+        discard(last)
         state = _state(edges)
         if state == before:
             break

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import list_column, mix, shingle_sets, signed, written
+from tamarack.llm.common import discard, list_column, mix, shingle_sets, signed, written
 from tamarack.llm.components import connected
 
 #: Words per shingle; links ask for 100 * intersection >= 75 * union.
@@ -360,7 +360,7 @@ class JaccardJoin:
         """The pairs (a, b) of classes that exact intersection links. ``pairs`` is written."""
         n = pairs.count()
         if not n:
-            return pairs
+            return self.spark.createDataFrame([], "a long, b long")
         run = partial(_array_batches, width=self.width)
         left = self._texts(pairs, "a", n).mapInArrow(run, "a long, b long, shingles binary")
         hubs = pairs.select(F.col("b").alias("hub")).distinct()
@@ -464,17 +464,21 @@ class JaccardJoin:
         lists = written(self.lists(entries), "lists")
         pairs = written(self.short_pairs(entries, lists), "pairs")
         large = entries.join(lists.where(F.col("held") > SHORT), "token").select("token", "held", "class", "component", "n")
-        large = written(large.distinct(), "large")
+        held = large = written(large.distinct(), "large")
+        discard(entries, lists)
         met = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
         bitmaps = self.bitmaps(met.unionByName(large.select("class")))
         for best in (True, False):
             found = self.tiles(large, bitmaps, best)
             found = self.near(pairs, bitmaps).unionByName(found) if best else found
-            more = self.confirm(written(found.distinct(), "near"))
+            near = written(found.distinct(), "near")
+            more = self.confirm(near)
+            discard(near)
             if not more.isEmpty():
                 links = links.unionByName(more)
                 labelled = self.components(links)
                 large = large.drop("component").join(labelled.select("class", "component"), "class")
+        discard(held, pairs, bitmaps)
         named = self.classes.join(labelled.select("class", "component"), "class").select("h1", "h2", "n", "component")
         out = self.rows.join(named, ["h1", "h2", "n"], "left")
         own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import word_hashes, written
+from tamarack.llm.common import discard, word_hashes, written
 
 #: Counts up to this are discounted; counts reserved per context; tokens sorted at once; tokens per bucket; most rows of a chunk.
 SMALL, RESERVE, CHUNK_TOKENS, BUCKET_TOKENS, CHUNK_ROWS = 5, 0.1, 1_500_000, 2_000_000, 32_768
@@ -448,6 +448,7 @@ def katz_scores(docs: DataFrame, held_out: str = "held_out", text: str = "text")
         return _count_bucket(group, model, common, buckets)
 
     counted = written(parts.groupBy("part").applyInArrow(count, _PART), "katz-counts", compression="zstd")
+    discard(words)
     found = [_unpack(bytes(r["data"]), "<i8")[0] for r in counted.where("kind = 4").select("data").collect()]  # one short row per bucket
     d = discounts(np.sum(found, axis=0).tolist() if found else [0] * (SMALL + 1))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarack.llm.common import crc_fold, written
+from tamarack.llm.common import crc_fold, discard, written
 
 #: Letters that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {
@@ -217,7 +217,9 @@ def train_toxicity(rows: DataFrame, exceptions: Sequence[str] = EXCEPTIONS, fold
     seen = ToxicityModel.strengths(rows.select("text", "toxic", "fold", F.col("fold").alias("_fold")), lexicons, exceptions, "text", "_fold")
     points = seen.groupBy("toxic", F.round("_strength", 4).alias("x")).agg(F.count(F.lit(1)).cast("double").alias("n"))
     points = points.select(F.col("toxic").cast("double").alias("label"), array_to_vector(F.array("x")).alias("features"), "n")
-    fit = LogisticRegression(weightCol="n", regParam=1e-4, maxIter=50).fit(written(points, "toxicity-curve"))
+    curve = written(points, "toxicity-curve")
+    fit = LogisticRegression(weightCol="n", regParam=1e-4, maxIter=50).fit(curve)
+    discard(rows, curve)
     return ToxicityModel(lexicons[None], exceptions, max(0.0, float(fit.coefficients[0])), float(fit.intercept))
 
 
