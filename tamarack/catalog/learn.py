@@ -65,9 +65,10 @@ for _name in models.TRAINERS:
 
 @query("soft_vote_ensemble")
 def soft_vote_ensemble(t: Tables) -> DataFrame:
-    """Test predictions of the three best of the ten models, voting softly."""
+    """Test predictions of the three best of four quick models, voting softly."""
     train, test = train_test_split(examples(t), "label", "row_id")
-    training = models.train_all(cut_lineage(train), list(models.TRAINERS))
+    names = ["Logistic Regression", "Decision Tree", "Random Forest", "Linear SVC"]
+    training = models.train_all(cut_lineage(train), names)
     board = models.leaderboard(training.fitted, test)
     return models.vote_of_best(training.fitted, board, test)
 
