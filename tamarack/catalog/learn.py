@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.catalog.registry import Tables, movies_of, query, reviews_of
+from tamarack.catalog.registry import QUERIES, Tables, movies_of, query, reviews_of
 from tamarack.catalog.texts import BOOSTERS, DAMPENERS, NEGATIONS, name_list, word_valences
 from tamarack.operators import models, tuning
 from tamarack.operators.splitting import train_test_split
@@ -50,10 +50,12 @@ def examples(t: Tables) -> DataFrame:
     )
 
 
-def _train_query(name: str) -> None:
-    slug = name.lower().replace(" ", "_").replace("-", "_")
+def _slug(name: str) -> str:
+    return name.lower().replace(" ", "_").replace("-", "_")
+
 
-    @query(f"train_{slug}")
+def _train_query(name: str) -> None:
+    @query(f"train_{_slug(name)}")
     def run(t: Tables) -> DataFrame:
         train, test = train_test_split(examples(t), "label", "row_id")
         return models.board_row(models.train(name, cut_lineage(train)), test).drop("Training Time")
@@ -65,31 +67,43 @@ for _name in models.TRAINERS:
 
 @query("soft_vote_ensemble")
 def soft_vote_ensemble(t: Tables) -> DataFrame:
-    """Test predictions of the three best of four quick models, voting softly."""
+    """Test predictions of the three best of the ten models, voting softly."""
     train, test = train_test_split(examples(t), "label", "row_id")
-    names = ["Logistic Regression", "Decision Tree", "Random Forest", "Linear SVC"]
-    training = models.train_all(cut_lineage(train), names)
+    training = models.train_all(cut_lineage(train), list(models.TRAINERS))
     board = models.leaderboard(training.fitted, test)
     return models.vote_of_best(training.fitted, board, test)
 
 
-@query("random_search")
-def random_search(t: Tables) -> DataFrame:
-    return tuning.random_search("Logistic Regression", examples(t), candidates=4, folds=5).scores
+def _searched(t: Tables, name: str) -> tuple[tuning.SearchResult, DataFrame, DataFrame]:
+    """The search over the training rows with the operator's own number of candidates and folds; training and test rows."""
+    train, test = train_test_split(examples(t), "label", "row_id")
+    train = cut_lineage(train)
+    return tuning.random_search(name, train), train, test
 
 
-@query("cv_scores")
-def cv_scores(t: Tables) -> DataFrame:
-    params = {"max_depth": 5, "min_samples_leaf": 5, "criterion": "gini", "class_weight": "balanced"}
-    train, test = train_test_split(examples(t), "label", "row_id")
-    result = tuning.evaluate_tuned("Decision Tree", params, train, test, "BASE")
-    row = (result["model_name"], result["cv_f1_mean"], result["cv_f1_std"], result["test_f1"], result["test_roc_auc"])
-    return t.spark.createDataFrame(
-        [row], "model_name string, cv_f1_mean double, cv_f1_std double, test_f1 double, test_roc_auc double"
-    )
+def _tuning_queries(name: str) -> None:
+    slug = _slug(name)
+
+    @query(f"random_search_{slug}")
+    def random_search(t: Tables) -> DataFrame:
+        return _searched(t, name)[0].scores
+
+    @query(f"cv_scores_{slug}")
+    def cv_scores(t: Tables) -> DataFrame:
+        found, train, test = _searched(t, name)
+        result = tuning.evaluate_tuned(name, found.best_params, train, test, "BASE", fitted=found.best)
+        row = (result["model_name"], result["cv_f1_mean"], result["cv_f1_std"], result["test_f1"], result["test_roc_auc"])
+        return t.spark.createDataFrame(
+            [row], "model_name string, cv_f1_mean double, cv_f1_std double, test_f1 double, test_roc_auc double"
+        )
+
+    @query(f"learning_curve_{slug}")
+    def learning_curve(t: Tables) -> DataFrame:
+        found, train, _ = _searched(t, name)
+        return tuning.learning_curve(tuning.BUILDERS[name](found.best_params), train)
 
 
-@query("learning_curve")
-def learning_curve(t: Tables) -> DataFrame:
-    params = {"max_depth": 5, "min_samples_leaf": 5, "criterion": "gini", "class_weight": "balanced"}
-    return tuning.learning_curve(tuning.BUILDERS["Decision Tree"](params), examples(t))
+for _name in tuning.BUILDERS:
+    _tuning_queries(_name)
+for _alias, _slugged in (("random_search", "logistic_regression"), ("cv_scores", "decision_tree"), ("learning_curve", "decision_tree")):
+    QUERIES[_alias] = QUERIES[f"{_alias}_{_slugged}"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamarack.catalog.learn import examples, feature_config
-from tamarack.catalog.registry import Tables, movies_of, reviews_of
+from tamarack.catalog.registry import QUERIES, Tables, movies_of, reviews_of
 from tamarack.operators import models, tuning
 from tamarack.operators.splitting import train_test_split
 from tamarack.plans.explore import engineered_report, initial_report, pair_sample
@@ -119,6 +119,28 @@ def test_search_and_failed_model(spark, data):
     assert list(broken.failed) == ["no such model"] and len(broken.fitted) == 1
 
 
+def test_tuning_queries_do_the_whole_search(spark, data, monkeypatch):
+    search, seen = tuning.random_search, []
+
+    def few(name, train, candidates=100, folds=5, **more):
+        seen.append((name, train.count(), candidates, folds))
+        return search(name, train, 2, 2)
+
+    rows = train_test_split(examples(Tables(spark, data)), "label", "row_id")[0].count()
+    monkeypatch.setattr(tuning, "random_search", few)
+    assert all(f"{q}_{m.lower().replace(' ', '_').replace('-', '_')}" in QUERIES for q in ("random_search", "cv_scores", "learning_curve") for m in models.TRAINERS)
+    assert QUERIES["cv_scores"](spark, data).first()["cv_f1_std"] >= 0 and seen == [("Decision Tree", rows, 100, 5)]
+    best = {}
+    monkeypatch.setattr(tuning, "learning_curve", lambda fit, train: best.setdefault("rows", train.count()))
+    assert QUERIES["learning_curve"](spark, data) == rows and len(seen) == 2
+
+
+def test_vote_takes_all_ten(spark, data, monkeypatch):
+    asked, every = [], models.train_all
+    monkeypatch.setattr(models, "train_all", lambda frame, names: asked.extend(names) or every(frame, ["Decision Tree", "Logistic Regression", "Random Forest"]))
+    assert QUERIES["soft_vote_ensemble"](spark, data).count() > 0 and asked == list(models.TRAINERS)
+
+
 def test_stages_in_a_spark_pipeline(spark, data):
     from pyspark.ml import Pipeline
 
