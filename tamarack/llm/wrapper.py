@@ -36,7 +36,7 @@ CLOSES_P = BLOCKS - {"br", "body", "html", "tr", "tbody", "tfoot", "thead", "li"
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = frozenset("table td th ul ol dl select body html article section div aside nav footer header main form".split())
 
-#: Elements, roles and words of class or id that mark template whatever it says.
+#: Elements and roles that mark template whatever it says, and words of class or id that mark it outside the main varying text.
 SKIPPED = frozenset("head script style noscript template iframe svg nav footer aside form button select textarea dialog menu title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 HINTS = frozenset(
@@ -45,6 +45,13 @@ HINTS = frozenset(
     " related recommended newsletter subscribe signup login".split()
 )
 
+#: Words that may stand beside such a word in one hyphenated class.
+PLAIN = frozenset("box bar block list links area wrap wrapper container section widget posts items buttons form slot unit text top bottom".split())
+#: Elements that no word of a class makes template.
+OPEN = frozenset("html body main article".split())
+#: What a node or slot is: content, template if its words are right, template.
+KEPT, HINTED, DROPPED = range(3)
+
 #: Depth to which a tree is kept; deeper elements are joined to the one at that depth, text and all.
 DEPTH = 60
 
@@ -61,28 +68,37 @@ class Node:
 
     __slots__ = ("tag", "label", "skip", "items")
 
-    def __init__(self, tag: str, label: str, skip: bool):
+    def __init__(self, tag: str, label: str, skip: int):
         self.tag, self.label, self.skip, self.items = tag, label, skip, []
 
 
+def _hints(value: str) -> bool:
+    """Whether a class or id has a token made of hint words, at most with plain ones: cookie-notice, share-box, not has-banner."""
+    for token in value.split():
+        words = re.findall(r"[a-z]+", token)
+        if HINTS.intersection(words) and all(w in HINTS or w in PLAIN for w in words):
+            return True
+    return False
+
+
 def _node(tag: str, token: str) -> Node:
-    label, skip = tag, tag in SKIPPED
+    label, skip = tag, DROPPED if tag in SKIPPED else KEPT
     for m in _ATTRIBUTE.finditer(token) if " " in token or "\n" in token or "\t" in token else ():
         value = (m[2] or m[3] or m[4] or "").lower()
         words = re.findall(r"[a-z]+", value)
         if m[1].lower() == "role":
-            skip = skip or value in ROLES
+            skip = DROPPED if value in ROLES else skip
         elif m[1].lower() == "hidden":
-            skip = True
-        else:
-            skip = skip or bool(HINTS.intersection(words))
+            skip = DROPPED
+        elif tag not in OPEN and _hints(value):
+            skip = max(skip, HINTED)
         label += f" {m[1].lower()}={'-'.join(words)}"
     return Node(tag, label, skip)
 
 
 def parse(source: str) -> Node:
     """The tree of a page. Unclosed and misplaced tags are mended as browsers do in the common cases."""
-    root = Node("html", "html", False)
+    root = Node("html", "html", KEPT)
     stack = [root]
     at = 0
 
@@ -157,7 +173,7 @@ LABEL, TAG, SKIP, PAGES, CHARS, LINKED, TEXT, VARIES, CHILDREN = range(9)
 def tree_of(node: Node, linked: bool = False) -> list:
     """The slots of one page: children of one label are one repeating slot."""
     linked = linked or node.tag == "a"
-    own = " ".join(" ".join(i for i in node.items if isinstance(i, str)).split()) if not node.skip else ""
+    own = " ".join(" ".join(i for i in node.items if isinstance(i, str)).split()) if node.skip != DROPPED else ""
     children: dict[str, list] = {}
     for item in node.items:
         if isinstance(item, Node):
@@ -213,7 +229,34 @@ def merge(a: list, b: list, same_page: bool = False) -> list:
     varies = a[VARIES] or b[VARIES] or (not same_page and a[TEXT] != b[TEXT])
     text = zlib.crc32(f"{a[TEXT]} {b[TEXT]}".encode()) if same_page else a[TEXT]
     pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
-    return [a[LABEL], a[TAG], a[SKIP] or b[SKIP], pages, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], text, varies, list(merged.values())]
+    return [a[LABEL], a[TAG], max(a[SKIP], b[SKIP]), pages, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], text, varies, list(merged.values())]
+
+
+def _settle(wrapper: list) -> None:
+    """Decide on the slots with hint words: they are template unless they hold the content, which is at least half of the text that
+    varies, while there is no article or main element with text of its own outside them."""
+
+    def texts(slot: list) -> int:
+        return 0 if slot[SKIP] == DROPPED else (slot[CHARS] - slot[LINKED] if slot[VARIES] or alone else 0) + sum(map(texts, slot[CHILDREN]))
+
+    def named(slot: list) -> bool:
+        return not slot[SKIP] and (_rank(slot) is not None and texts(slot) > 0 or any(map(named, slot[CHILDREN])))
+
+    def decide(slot: list) -> None:
+        if slot[SKIP] == HINTED:
+            slot[SKIP] = KEPT if not elsewhere and whole and 2 * texts(slot) >= whole else DROPPED
+        for c in slot[CHILDREN]:
+            decide(c)
+
+    alone = False
+    alone = wrapper[PAGES] == 1 or not texts(wrapper)
+    whole, elsewhere = texts(wrapper), named(wrapper)
+    decide(wrapper)
+
+
+def _rank(slot: list) -> int | None:
+    """0 for an article, 1 for a main element, else None."""
+    return 0 if slot[TAG] == "article" else 1 if slot[TAG] == "main" or "role=main" in slot[LABEL] else None
 
 
 def _varying(slot: list, alone: bool) -> int:
@@ -232,7 +275,7 @@ def content_root(wrapper: list) -> tuple[list[str], bool]:
         path, slot = queue.pop(0)
         if slot[SKIP]:
             continue
-        rank = 0 if slot[TAG] == "article" else 1 if slot[TAG] == "main" or "role=main" in slot[LABEL] else None
+        rank = _rank(slot)
         if rank is not None:
             named.append((rank, -slot[PAGES], path))
             continue
@@ -270,16 +313,21 @@ class Wrapper:
 
     def __init__(self, tree: list):
         self.tree = tree
+        _settle(tree)
         self.root, self.named = content_root(tree)
         self.constant = {}
+        self.kept: set[tuple[str, ...]] = set()  # with hint words, but content
         slot = tree
-        for label in self.root:
+        for k, label in enumerate(self.root):
             slot = next(c for c in slot[CHILDREN] if c[LABEL] == label)
+            self.kept.add(tuple(self.root[: k + 1]))
         self._mark(slot, tuple(self.root))
 
     def _mark(self, slot: list, path: tuple[str, ...]) -> None:
         for c in slot[CHILDREN]:
             below = (*path, c[LABEL])
+            if not c[SKIP]:
+                self.kept.add(below)
             if _constant(c, self.tree, self.named):
                 self.constant[below] = True
             else:
@@ -289,7 +337,7 @@ class Wrapper:
         """Content blocks of a page; None if the page has no slot where the wrapper has its content."""
         level = [page]
         for label in self.root:
-            level = [i for n in level for i in n.items if isinstance(i, Node) and i.label == label and not i.skip]
+            level = [i for n in level for i in n.items if isinstance(i, Node) and i.label == label and i.skip != DROPPED]
         if not level:
             return None
         out: list[list[str]] = [[]]
@@ -306,16 +354,19 @@ class Wrapper:
             elif item.tag in BLOCKS:
                 out.append([])
                 below = (*path, item.label)
-                if not item.skip and below not in self.constant:
+                if not self._template(item, below):
                     self._walk(item, below, out)
                     out.append([])
             elif item.tag in ("td", "th"):
                 out[-1].append(" ")
                 self._walk(item, (*path, item.label), out)
                 out[-1].append(" ")
-            elif not item.skip and (below := (*path, item.label)) not in self.constant:
+            elif not self._template(item, below := (*path, item.label)):
                 self._walk(item, below, out)
 
+    def _template(self, item: Node, below: tuple[str, ...]) -> bool:
+        return item.skip == DROPPED or below in self.constant or item.skip == HINTED and below not in self.kept
+
 
 def extract(source: str | None, wrapper: Wrapper | None) -> str:
     """Main text of a page: its blocks joined by newlines."""

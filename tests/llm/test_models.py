@@ -142,3 +142,19 @@ def test_parsing_deep_and_broken_pages():
     trees = [tree_of(parse(f"<div><p>{t}</p></div>")) for t in "xxy"]
     merged = merge(merge(trees[0], trees[1]), trees[2])
     assert json.loads(json.dumps(merged)) == merged and re.search("true", json.dumps(merged))
+
+
+def texts_of(spark, pages):
+    """Texts of pages of one host."""
+    frame = spark.createDataFrame([(k, "http://h.org/", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in extract_pages(frame).orderBy("page_id").collect()]
+
+
+def test_hint_words_do_not_hide_the_content(spark):
+    for outer in (
+        "<body class='page right-sidebar'><div class='x'>{}</div>", "<body class='no-sidebar sidebar'><article class='post comments-open comments'>{}</article>",
+        "<body><div id='content' class='has-banner'>{}</div>", "<body><div class='banner'>{}</div>",
+    ):
+        inner = "<p>Long enough {0} text {0} of the page</p><div class='ad'>Buy {0}</div><div class='share-box'>Share {0}</div>"
+        got = texts_of(spark, [outer.format(inner.format(f"w{n}")) + f"<div class='comments'>Nice {n}</div>" for n in range(3)])
+        assert got == [f"Long enough w{n} text w{n} of the page" for n in range(3)], outer
