@@ -2,8 +2,8 @@
 
 The DOM trees of the pages of one host are aligned by simple tree matching and merged into one tree, the host's wrapper. Its slots
 know on how many pages they stand, how much text and link text they hold, and whether their text varies between pages. Slots
-whose text is the same on all pages are template; the content lies where the text varies: below an article or main element if
-the wrapper has one, else below the node that the varying text outside links leads to. Menus, headers, footers and the like are
+whose text is the same on all pages are template; the content lies where the text varies: below the article and main elements if
+the wrapper has any, else below the lowest node that covers the varying text outside links. Menus, headers, footers and the like are
 template even where their text varies. Merging is done per task first, then per host and share, then per host, so that no task
 sees all pages of a host.
 """
@@ -263,35 +263,50 @@ def _varying(slot: list, alone: bool) -> int:
     """Characters of varying text outside links and template below a slot."""
     if slot[SKIP]:
         return 0
-    own = slot[CHARS] - slot[LINKED] if slot[VARIES] or alone else 0
-    return own + sum(_varying(c, alone) for c in slot[CHILDREN])
+    return _own(slot, alone) + sum(_varying(c, alone) for c in slot[CHILDREN])
 
 
-def content_root(wrapper: list) -> tuple[list[str], bool]:
-    """Labels from the top to the slot that holds the content, and whether an element says so."""
-    queue = [([], wrapper)]
-    named: list[tuple[int, int, list[str]]] = []
+def _own(slot: list, alone: bool) -> int:
+    """Characters of a slot's own text outside links, if it varies; on one page only, there is nothing that it agrees with."""
+    return slot[CHARS] - slot[LINKED] if slot[VARIES] or alone or slot[PAGES] == 1 else 0
+
+
+def content_roots(wrapper: list) -> tuple[list[tuple[str, ...]], bool, set[tuple[str, ...]]]:
+    """Label paths of the slots that hold the content, whether elements say so, and paths near the top that are not content.
+
+    These are all article and main elements. Without any, it is the lowest slot that covers all varying text outside links. Down
+    from there to where that text is spread out, slots without such text are not content, and a path that ends in "" stands for
+    a slot's own text.
+    """
+    queue, named = [((), wrapper)], []
     while queue:
         path, slot = queue.pop(0)
         if slot[SKIP]:
             continue
-        rank = _rank(slot)
-        if rank is not None:
-            named.append((rank, -slot[PAGES], path))
+        if _rank(slot) is not None:
+            named.append(path)
             continue
-        queue += [([*path, c[LABEL]], c) for c in slot[CHILDREN]]
+        queue += [((*path, c[LABEL]), c) for c in slot[CHILDREN]]
     if named:
-        inner = [n for n in named if n[0] == 0] or named
-        return min(inner, key=lambda n: (n[0], n[1]))[2], True
-    path, slot = [], wrapper
+        return named, True, set()
+    path, slot, root, aside = (), wrapper, (), set()
     alone = wrapper[PAGES] == 1 or not _varying(wrapper, False)
+    covers = True
     while slot[CHILDREN]:
-        mass = _varying(slot, alone)
-        heavy = max(slot[CHILDREN], key=lambda c: _varying(c, alone))
-        if heavy[TAG] in ("p", "h1", "h2", "h3", "ul", "ol", "table", "a", "b", "i", "span", "em", "strong", "blockquote", "pre") or _varying(heavy, alone) < 0.7 * mass:
+        mass = {c[LABEL]: _varying(c, alone) for c in slot[CHILDREN]}
+        whole = _own(slot, alone) + sum(mass.values())
+        heavy = max(slot[CHILDREN], key=lambda c: mass[c[LABEL]])
+        text_tags = ("p", "h1", "h2", "h3", "ul", "ol", "table", "a", "b", "i", "span", "em", "strong", "blockquote", "pre")
+        if not whole or heavy[TAG] in text_tags or mass[heavy[LABEL]] < 0.7 * whole:
             break
-        path, slot = [*path, heavy[LABEL]], heavy
-    return path, False
+        covers = covers and mass[heavy[LABEL]] == whole
+        aside.update((*path, label) for label, m in mass.items() if not m)
+        if not _own(slot, alone):
+            aside.add((*path, ""))
+        path, slot = (*path, heavy[LABEL]), heavy
+        if covers:
+            root = path
+    return [root], False, aside
 
 
 def _constant(slot: list, wrapper: list, named: bool) -> bool:
@@ -314,14 +329,17 @@ class Wrapper:
     def __init__(self, tree: list):
         self.tree = tree
         _settle(tree)
-        self.root, self.named = content_root(tree)
+        roots, self.named, self.aside = content_roots(tree)
+        self.roots = set(roots)
+        self.above = {r[:k] for r in roots for k in range(len(r))}
         self.constant = {}
         self.kept: set[tuple[str, ...]] = set()  # with hint words, but content
-        slot = tree
-        for k, label in enumerate(self.root):
-            slot = next(c for c in slot[CHILDREN] if c[LABEL] == label)
-            self.kept.add(tuple(self.root[: k + 1]))
-        self._mark(slot, tuple(self.root))
+        for root in roots:
+            slot = tree
+            for k, label in enumerate(root):
+                slot = next(c for c in slot[CHILDREN] if c[LABEL] == label)
+                self.kept.add(root[: k + 1])
+            self._mark(slot, root)
 
     def _mark(self, slot: list, path: tuple[str, ...]) -> None:
         for c in slot[CHILDREN]:
@@ -335,22 +353,31 @@ class Wrapper:
 
     def blocks(self, page: Node) -> list[str] | None:
         """Content blocks of a page; None if the page has no slot where the wrapper has its content."""
-        level = [page]
-        for label in self.root:
-            level = [i for n in level for i in n.items if isinstance(i, Node) and i.label == label and i.skip != DROPPED]
-        if not level:
-            return None
         out: list[list[str]] = [[]]
-        for node in level:
-            out.append([])
-            self._walk(node, tuple(self.root), out)
+        fits = self._find(page, (), out)
         found = (" ".join(entities.unescape("".join(b)).split()) for b in out)
-        return [b for b in found if b]
+        blocks = [b for b in found if b]
+        return blocks if fits and (blocks or self.named) else None
+
+    def _find(self, node: Node, path: tuple[str, ...], out: list[list[str]]) -> bool:
+        """Walk the content slots of a page in order; whether there are any."""
+        if path in self.roots:
+            out.append([])
+            self._walk(node, path, out)
+            return True
+        fits = False
+        if path in self.above:
+            for item in node.items:
+                if isinstance(item, Node) and item.skip != DROPPED:
+                    fits = self._find(item, (*path, item.label), out) or fits
+        return fits
 
     def _walk(self, node: Node, path: tuple[str, ...], out: list[list[str]]) -> None:
+        silent = (*path, "") in self.aside
         for item in node.items:
             if isinstance(item, str):
-                out[-1].append(item)
+                if not silent:
+                    out[-1].append(item)
             elif item.tag in BLOCKS:
                 out.append([])
                 below = (*path, item.label)
@@ -365,7 +392,7 @@ class Wrapper:
                 self._walk(item, below, out)
 
     def _template(self, item: Node, below: tuple[str, ...]) -> bool:
-        return item.skip == DROPPED or below in self.constant or item.skip == HINTED and below not in self.kept
+        return item.skip == DROPPED or below in self.constant or below in self.aside or item.skip == HINTED and below not in self.kept
 
 
 def extract(source: str | None, wrapper: Wrapper | None) -> str:

@@ -158,3 +158,13 @@ def test_hint_words_do_not_hide_the_content(spark):
         inner = "<p>Long enough {0} text {0} of the page</p><div class='ad'>Buy {0}</div><div class='share-box'>Share {0}</div>"
         got = texts_of(spark, [outer.format(inner.format(f"w{n}")) + f"<div class='comments'>Nice {n}</div>" for n in range(3)])
         assert got == [f"Long enough w{n} text w{n} of the page" for n in range(3)], outer
+
+
+def test_all_varying_parts_are_content(spark):
+    body = "<p>Body {0} of the page, by far the longest of its parts, {0} and {0} again and again</p>" * 3
+    page = "<div class='top'><a href='/'>Site</a></div><div class='page'><div class='head'>Head {0}</div><div class='body'>" + body + "</div><div class='last'>End {0}</div></div>"
+    texts = texts_of(spark, [page.format(f"w{n}") for n in range(3)] + [page.format("v") + "<div class='extra'>Only here</div>"])
+    assert all(t.startswith(f"Head w{n}\nBody w{n}") and t.endswith(f"again\nEnd w{n}") for n, t in enumerate(texts[:3]))
+    assert texts[3].endswith("End v\nOnly here") and "Site" not in "".join(texts)
+    page = "<div><article class='post'>One {0}</article><article class='post featured'>Two {0}</article><div>no</div></div>"
+    assert texts_of(spark, [page.format(n) for n in range(3)]) == [f"One {n}\nTwo {n}" for n in range(3)]
