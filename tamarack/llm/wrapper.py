@@ -14,6 +14,7 @@ import html as entities
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -52,7 +53,8 @@ OPEN = frozenset("html body main article".split())
 #: What a node or slot is: content, template if its words are right, template.
 KEPT, HINTED, DROPPED = range(3)
 
-#: Depth to which a tree is kept; deeper elements are joined to the one at that depth, text and all.
+#: Depth to which a tree is kept. Deeper elements are open besides it: their text goes to the
+#: element at that depth, or to the first of them with hint words, or nowhere below template.
 DEPTH = 60
 
 #: Pages on which a slot must agree to be template by constancy.
@@ -100,17 +102,43 @@ def parse(source: str) -> Node:
     """The tree of a page. Unclosed and misplaced tags are mended as browsers do in the common cases."""
     root = Node("html", "html", KEPT)
     stack = [root]
+    over: list[Node] = []  # open elements below the depth that is kept
+    names_over: Counter[str] = Counter()
+    void: list[int] = []  # places in ``over`` of elements that are, or may be, template
     at = 0
 
+    def put(item: str | Node) -> None:
+        if not void:
+            stack[-1].items.append(item)
+        elif item and all(over[k].skip != DROPPED for k in void):
+            over[void[0]].items.append(item)  # the wrapper decides on its words
+
     def text(piece: str) -> None:
         if piece:
-            stack[-1].items.append(piece)
+            put(piece)
+
+    def cut(k: int) -> None:
+        """Close the elements from place k of ``over`` on."""
+        border = False
+        for node in over[k:]:
+            names_over[node.tag] -= 1
+            border = border or node.tag in BLOCKS
+        del over[k:]
+        while void and void[-1] >= k:
+            void.pop()
+        if border:
+            put(Node("br", "br", KEPT))
 
     def close(names: set[str] | frozenset[str]) -> None:
+        for k in range(len(over) - 1, -1, -1):
+            if over[k].tag in names:
+                return cut(k)
+            if over[k].tag in FENCES:
+                return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in names:
                 del stack[k:]
-                return
+                return cut(0)
             if stack[k].tag in FENCES:
                 return
 
@@ -130,9 +158,15 @@ def parse(source: str) -> Node:
             continue
         tag = _NAME.match(token)[1].lower()
         if token[1] == "/":
+            if names_over[tag]:
+                cut(next(k for k in range(len(over) - 1, -1, -1) if over[k].tag == tag))
+                continue
+            if tag == "p" and any(n.tag in FENCES for n in over):
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
+                    cut(0)
                     break
                 if tag == "p" and stack[k].tag in FENCES:
                     break
@@ -147,8 +181,9 @@ def parse(source: str) -> Node:
             close({"h1", "h2", "h3", "h4", "h5", "h6"})
         if tag == "body":
             del stack[1:]
+            cut(0)
         node = _node(tag, token)
-        stack[-1].items.append(node)
+        put(node)
         if tag in VOID or token.endswith("/>"):
             continue
         if tag in RAW:
@@ -159,10 +194,13 @@ def parse(source: str) -> Node:
             at = source.find(">", stop.start()) + 1 if stop else end
             at = at or end
             continue
-        if len(stack) < DEPTH:
+        if len(stack) < DEPTH and not over:
             stack.append(node)
-        elif tag in BLOCKS:
-            node.items.append("")  # stays a border between blocks; its text goes to the element above
+            continue
+        if node.skip:
+            void.append(len(over))
+        over.append(node)
+        names_over[tag] += 1
     return root
 
 

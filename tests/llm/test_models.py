@@ -168,3 +168,11 @@ def test_all_varying_parts_are_content(spark):
     assert texts[3].endswith("End v\nOnly here") and "Site" not in "".join(texts)
     page = "<div><article class='post'>One {0}</article><article class='post featured'>Two {0}</article><div>no</div></div>"
     assert texts_of(spark, [page.format(n) for n in range(3)]) == [f"One {n}\nTwo {n}" for n in range(3)]
+
+
+def test_end_tags_below_the_kept_depth():
+    nest = "<div>" * 70 + "<p>in</p><nav>menu <b>x</b></nav><div class='ad'>buy</div>on<div><p>low</div>after" + "</div>" * 70
+    page = "<div id='page'><article><p>first</p>" + nest + "<p>last</p></article><div>outside</div></div>"
+    assert extract(page, None) == "first\nin\non\nlow\nafter\nlast"
+    assert extract("<article>" + "<span>" * 70 + "a<p>b<p>c</span>d" + "</span>" * 69 + "<p>e</article><p>f", None) == "a\nb\nc\nd\ne"
+    assert extract("<div>" * 70 + "<div class='banner'><p>all</p>the <nav>no</nav>text</div>" + "</div>" * 70, None) == "all\nthe\ntext"
