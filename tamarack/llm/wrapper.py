@@ -1,8 +1,8 @@
 """Main text of HTML pages by wrapper induction.
 
 The DOM trees of the pages of one host are aligned by simple tree matching and merged into one tree, the host's wrapper. Its slots
-know on how many pages they stand, how much text and link text they hold, and whether their text varies between pages. Slots
-whose text is the same on all pages are template; the content lies where the text varies: below the article and main elements if
+know on how many pages they stand, how much text and link text they hold, and whether their text varies between pages. Elements
+that stand alike on all pages that have their slot are template, if these are two or more and differ; the content lies where the text varies: below the article and main elements if
 the wrapper has any, else below the lowest node that covers the varying text outside links. Menus, headers, footers and the like are
 template even where their text varies. Merging is done per task first, then per host and share, then per host, so that no task
 sees all pages of a host.
@@ -10,6 +10,7 @@ sees all pages of a host.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -57,8 +58,10 @@ KEPT, HINTED, DROPPED = range(3)
 #: element at that depth, or to the first of them with hint words, or nowhere below template.
 DEPTH = 60
 
-#: Pages on which a slot must agree to be template by constancy.
+#: Below so many pages, constant elements are template only if they hold at most half of the content's text.
 AGREE = 8
+#: Parts of lists and tables, which are template only with the whole list or table.
+ROWS = frozenset("li dt dd tr td th tbody thead tfoot caption option".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>?", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -68,10 +71,10 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 class Node:
     """An element of a page: its label (tag, class, id and role without digits) and its children and texts in order."""
 
-    __slots__ = ("tag", "label", "skip", "items")
+    __slots__ = ("tag", "label", "skip", "items", "mark")
 
     def __init__(self, tag: str, label: str, skip: int):
-        self.tag, self.label, self.skip, self.items = tag, label, skip, []
+        self.tag, self.label, self.skip, self.items, self.mark = tag, label, skip, [], None
 
 
 def _hints(value: str) -> bool:
@@ -204,22 +207,67 @@ def parse(source: str) -> Node:
     return root
 
 
-# A slot of a wrapper: [label, tag, skip, pages, characters, characters in links, text sum, varies, children]
-LABEL, TAG, SKIP, PAGES, CHARS, LINKED, TEXT, VARIES, CHILDREN = range(9)
+# A slot of a wrapper: [label, tag, skip, pages, characters, characters in links, text sum, varies, children, marks that stand on all
+# of its pages, mark of one of its pages, whether its pages differ]
+LABEL, TAG, SKIP, PAGES, CHARS, LINKED, TEXT, VARIES, CHILDREN, COMMON, PAGE, DIFFERS = range(12)
+_LENGTH = 20
 
 
-def tree_of(node: Node, linked: bool = False) -> list:
+def mark_of(node: Node) -> int:
+    """A hash of the text of an element outside template, with its length in the last bits; 0 without text."""
+    if node.mark is None:
+        parts, size = [], 0
+        for item in node.items if node.skip != DROPPED else ():
+            if isinstance(item, str):
+                text = " ".join(item.split())
+                size += len(text)
+                part = text.encode("utf-8", "replace")
+            else:
+                mark = mark_of(item)
+                size += mark & ((1 << _LENGTH) - 1)
+                part = mark.to_bytes(8, "big") if mark else b""
+            if part:
+                parts.append(part)
+        found = int.from_bytes(hashlib.blake2b(b"\0".join(parts), digest_size=5).digest(), "big") if parts else 0
+        node.mark = found << _LENGTH | min(size, (1 << _LENGTH) - 1) if parts else 0
+    return node.mark
+
+
+def _page_mark(page: Node) -> int:
+    """A mark of the page's text outside elements with hint words."""
+    total, stack = 0, [page]
+    while stack:
+        node = stack.pop()
+        if node.skip == KEPT:
+            total = zlib.crc32(" ".join(" ".join(i for i in node.items if isinstance(i, str)).split()).encode("utf-8", "replace"), total)
+            stack += [i for i in node.items if isinstance(i, Node)]
+    return total
+
+
+def tree_of(page: Node) -> list:
     """The slots of one page: children of one label are one repeating slot."""
+    tree = _tree_of(page, False, _page_mark(page))
+    stack = [tree]
+    while stack:
+        slot = stack.pop()
+        slot[COMMON] = sorted(slot[COMMON])
+        stack += slot[CHILDREN]
+    return tree
+
+
+def _tree_of(node: Node, linked: bool, page: int) -> list:
     linked = linked or node.tag == "a"
     own = " ".join(" ".join(i for i in node.items if isinstance(i, str)).split()) if node.skip != DROPPED else ""
     children: dict[str, list] = {}
     for item in node.items:
         if isinstance(item, Node):
-            slot = tree_of(item, linked)
+            slot = _tree_of(item, linked, page)
             there = children.get(item.label)
             children[item.label] = slot if there is None else merge(there, slot, same_page=True)
     size = len(own)
-    return [node.label, node.tag, node.skip, 1, size, size if linked else 0, zlib.crc32(own.encode("utf-8", "replace")), False, list(children.values())]
+    text, mark = zlib.crc32(own.encode("utf-8", "replace")), mark_of(node)
+    common = {mark} if mark else set()  # a set while the page's own slots are joined
+    return [node.label, node.tag, node.skip, 1, size, size if linked else 0, text, False, list(children.values()), common, page, False]
 
 
 def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
@@ -267,7 +315,15 @@ def merge(a: list, b: list, same_page: bool = False) -> list:
     varies = a[VARIES] or b[VARIES] or (not same_page and a[TEXT] != b[TEXT])
     text = zlib.crc32(f"{a[TEXT]} {b[TEXT]}".encode()) if same_page else a[TEXT]
     pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
-    return [a[LABEL], a[TAG], max(a[SKIP], b[SKIP]), pages, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], text, varies, list(merged.values())]
+    if same_page:
+        common = a[COMMON]
+        common |= b[COMMON]
+    else:
+        common = sorted(set(a[COMMON]).intersection(b[COMMON]))
+    differs = a[DIFFERS] or b[DIFFERS] or a[PAGE] != b[PAGE]
+    chars, links = a[CHARS] + b[CHARS], a[LINKED] + b[LINKED]
+    slots = list(merged.values())
+    return [a[LABEL], a[TAG], max(a[SKIP], b[SKIP]), pages, chars, links, text, varies, slots, common, a[PAGE], differs]
 
 
 def _settle(wrapper: list) -> None:
@@ -347,18 +403,16 @@ def content_roots(wrapper: list) -> tuple[list[tuple[str, ...]], bool, set[tuple
     return [root], False, aside
 
 
-def _constant(slot: list, wrapper: list, named: bool) -> bool:
-    """Whether a slot is template because all pages agree on it while others vary."""
-    if slot[PAGES] < AGREE or slot[TAG] not in ("div", "section", "span", "small", "header") or not _varying(wrapper, False):
-        return False
-    chars, stack = 0, [slot]
-    while stack:
-        s = stack.pop()
-        if s[VARIES] or s[PAGES] < slot[PAGES]:
-            return False
-        chars += s[CHARS]
-        stack += s[CHILDREN]
-    return chars > 0
+def _constant(slot: list) -> list[int]:
+    """Marks of the elements of a slot that stand on all its pages, while the pages differ: template."""
+    return slot[COMMON] if slot[PAGES] > 1 and slot[DIFFERS] and slot[TAG] not in ROWS else []
+
+
+def _weights(slot: list) -> tuple[int, float]:
+    """Characters of constant elements below a slot, and of all text below it, per page."""
+    below = [_weights(c) for c in slot[CHILDREN] if slot[SKIP] != DROPPED]
+    constant = max(sum(m & ((1 << _LENGTH) - 1) for m in _constant(slot)), sum(b[0] for b in below))
+    return constant, (slot[CHARS] if slot[SKIP] != DROPPED else 0) + sum(b[1] for b in below)
 
 
 class Wrapper:
@@ -370,24 +424,25 @@ class Wrapper:
         roots, self.named, self.aside = content_roots(tree)
         self.roots = set(roots)
         self.above = {r[:k] for r in roots for k in range(len(r))}
-        self.constant = {}
+        self.constant: dict[tuple[str, ...], frozenset[int]] = {}
         self.kept: set[tuple[str, ...]] = set()  # with hint words, but content
         for root in roots:
             slot = tree
             for k, label in enumerate(root):
                 slot = next(c for c in slot[CHILDREN] if c[LABEL] == label)
                 self.kept.add(root[: k + 1])
-            self._mark(slot, root)
+            below = [_weights(c) for c in slot[CHILDREN] if not c[SKIP]]
+            enough = slot[PAGES] >= AGREE or 2 * slot[PAGES] * sum(b[0] for b in below) <= slot[CHARS] + sum(b[1] for b in below)
+            self._mark(slot, root, enough)
 
-    def _mark(self, slot: list, path: tuple[str, ...]) -> None:
+    def _mark(self, slot: list, path: tuple[str, ...], enough: bool) -> None:
         for c in slot[CHILDREN]:
             below = (*path, c[LABEL])
             if not c[SKIP]:
                 self.kept.add(below)
-            if _constant(c, self.tree, self.named):
-                self.constant[below] = True
-            else:
-                self._mark(c, below)
+            if enough and (marks := _constant(c)):
+                self.constant[below] = frozenset(marks)
+            self._mark(c, below, enough)
 
     def blocks(self, page: Node) -> list[str] | None:
         """Content blocks of a page; None if the page has no slot where the wrapper has its content."""
@@ -430,7 +485,9 @@ class Wrapper:
                 self._walk(item, below, out)
 
     def _template(self, item: Node, below: tuple[str, ...]) -> bool:
-        return item.skip == DROPPED or below in self.constant or below in self.aside or item.skip == HINTED and below not in self.kept
+        if below in self.constant and mark_of(item) in self.constant[below]:
+            return True
+        return item.skip == DROPPED or below in self.aside or item.skip == HINTED and below not in self.kept
 
 
 def extract(source: str | None, wrapper: Wrapper | None) -> str:

@@ -176,3 +176,17 @@ def test_end_tags_below_the_kept_depth():
     assert extract(page, None) == "first\nin\non\nlow\nafter\nlast"
     assert extract("<article>" + "<span>" * 70 + "a<p>b<p>c</span>d" + "</span>" * 69 + "<p>e</article><p>f", None) == "a\nb\nc\nd\ne"
     assert extract("<div>" * 70 + "<div class='banner'><p>all</p>the <nav>no</nav>text</div>" + "</div>" * 70, None) == "all\nthe\ntext"
+
+
+def test_constant_elements_of_any_tag_are_template(spark):
+    page = (
+        "<article><h1>Head {0}</h1><p>Text {0} of this page, which is longer than all that the pages share</p><p>More {0}, and more {0}, and more</p>"
+        "<p>Licence</p><ul><li>read<li>more</ul><ul><li>own {0}<li>same</ul><blockquote>Quote</blockquote></article>"
+    )
+    want = "Head {0}\nText {0} of this page, which is longer than all that the pages share\nMore {0}, and more {0}, and more\nown {0}\nsame"
+    for count in (2, 9):
+        assert texts_of(spark, [page.format(f"w{n}") for n in range(count)]) == [want.format(f"w{n}") for n in range(count)]
+    kept = texts_of(spark, [page.format("w")] * 3)
+    assert kept[0] == kept[2] and "Licence" in kept[0]
+    near = texts_of(spark, [f"<article><p>The same article under two addresses</p><p>{n}</p></article>" for n in range(2)])
+    assert near == [f"The same article under two addresses\n{n}" for n in range(2)]
