@@ -4,8 +4,9 @@ The DOM trees of the pages of one host are aligned by simple tree matching and m
 know on how many pages they stand, how much text and link text they hold, and whether their text varies between pages. Elements
 that stand alike on all pages that have their slot are template, if these are two or more and differ; the content lies where the text varies: below the article and main elements if
 the wrapper has any, else below the lowest node that covers the varying text outside links. Menus, headers, footers and the like are
-template even where their text varies. Merging is done per task first, then per host and share, then per host, so that no task
-sees all pages of a host.
+template even where their text varies. Slots are told apart by tag and by words of class and id that recur on the host's
+pages, so that a tree is bounded by the template. Merging is done per task first, then per host in rounds of shares, so that no
+task sees all pages of a host.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ KEPT, HINTED, DROPPED = range(3)
 #: element at that depth, or to the first of them with hint words, or nowhere below template.
 DEPTH = 60
 
+#: Share of a host's pages on which a word of class or id must stand to be part of labels.
+RECURS = 0.1
 #: Below so many pages, constant elements are template only if they hold at most half of the content's text.
 AGREE = 8
 #: Parts of lists and tables, which are template only with the whole list or table.
@@ -69,7 +72,7 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 
 
 class Node:
-    """An element of a page: its label (tag, class, id and role without digits) and its children and texts in order."""
+    """An element of a page: its label (tag, role, mark and recurring words of class and id) and its children and texts in order."""
 
     __slots__ = ("tag", "label", "skip", "items", "mark")
 
@@ -86,23 +89,33 @@ def _hints(value: str) -> bool:
     return False
 
 
-def _node(tag: str, token: str) -> Node:
-    label, skip = tag, DROPPED if tag in SKIPPED else KEPT
+def _words(kind: str, value: str) -> list[str]:
+    """Tokens of a class, or the id, without digits."""
+    words = ("-".join(re.findall(r"[a-z]+", token)) for token in value.split())
+    return [("#" if kind == "id" else "") + w for w in words if w]
+
+
+def _node(tag: str, token: str, ranks: dict[str, int] | None) -> Node:
+    skip, role, found = DROPPED if tag in SKIPPED else KEPT, "", set()
     for m in _ATTRIBUTE.finditer(token) if " " in token or "\n" in token or "\t" in token else ():
-        value = (m[2] or m[3] or m[4] or "").lower()
-        words = re.findall(r"[a-z]+", value)
-        if m[1].lower() == "role":
-            skip = DROPPED if value in ROLES else skip
-        elif m[1].lower() == "hidden":
+        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if kind == "role":
+            skip, role = DROPPED if value in ROLES else skip, value if value in ROLES or value == "main" else ""
+        elif kind == "hidden":
             skip = DROPPED
-        elif tag not in OPEN and _hints(value):
-            skip = max(skip, HINTED)
-        label += f" {m[1].lower()}={'-'.join(words)}"
+        else:
+            if tag not in OPEN and _hints(value):
+                skip = max(skip, HINTED)
+            found.update(_words(kind, value))
+    if ranks is not None:  # of the words that recur, the commonest and the rarest
+        known = sorted((ranks[w], w) for w in found if w in ranks)
+        found = {w for _, w in known[:1] + known[-1:]}
+    label = " ".join([tag, *(f"role={role}" for _ in role[:1]), *(str(skip) for _ in range(skip > 0)), *sorted(found)])
     return Node(tag, label, skip)
 
 
-def parse(source: str) -> Node:
-    """The tree of a page. Unclosed and misplaced tags are mended as browsers do in the common cases."""
+def parse(source: str, ranks: dict[str, int] | None = None) -> Node:
+    """The tree of a page, with labels of the words that have ranks, or all. Unclosed and misplaced tags are mended as browsers do in the common cases."""
     root = Node("html", "html", KEPT)
     stack = [root]
     over: list[Node] = []  # open elements below the depth that is kept
@@ -185,7 +198,7 @@ def parse(source: str) -> Node:
         if tag == "body":
             del stack[1:]
             cut(0)
-        node = _node(tag, token)
+        node = _node(tag, token, ranks)
         put(node)
         if tag in VOID or token.endswith("/>"):
             continue
@@ -416,10 +429,10 @@ def _weights(slot: list) -> tuple[int, float]:
 
 
 class Wrapper:
-    """A host's merged tree, ready to extract."""
+    """A host's merged tree, ready to extract, and the ranks of the words in its labels."""
 
-    def __init__(self, tree: list):
-        self.tree = tree
+    def __init__(self, tree: list, ranks: dict[str, int] | None = None):
+        self.tree, self.ranks = tree, ranks
         _settle(tree)
         roots, self.named, self.aside = content_roots(tree)
         self.roots = set(roots)
@@ -494,51 +507,106 @@ def extract(source: str | None, wrapper: Wrapper | None) -> str:
     """Main text of a page: its blocks joined by newlines."""
     if not source:
         return ""
-    page = parse(source)
-    blocks = wrapper.blocks(page) if wrapper else None
+    blocks = wrapper.blocks(parse(source, wrapper.ranks)) if wrapper else None
     if blocks is None:
+        page = parse(source)
         blocks = Wrapper(tree_of(page)).blocks(page)
     return "\n".join(blocks or [])
 
 
+def _ranks(words: list[str] | None) -> dict[str, int] | None:
+    return None if words is None else {w: k for k, w in enumerate(words)}
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages that have a word of class or id, per host; the word "" counts all pages."""
+    counts: Counter[tuple[str | None, str]] = Counter()
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if counts:
+            hosts, words = zip(*counts)
+            arrays = [pa.array(hosts, pa.string()), pa.array(words, pa.string()), pa.array(list(counts.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["host", "word", "n"])
+            counts.clear()
+
+    for batch in batches:
+        for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if source := source.as_py():
+                words = {""}
+                for token in re.findall(r"<[a-zA-Z][^<>]*=[^<>]*", source):
+                    for m in _ATTRIBUTE.finditer(token):
+                        if (kind := m[1].lower()) in ("class", "id"):
+                            words.update(_words(kind, (m[2] or m[3] or m[4] or "").lower()))
+                counts.update((host, w) for w in words)
+            if len(counts) > 100_000:
+                yield from flush()
+    yield from flush()
+
+
+def recurring_words(pages: DataFrame) -> DataFrame:
+    """Words of class and id that stand on two pages or more and on ``RECURS`` of a host's pages, commonest first: host, words.
+
+    So a host has at most 1 / ``RECURS`` times as many as its pages have on average. On a host with one page all words count.
+    """
+    counts = pages.where("html IS NOT NULL").mapInArrow(_count_words, "host string, word string, n long")
+    counts = counts.groupBy("host", "word").agg(F.sum("n").alias("n"))
+    sizes = counts.where("word = ''").select("host", F.col("n").alias("pages"))
+    kept = counts.where("word <> ''").join(sizes, "host").where((F.col("pages") == 1) | (F.col("n") >= F.greatest(F.lit(2), F.col("pages") * RECURS)))
+    words = kept.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("words"))
+    return sizes.join(words, "host", "left").select("host", F.coalesce(F.col("words.word"), F.array().cast("array<string>")).alias("words"))
+
+
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trees: dict[str, list] = {}
+    ranks: dict[str, dict[str, int] | None] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
         if trees:
-            packed = [json.dumps(t, separators=(",", ":")) for t in trees.values()]
+            packed = [_pack(list(ranks[h]) if ranks[h] is not None else None, t) for h, t in trees.items()]
             yield pa.RecordBatch.from_arrays([pa.array(list(trees), pa.string()), pa.array(packed, pa.string())], ["host", "wrapper"])
             trees.clear()
+            ranks.clear()
 
     for batch in batches:
-        for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for host, source, words in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             if source := source.as_py():
-                tree = tree_of(parse(source))
+                if host not in ranks:
+                    ranks[host] = _ranks(words.as_py())
+                tree = tree_of(parse(source, ranks[host]))
                 trees[host] = merge(trees[host], tree) if host in trees else tree
         if len(trees) > 2000:
             yield from flush()
     yield from flush()
 
 
+def _pack(words: list[str] | None, tree: list) -> str:
+    return json.dumps([words, tree], separators=(",", ":"))
+
+
 def _merge_group(group: pa.Table) -> pa.Table:
-    host, merged = group["host"][0].as_py(), None
-    for packed in group["wrapper"]:
-        tree = json.loads(packed.as_py())
+    host, words, merged = group["host"][0].as_py(), None, None
+    for packed in sorted(group["wrapper"].to_pylist()):
+        words, tree = json.loads(packed)
         merged = tree if merged is None else merge(merged, tree)
-    return pa.table({"host": pa.array([host], pa.string()), "wrapper": pa.array([json.dumps(merged, separators=(",", ":"))], pa.string())})
+    return pa.table({"host": pa.array([host], pa.string()), "wrapper": pa.array([_pack(words, merged)], pa.string())})
 
 
-def induce_wrappers(pages: DataFrame, shares: int = 64) -> DataFrame:
-    """One wrapper per host: host, wrapper (JSON). Takes host and html."""
-    trees = pages.select("host", "html").where("html IS NOT NULL").mapInArrow(_skeletons, "host string, wrapper string")
-    trees = trees.withColumn("share", F.pmod(F.xxhash64("wrapper"), F.lit(shares)))
+def induce_wrappers(pages: DataFrame, rounds: tuple[int, ...] = (512, 64, 8)) -> DataFrame:
+    """One wrapper per host: host, wrapper (JSON of the words in its labels and its tree). Takes host and html.
+
+    A host's trees are merged in rounds of fewer and fewer shares.
+    """
+    pages = pages.select("host", "html").where("html IS NOT NULL")
+    words = written(recurring_words(pages), "wrapper-words")
+    trees = pages.join(words, "host", "left").select("host", "html", "words").mapInArrow(_skeletons, "host string, wrapper string")
 
     def run(group: pa.Table) -> pa.Table:
         return _merge_group(group)
 
-    for keys in (["host", "share"], ["host"]):
-        trees = trees.groupBy(*keys).applyInArrow(run, "host string, wrapper string")
-    return trees
+    for shares in rounds:
+        trees = trees.withColumn("share", F.pmod(F.xxhash64("wrapper"), F.lit(shares)))
+        trees = trees.groupBy("host", "share").applyInArrow(run, "host string, wrapper string")
+    return trees.groupBy("host").applyInArrow(run, "host string, wrapper string")
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -551,7 +619,8 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iter
             if tree is not None and tree not in ready:
                 if len(ready) >= 1000:
                     ready.clear()
-                ready[tree] = Wrapper(json.loads(tree))
+                words, merged = json.loads(tree)
+                ready[tree] = Wrapper(merged, _ranks(words))
             texts.append(extract(source.as_py(), ready.get(tree)))
         columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*keep, "text"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.katz import RESERVE, SMALL, discounts, katz_scores
 from tamarack.llm.toxicity import Matcher, folded_words, labelled, train_toxicity
-from tamarack.llm.wrapper import extract, extract_pages, merge, parse, tree_of
+from tamarack.llm.wrapper import extract, extract_pages, induce_wrappers, merge, parse, tree_of
 from tests.llm.conftest import ODD
 
 
@@ -190,3 +190,13 @@ def test_constant_elements_of_any_tag_are_template(spark):
     assert kept[0] == kept[2] and "Licence" in kept[0]
     near = texts_of(spark, [f"<article><p>The same article under two addresses</p><p>{n}</p></article>" for n in range(2)])
     assert near == [f"The same article under two addresses\n{n}" for n in range(2)]
+
+
+def test_words_of_one_page_only_do_not_split_slots(spark):
+    names = ["".join(chr(97 + n // 26**k % 26) for k in range(3)) + "x" for n in range(60)]
+    page = "<div class='{0} entry' id='post-{0}'><p>Text {0} of the page {0}</p><p class='{0}'>Licence of the house</p></div><div class='foot'>Kept</div>"
+    pages = [page.format(w) for w in names]
+    assert texts_of(spark, pages) == [f"Text {w} of the page {w}" for w in names]
+    frame = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
+    words, tree = json.loads(induce_wrappers(frame).first()["wrapper"])
+    assert sorted(words) == ["entry", "foot"] and len(json.dumps(tree)) < 1000
