@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick after folding, normalised by length, with exception phrases.
 
 Terms are words, or word beginnings of four and six letters, after folding homoglyphs and digit substitutions. Their weights are
-log odds between toxic and clean training texts; a term needs evidence (a likelihood ratio over ``EVIDENCE``). Counts are kept
+log odds between toxic and clean training texts; a term needs evidence (a likelihood ratio over ``evidence_bar``, which rises with the number of terms tested). Counts are kept
 per fold, so that the curve from weighted matches to a probability is fitted on texts whose own fold did not shape the lexicon.
 """
 
@@ -17,7 +17,7 @@ from functools import partial
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,8 @@ EXCEPTIONS = (
     "not stupid", "not an idiot", "not worthless", "not pathetic",
 )
 
-#: Least likelihood-ratio statistic, and least log odds, of a term; a bound on the terms that reach the executors.
-EVIDENCE, LEAST_WEIGHT, MOST_TERMS = 12.0, 1.5, 100_000
+#: Least likelihood-ratio statistic, and least log odds, of a term; chance terms to expect at most, for which the statistic rises.
+EVIDENCE, LEAST_WEIGHT, CHANCE_TERMS = 12.0, 1.5, 1000
 
 #: Labels up to which they are broadcast to the texts; beyond it the texts are shuffled to them.
 BROADCAST_LABELS = 2_000_000
@@ -96,15 +96,19 @@ def _count_batches(batches: Iterator[pa.RecordBatch], folds: Sequence[int]) -> I
     yield from flush()
 
 
-def _weight(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float | None:
-    """Log odds of a term; None without evidence that toxic texts use it more."""
-    n, total = toxic + clean, all_toxic + all_clean
-    if not toxic or not all_toxic or not all_clean:
-        return None
-    expected_toxic, expected_clean = n * all_toxic / total, n * all_clean / total
-    evidence = 2 * (toxic * math.log(toxic / expected_toxic) + (clean * math.log(clean / expected_clean) if clean else 0.0))
-    weight = math.log((toxic + 0.5) / (all_toxic + 1)) - math.log((clean + 0.5) / (all_clean + 1))
-    return weight if weight >= LEAST_WEIGHT and evidence >= EVIDENCE else None
+def evidence_bar(tested: int) -> float:
+    """Least statistic of a term: exp(-bar / 2) bounds the chance of a term without effect, so at most ``CHANCE_TERMS`` pass by chance."""
+    return max(EVIDENCE, 2 * math.log(max(tested, 1) / CHANCE_TERMS))
+
+
+def _weight(toxic: Column, clean: Column, all_toxic: int, all_clean: int, bar: float) -> Column:
+    """Log odds of a term; null without evidence that toxic texts use it more."""
+    if not all_toxic or not all_clean:
+        return F.lit(None).cast("double")
+    share = (toxic + clean) / F.lit(float(all_toxic + all_clean))
+    both = toxic * F.log(toxic / (share * all_toxic)) + F.when(clean > 0, clean * F.log(clean / (share * all_clean))).otherwise(0.0)
+    weight = F.log((toxic + 0.5) / F.lit(all_toxic + 1.0)) - F.log((clean + 0.5) / F.lit(all_clean + 1.0))
+    return F.when((toxic > 0) & (weight >= LEAST_WEIGHT) & (2 * both >= bar), weight)
 
 
 class Matcher:
@@ -178,7 +182,7 @@ def train_toxicity(rows: DataFrame, exceptions: Sequence[str] = EXCEPTIONS, fold
     """Fit on rows of text, toxic (0 or 1) and fold, of all of which counts are taken.
 
     Rows without text or label are left out. With labels of one class only, every score is that class's share, 0 or 1 at most
-    nearly. The lexicon is bounded by evidence; beyond ``MOST_TERMS`` terms it raises an error, since terms go to every executor.
+    nearly. The lexicon holds every term with evidence and goes to every executor.
     """
     rows = rows.where(F.col("text").isNotNull() & F.col("toxic").isin(0, 1)).select(
         "text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold")
@@ -192,28 +196,20 @@ def train_toxicity(rows: DataFrame, exceptions: Sequence[str] = EXCEPTIONS, fold
     schema = "term string, " + ", ".join(f"{s} bigint" for s in slots)
     counted = rows.mapInArrow(partial(_count_batches, folds=list(folds)), schema)
     counted = counted.groupBy("term").agg(*[F.sum(s).alias(s) for s in slots])
-    clean = sum((F.col(s) for s in slots[2::2]), F.col(slots[0]))
-    toxic = sum((F.col(s) for s in slots[3::2]), F.col(slots[1]))
-    base = F.lit(total[1] / sum(total))
-    likely = 2 * toxic * F.log(toxic / ((toxic + clean) * base))  # at least the evidence, and at least that of all but one fold
-    terms = counted.where((toxic > 0) & (likely >= EVIDENCE / 2) & (toxic * total[0] > clean * total[1] * 2)).limit(4 * MOST_TERMS + 1)
-    found = terms.collect()
-    if len(found) > 4 * MOST_TERMS:
-        raise ValueError("the lexicon outgrew its bound; raise EVIDENCE")
-
-    def lexicon(without: int | None) -> dict[str, float]:
+    counted = written(counted, "toxicity-terms")
+    bar = evidence_bar(counted.count())
+
+    def weight(without: int | None) -> Column:
         left = [k for k, f in enumerate(folds) if f != without]
+        clean, toxic = (sum((F.col(f"n{2 * k + y}") for k in left), F.lit(0)) for y in (0, 1))
         size = [sum(sizes.get((folds[k], y), 0) for k in left) for y in (0, 1)]
-        out = {}
-        for r in found:
-            w = _weight(sum(r[f"n{2 * k + 1}"] for k in left), sum(r[f"n{2 * k}"] for k in left), size[1], size[0])
-            if w is not None:
-                out[r["term"]] = w
-        return out
-
-    lexicons = {None: lexicon(None)} | {f: lexicon(f) for f in folds}
-    if len(lexicons[None]) > MOST_TERMS:
-        raise ValueError("the lexicon outgrew its bound; raise EVIDENCE")
+        return _weight(toxic, clean, size[1], size[0], bar)
+
+    parts = [None, *folds]
+    weighed = counted.select("term", *[weight(f).alias(f"w{k}") for k, f in enumerate(parts)])
+    found = weighed.where(F.coalesce(*[F.col(f"w{k}") for k in range(len(parts))]).isNotNull()).collect()
+    lexicons = {f: {r["term"]: r[f"w{k}"] for r in found if r[f"w{k}"] is not None} for k, f in enumerate(parts)}
+    discard(counted)
     seen = ToxicityModel.strengths(rows.select("text", "toxic", "fold", F.col("fold").alias("_fold")), lexicons, exceptions, "text", "_fold")
     points = seen.groupBy("toxic", F.round("_strength", 4).alias("x")).agg(F.count(F.lit(1)).cast("double").alias("n"))
     points = points.select(F.col("toxic").cast("double").alias("label"), array_to_vector(F.array("x")).alias("features"), "n")

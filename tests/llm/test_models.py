@@ -200,3 +200,12 @@ def test_words_of_one_page_only_do_not_split_slots(spark):
     frame = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
     words, tree = json.loads(induce_wrappers(frame).first()["wrapper"])
     assert sorted(words) == ["entry", "foot"] and len(json.dumps(tree)) < 1000
+
+
+def test_many_rare_terms_do_not_end_the_training(spark):
+    """420,000 words that stand in two toxic texts only: more than 400,000 candidates before."""
+    words = [f"{a}{b}" for a in ("qa", "qe", "qi") for b in ("".join(chr(97 + n // 26**k % 26) for k in range(4)) for n in range(140_000))]
+    rows = [(" ".join(words[i : i + 20_000]), 1, f) for i in range(0, len(words), 20_000) for f in (0, 1)]
+    rows += [("plain text", 0, n % 3) for n in range(9 * len(rows))]
+    model = train_toxicity(spark.createDataFrame(rows, "text string, toxic int, fold int"))
+    assert "qaaaaa " not in model.lexicon and "plain " not in model.lexicon
