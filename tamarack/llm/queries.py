@@ -18,6 +18,7 @@ from tamarack.llm.sharding import kd_shards
 from tamarack.llm.topk import top_k
 from tamarack.llm.toxicity import labelled, train_toxicity
 from tamarack.llm.urls import PATTERN_RULES, SITE_RULES, compile_rule, judge_urls
+from tamarack.llm.whitening import whiten
 from tamarack.llm.wrapper import extract_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,3 +168,9 @@ def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bitmap_tile_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every embedding; a deviation beyond a long is null."""
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
