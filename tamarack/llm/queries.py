@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import crc_fold, table
+from tamarack.llm.codes import near_embeddings
 from tamarack.llm.containment import mark_leaks
 from tamarack.llm.jaccard import near_duplicates
 from tamarack.llm.katz import katz_scores
@@ -174,3 +175,20 @@ def op3_bitmap_tile_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 32 whitened components of every embedding; a deviation beyond a long is null."""
     return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@query(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v WHERE e IS NOT NULL
+        AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9),
+    reach AS (WITH RECURSIVE r(node, seen) AS (SELECT vec_id, vec_id FROM u UNION SELECT r.node, l.b FROM r JOIN links l ON l.a = r.seen)
+        SELECT node, min(seen) AS component_id FROM r GROUP BY node),
+    n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+        vec_id = coalesce(component_id, vec_id) AS kept FROM v LEFT JOIN n ON a = vec_id LEFT JOIN reach ON node = vec_id"""
+)
+def op13_rotated_code_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every embedding at cosine 0.9."""
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
