@@ -14,6 +14,7 @@ from tamarack.llm.containment import mark_leaks
 from tamarack.llm.jaccard import near_duplicates
 from tamarack.llm.katz import katz_scores
 from tamarack.llm.ledger import scan_documents, span_text
+from tamarack.llm.phrases import collocations
 from tamarack.llm.pieces import encode_documents
 from tamarack.llm.sharding import kd_shards
 from tamarack.llm.topk import top_k
@@ -192,3 +193,25 @@ def op11_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_rotated_code_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of every embedding at cosine 0.9."""
     return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    s AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM s GROUP BY lang),
+    g AS (SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f FROM (
+        SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM s, (SELECT unnest(range(1, 6)) AS k)) GROUP BY ALL HAVING count(*) >= 100),
+    c AS (SELECT lang, k, g, f AS a, array_to_string(g, ' ') AS phrase FROM g WHERE k > 1),
+    cut AS (SELECT c.lang, c.phrase, c.a, n.n, j, x.f AS l, y.f AS r, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN n USING (lang)
+        JOIN g x ON x.lang = c.lang AND x.g = c.g[1:j] JOIN g y ON y.lang = c.lang AND y.g = c.g[j + 1:]),
+    low AS (SELECT lang, phrase, a, n, min({'score': score, 'j': j, 'l': l, 'r': r}) AS m FROM cut GROUP BY ALL),
+    kept AS (SELECT lang, phrase, a, m.l AS l, m.r AS r, n, CAST(m.score AS BIGINT) AS score FROM low WHERE NOT EXISTS (
+        SELECT 1 FROM c WHERE c.lang = low.lang AND c.a >= low.a AND length(c.phrase) > length(low.phrase)
+            AND contains(' ' || c.phrase || ' ', ' ' || low.phrase || ' ')))
+    SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000"""
+)
+def op12_bidirectional_index_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of every language."""
+    return collocations(table(spark, sf_dir, "documents"))
