@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamarack.llm.common import discard, written
+from tamarack.llm.common import discard, new_path, written
+from tamarack.session import shuffle_width
 
 #: Words of a shard, and bytes of text that are split at once.
 SHARD_WORDS, SPLIT_BYTES = 2**21, 2**20
 
-#: Entries up to which a table by shard is broadcast (24 bytes each); beyond it the indexes are shuffled to it.
+#: Frequent phrases up to which their numbers are broadcast (24 bytes each).
 BROADCAST_ENTRIES = 1_000_000
 
 #: Ends of a piece, in bytes; they become one byte that no UTF-8 text holds.
@@ -221,8 +223,19 @@ def _extensions(batches: Iterator[pa.RecordBatch], right: bool, first_round: boo
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "base", "word", "count", "forward_low", "backward_low"])
 
 
-def _to_shards(indexes: DataFrame, by_shard: DataFrame, entries: int) -> DataFrame:
-    return indexes.join(F.broadcast(by_shard) if entries <= BROADCAST_ENTRIES else by_shard, "shard")
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, bucketed by shard: what is joined to it by shard moves, the table itself never does."""
+    spark = df.sparkSession
+    path, table = new_path(spark, name), f"tamarack_{name}_{uuid.uuid4().hex}"
+    df.write.option("path", path).bucketBy(shuffle_width(spark), "shard").saveAsTable(table)
+    out = spark.table(table)
+    out.written_to, out.table_name = path, table
+    return out
+
+
+def _drop(df: DataFrame) -> None:
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.table_name}")
+    discard(df)
 
 
 def _with(values: str, value: str) -> Column:
@@ -272,44 +285,43 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = 5, best: i
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text"))
     most = SHARD_WORDS
-    shards = written(texts.mapInArrow(lambda b: _shards(b, most), _SHARDS), "shards")
+    shards = _bucketed(texts.mapInArrow(lambda b: _shards(b, most), _SHARDS), "shards")
     sizes = written(shards.groupBy("lang").agg(F.sum("n_words").alias("n")), "sizes")
     own = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))
-    own = own.select("shard", "lang", (F.col("place") + 1).alias("place"), F.col("entry.words").alias("phrase"), F.col("entry.counts").alias("count"))
-    words = own.groupBy("lang", "phrase").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    none = F.array().cast("array<long>")
     number = F.monotonically_increasing_id()
-    words = written(words.select(number.alias("number"), "lang", "phrase", "f"), "words")
-    shorter = words.select("*", F.lit(None).cast("long").alias("beginning"), F.lit(None).cast("long").alias("end"), F.col("number").alias("first"), F.col("number").alias("last"), none.alias("beginnings"), none.alias("ends"))
-    held = own.select("shard", "lang", "place", "phrase").join(words.select("number", "lang", "phrase"), ["lang", "phrase"])
-    by_shard = written(held.groupBy("shard").agg(F.collect_list("place").alias("places"), F.collect_list("number").alias("numbers")), "numbers")
-    entries = by_shard.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
+    own = own.select("shard", "lang", (F.col("place") + 1).alias("place"), F.col("entry.words").alias("phrase"), F.col("entry.counts").alias("count"), number.alias("own"))
+    everywhere = W.partitionBy("lang", "phrase")  # one row per shard that has the word
+    held = own.select("*", F.sum("count").over(everywhere).alias("f"), F.min("own").over(everywhere).alias("number")).where(F.col("f") >= least)
+    held = written(held, "held")
+    words = written(held.where("own = number").select("number", "lang", "phrase", "f"), "words")
+    none = F.array().cast("array<long>")
+    unknown = F.lit(None).cast("long")
+    shorter = words.select("*", unknown.alias("beginning"), unknown.alias("end"), F.col("number").alias("first"), F.col("number").alias("last"), none.alias("beginnings"), none.alias("ends"))
+    by_shard = held.groupBy("shard").agg(F.collect_list("place").alias("places"), F.collect_list("number").alias("numbers"))
     depth = max(1, most_words - 1)
-    indexes = written(_to_shards(shards.select("shard", "length", "ids"), by_shard, entries).mapInArrow(lambda b: _indexes(b, depth), _INDEX), "index")
-    discard(shards, by_shard)
+    source = shards.select("shard", "length", "ids").join(by_shard, "shard")
+    indexes = _bucketed(source.mapInArrow(lambda b: _indexes(b, depth), _INDEX), "index")
+    _drop(shards)
     phrases, state, found = [], None, None
     for size in range(2, most_words + 1):
         right, opening = size % 2 == 0, size == 2
         columns = ["shard", "length", "words", "backward" if right else "forward"]
-        source = indexes.select(*columns) if opening else _to_shards(indexes.select(*columns), state, entries)
+        source = indexes.select(*columns) if opening else indexes.select(*columns).join(state, "shard")
         found = written(source.mapInArrow(lambda b, right=right, opening=opening: _extensions(b, right, opening), _FOUND), "found")
         frequent = found.groupBy("base", "word").agg(F.sum(F.col("count").cast("long")).alias("f")).where(F.col("f") >= least)
         frequent = written(frequent.select(number.alias("number"), "base", "word", "f"), "frequent")
         n = frequent.count()
         shorter = written(_described(frequent, shorter, words, right, size), "phrases")
         phrases.append(shorter)
-        if state is not None:
-            discard(state)
         if not n or size == most_words:
             discard(found)
             break
         keys = frequent.select("number", "base", "word")
         back = found.join(F.broadcast(keys) if n <= BROADCAST_ENTRIES else keys, ["base", "word"])
         entry = F.struct("number", "count", "forward_low", "backward_low")
-        state = written(back.groupBy("shard").agg(F.collect_list(entry).alias("phrases")), "state")
-        entries = state.agg(F.coalesce(F.sum(F.size("phrases")), F.lit(0))).first()[0]
-        discard(found)
-    discard(indexes)
+        last, state = state, written(back.groupBy("shard").agg(F.collect_list(entry).alias("phrases")), "state")
+        discard(found, *([last] if last is not None else []))
+    _drop(indexes)
     kept = []
     for k, some in enumerate(phrases):
         if k + 1 < len(phrases):
