@@ -8,6 +8,8 @@
 3. Phrases grow by one word a round, on the right and on the left in turn. A shard extends what is frequent in the whole collection,
    and only to phrases that are frequent without their far word too. Counts are summed over shards; a frequent phrase goes back to the
    shards that hold it, with their own intervals, so that no list of all phrases is needed anywhere.
+   Pairs of words, by far the most, are first counted in hashed counters, which are dealt out in ranges and answered with one bit per
+   counter that a shard has used: a pair whose counter stays below the bar cannot be frequent and is not sent.
 4. Frequent phrases know the counts of all their beginnings and ends; the cut of least score is the phrase's score.
 """
 
@@ -23,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamarack.llm.common import discard, new_path, written
+from tamarack.llm.common import discard, mix, new_path, written
 from tamarack.session import shuffle_width
 
 #: Words of a shard, and bytes of text that are split at once.
 SHARD_WORDS, SPLIT_BYTES = 2**21, 2**20
 
-#: Frequent phrases up to which their numbers are broadcast (24 bytes each).
-BROADCAST_ENTRIES = 1_000_000
+#: Words for each counter of pairs; counters of a range at least, and ranges at most (so many rows a shard sends).
+WORDS_A_COUNTER, RANGE_COUNTERS, RANGES = 8, 2**16, 4096
 
 #: Ends of a piece, in bytes; they become one byte that no UTF-8 text holds.
 ENDS, BREAK = b".,;:!?\x0a\x0b\x0c\x0d", b"\xff"
@@ -192,33 +194,88 @@ def extend(
     return phrase, symbol, new_low, new_other, counts
 
 
+def _opening(row: dict, words: np.ndarray, here: str) -> tuple[np.ndarray, ...]:
+    """All pairs of a shard's frequent words: first word, second word, low, other, count."""
+    bwt = unpack(row[here].as_py(), row["length"].as_py())
+    size = np.bincount(bwt, minlength=len(words) + 1)
+    low = np.cumsum(size)[:-1]
+    phrase, symbol, *rest = extend(bwt, low, low, size[1:], len(words), False)
+    return words[phrase], words[symbol - 1], *rest
+
+
+def counter_of(base: np.ndarray, word: np.ndarray, counters: int) -> np.ndarray:
+    """The counter of each pair; ``counters`` is a power of two."""
+    return (mix(mix(base.astype(np.uint64)) + word.astype(np.uint64)) & np.uint64(counters - 1)).astype(np.int64)
+
+
+_NOTED = "range long, shard long, n int, places binary, counts binary"
+
+
+def _noted(batches: Iterator[pa.RecordBatch], counters: int, width: int, least: int) -> Iterator[pa.RecordBatch]:
+    """What each shard adds to the counters of pairs, by range of ``width`` counters; ``least`` and more count alike."""
+    for batch in batches:
+        for k in range(len(batch)):
+            row = {c: batch.column(c)[k] for c in batch.schema.names}
+            base, word, _, _, count = _opening(row, row["words"].values.to_numpy(), "backward")
+            used, at = np.unique(counter_of(base, word, counters), return_inverse=True)
+            total = np.minimum(np.bincount(at, count, len(used)), least).astype(np.int32)
+            ranges, first = np.unique(used // width, return_index=True)
+            parts = list(zip(ranges.tolist(), np.split(used % width, first[1:]), np.split(total, first[1:])))
+            columns = [
+                pa.array(ranges), pa.array([row["shard"].as_py()] * len(parts), pa.int64()), pa.array([len(p) for _, p, _ in parts], pa.int32()),
+                pa.array([pack(np.diff(p, prepend=0).astype(np.int32)) for _, p, _ in parts], pa.binary()),
+                pa.array([pack(t) for _, _, t in parts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["range", "shard", "n", "places", "counts"])
+
+
+def _answered(table: pa.Table, width: int, least: int) -> pa.Table:
+    """For each shard of a range, which of its counters reach ``least`` in all shards together."""
+    total = np.zeros(width, np.int64)
+    rows = list(zip(*(table[c].to_pylist() for c in ("n", "places", "counts"))))
+    for n, places, counts in rows:
+        total[np.cumsum(unpack(places, n))] += unpack(counts, n)
+    enough = total >= least
+    bits = [np.packbits(enough[np.cumsum(unpack(places, n))]).tobytes() for n, places, _ in rows]
+    return pa.table({"shard": table["shard"], "range": table["range"], "bits": pa.array(bits, pa.binary())})
+
+
+def _possible(row: dict, base: np.ndarray, word: np.ndarray, counters: int, width: int) -> np.ndarray:
+    """Which pairs of a shard have a counter that is high enough."""
+    used, at = np.unique(counter_of(base, word, counters), return_inverse=True)
+    ranges, first = np.unique(used // width, return_index=True)
+    answers = {a["range"]: a["bits"] for a in row["answers"].as_py()}
+    parts = [np.unpackbits(np.frombuffer(answers[r], np.uint8))[: len(p)] for r, p in zip(ranges.tolist(), np.split(used, first[1:]))]
+    return (np.concatenate(parts) if parts else np.zeros(0, np.uint8)).astype(bool)[at]
+
+
 _FOUND = "shard long, base long, word long, count int, forward_low int, backward_low int"
 
 
-def _extensions(batches: Iterator[pa.RecordBatch], right: bool, first_round: bool) -> Iterator[pa.RecordBatch]:
-    """Extensions of a shard's frequent phrases on one side."""
+def _extensions(batches: Iterator[pa.RecordBatch], right: bool, opening: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
+    """Extensions of a shard's frequent phrases on one side; at first pairs of words, where their counter allows."""
     here, there = ("backward", "forward") if right else ("forward", "backward")
     for batch in batches:
         for k in range(len(batch)):
             row = {c: batch.column(c)[k] for c in batch.schema.names}
             words = row["words"].values.to_numpy()
-            bwt = unpack(row[here].as_py(), row["length"].as_py())
-            if first_round:
-                size = np.bincount(bwt, minlength=len(words) + 1)
-                low = other = np.cumsum(size)[:-1]
-                count, base = size[1:], words
+            if opening:
+                found = _opening(row, words, here)
+                found = [a[_possible(row, *found[:2], *opening)] for a in found]
             else:
                 phrases = row["phrases"].values
                 base, count, low, other = (phrases.field(c).to_numpy().astype(np.int64) for c in ("number", "count", f"{here}_low", f"{there}_low"))
                 order = np.argsort(low)
-                base, count, low, other = base[order], count[order], low[order], other[order]
-            phrase, symbol, low, other, count = extend(bwt, low, other, count, len(words), not first_round)
+                bwt = unpack(row[here].as_py(), row["length"].as_py())
+                phrase, symbol, *rest = extend(bwt, low[order], other[order], count[order], len(words), True)
+                found = [base[order][phrase], words[symbol - 1], *rest]
+            base, word, low, other, count = found
             lows = {here: low, there: other}
-            for at in range(0, len(phrase), 2**17):
+            for at in range(0, len(base), 2**17):
                 part = slice(at, at + 2**17)
                 columns = [
-                    np.full(len(phrase[part]), row["shard"].as_py(), np.int64), base[phrase[part]], words[symbol[part] - 1],
-                    count[part].astype(np.int32), lows["forward"][part].astype(np.int32), lows["backward"][part].astype(np.int32),
+                    np.full(len(base[part]), row["shard"].as_py(), np.int64), base[part], word[part], count[part].astype(np.int32),
+                    lows["forward"][part].astype(np.int32), lows["backward"][part].astype(np.int32),
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "base", "word", "count", "forward_low", "backward_low"])
 
@@ -233,6 +290,17 @@ def _bucketed(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _counted(own: DataFrame, *key: str, least: int) -> DataFrame:
+    """Rows of shards whose ``key`` occurs ``least`` times in all shards together, with that sum as f and a number of the key.
+
+    A key has one row per shard that holds it; the row whose ``own`` number is the key's stands for the key.
+    """
+    own = own.withColumn("own", F.monotonically_increasing_id())
+    everywhere = W.partitionBy(*key)
+    count = F.sum(F.col("count").cast("long")).over(everywhere)
+    return written(own.select("*", count.alias("f"), F.min("own").over(everywhere).alias("number")).where(F.col("f") >= least), "held")
+
+
 def _drop(df: DataFrame) -> None:
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.table_name}")
     discard(df)
@@ -288,11 +356,8 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = 5, best: i
     shards = _bucketed(texts.mapInArrow(lambda b: _shards(b, most), _SHARDS), "shards")
     sizes = written(shards.groupBy("lang").agg(F.sum("n_words").alias("n")), "sizes")
     own = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))
-    number = F.monotonically_increasing_id()
-    own = own.select("shard", "lang", (F.col("place") + 1).alias("place"), F.col("entry.words").alias("phrase"), F.col("entry.counts").alias("count"), number.alias("own"))
-    everywhere = W.partitionBy("lang", "phrase")  # one row per shard that has the word
-    held = own.select("*", F.sum("count").over(everywhere).alias("f"), F.min("own").over(everywhere).alias("number")).where(F.col("f") >= least)
-    held = written(held, "held")
+    own = own.select("shard", "lang", (F.col("place") + 1).alias("place"), F.col("entry.words").alias("phrase"), F.col("entry.counts").alias("count"))
+    held = _counted(own, "lang", "phrase", least=least)
     words = written(held.where("own = number").select("number", "lang", "phrase", "f"), "words")
     none = F.array().cast("array<long>")
     unknown = F.lit(None).cast("long")
@@ -302,25 +367,27 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = 5, best: i
     source = shards.select("shard", "length", "ids").join(by_shard, "shard")
     indexes = _bucketed(source.mapInArrow(lambda b: _indexes(b, depth), _INDEX), "index")
     _drop(shards)
-    phrases, state, found = [], None, None
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counters = 1 << max(16, (total // WORDS_A_COUNTER).bit_length())
+    width = max(RANGE_COUNTERS, counters // RANGES)
+    noted = indexes.select("shard", "length", "words", "backward").mapInArrow(lambda b: _noted(b, counters, width, least), _NOTED)
+    answered = noted.groupBy("range").applyInArrow(lambda t: _answered(t, width, least), "shard long, range long, bits binary")
+    state = answered.groupBy("shard").agg(F.collect_list(F.struct("range", "bits")).alias("answers"))
+    phrases = []
     for size in range(2, most_words + 1):
-        right, opening = size % 2 == 0, size == 2
-        columns = ["shard", "length", "words", "backward" if right else "forward"]
-        source = indexes.select(*columns) if opening else indexes.select(*columns).join(state, "shard")
-        found = written(source.mapInArrow(lambda b, right=right, opening=opening: _extensions(b, right, opening), _FOUND), "found")
-        frequent = found.groupBy("base", "word").agg(F.sum(F.col("count").cast("long")).alias("f")).where(F.col("f") >= least)
-        frequent = written(frequent.select(number.alias("number"), "base", "word", "f"), "frequent")
-        n = frequent.count()
+        right, opening = size % 2 == 0, (counters, width) if size == 2 else None
+        source = indexes.select("shard", "length", "words", "backward" if right else "forward").join(state, "shard")
+        found = source.mapInArrow(lambda b, right=right, opening=opening: _extensions(b, right, opening), _FOUND)
+        last, held = held, _counted(found, "base", "word", least=least)
+        discard(last)
+        frequent = written(held.where("own = number").select("number", "base", "word", "f"), "frequent")
         shorter = written(_described(frequent, shorter, words, right, size), "phrases")
         phrases.append(shorter)
-        if not n or size == most_words:
-            discard(found)
+        if not frequent.count():
             break
-        keys = frequent.select("number", "base", "word")
-        back = found.join(F.broadcast(keys) if n <= BROADCAST_ENTRIES else keys, ["base", "word"])
         entry = F.struct("number", "count", "forward_low", "backward_low")
-        last, state = state, written(back.groupBy("shard").agg(F.collect_list(entry).alias("phrases")), "state")
-        discard(found, *([last] if last is not None else []))
+        state = held.groupBy("shard").agg(F.collect_list(entry).alias("phrases"))
+    discard(held)
     _drop(indexes)
     kept = []
     for k, some in enumerate(phrases):

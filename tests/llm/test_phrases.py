@@ -51,11 +51,12 @@ def texts(rng, n, vocabulary, size):
     return out
 
 
-@pytest.mark.parametrize("shard_words,broadcast,most_words", [(2**21, 10**6, 5), (150, 0, 5), (150, 10**6, 3), (400, 10**6, 2)])
-def test_equals_brute_force(spark, monkeypatch, shard_words, broadcast, most_words):
-    """One shard per task, many small shards, joins by shuffle, and fewer words."""
+@pytest.mark.parametrize("shard_words,ranges,most_words", [(2**21, 4096, 5), (150, 4096, 5), (150, 3, 3), (400, 4096, 2)])
+def test_equals_brute_force(spark, monkeypatch, shard_words, ranges, most_words):
+    """One shard per task, many small shards, counters in ranges of another size, and fewer words."""
     monkeypatch.setattr(phrases, "SHARD_WORDS", shard_words)
-    monkeypatch.setattr(phrases, "BROADCAST_ENTRIES", broadcast)
+    monkeypatch.setattr(phrases, "RANGES", ranges)
+    monkeypatch.setattr(phrases, "RANGE_COUNTERS", 2**16 if ranges > 3 else 2**10)
     rng = random.Random(shard_words)
     vocabulary = "a b c The the Été été λ x|y 文字 -- it's of of of in light".split()
     rows = [(lang, t) for lang, n in (("en", 120), ("fr", 60), (None, 30), ("und", 30), ("rare", 2)) for t in texts(rng, n, vocabulary, 30)]
