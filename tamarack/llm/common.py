@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -74,12 +75,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def tidy() -> None:
+    """Free what earlier tasks of a worker have left.
+
+    Code that is shipped by value brings its own module state into each task. That state is part of reference cycles, which large
+    arrays in it do not make Python collect any sooner.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STATE: dict[str, np.ndarray] = {}
 
 
 def _tables() -> dict[str, np.ndarray]:
     if not _STATE:
+        tidy()
         byte = np.arange(256, dtype=np.uint8)
         _STATE["lower"] = np.where((byte >= 65) & (byte <= 90), byte + 32, byte).astype(np.uint8)
         _STATE["space"] = (byte == 32) | ((byte >= 9) & (byte <= 13))

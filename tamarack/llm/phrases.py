@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamarack.llm.common import discard, mix, new_path, written
+from tamarack.llm.common import discard, mix, new_path, tidy, written
 from tamarack.session import shuffle_width
 
 #: Words of a shard, and bytes of text that are split at once.
-SHARD_WORDS, SPLIT_BYTES = 2**21, 2**20
+SHARD_WORDS, SPLIT_BYTES = 2**20, 2**20
 
 #: Words for each counter of pairs; counters of a range at least, and ranges at most (so many rows a shard sends).
 WORDS_A_COUNTER, RANGE_COUNTERS, RANGES = 8, 2**16, 4096
@@ -81,6 +81,7 @@ _SHARDS = "shard long, lang string, n_words long, length int, ids binary, words
 
 def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Shards of one language each, of about ``most`` words."""
+    tidy()
     open_: dict[str, tuple[Vocabulary, list[np.ndarray]]] = {}
     sizes: dict[str, int] = {}
     made = 0
@@ -143,6 +144,7 @@ _INDEX = "shard long, length int, words array<long>, forward binary, backward bi
 
 def _indexes(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     """Transforms of each shard's frequent words and of the same reversed; words[k - 1] is the number of symbol k."""
+    tidy()
     for batch in batches:
         for row in batch.to_pylist():
             numbers = np.array(row["numbers"], np.int64)
@@ -213,6 +215,7 @@ _NOTED = "range long, shard long, n int, places binary, counts binary"
 
 def _noted(batches: Iterator[pa.RecordBatch], counters: int, width: int, least: int) -> Iterator[pa.RecordBatch]:
     """What each shard adds to the counters of pairs, by range of ``width`` counters; ``least`` and more count alike."""
+    tidy()
     for batch in batches:
         for k in range(len(batch)):
             row = {c: batch.column(c)[k] for c in batch.schema.names}
@@ -255,6 +258,7 @@ _FOUND = "shard long, base long, word long, count int, forward_low int, backward
 def _extensions(batches: Iterator[pa.RecordBatch], right: bool, opening: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
     """Extensions of a shard's frequent phrases on one side; at first pairs of words, where their counter allows."""
     here, there = ("backward", "forward") if right else ("forward", "backward")
+    tidy()
     for batch in batches:
         for k in range(len(batch)):
             row = {c: batch.column(c)[k] for c in batch.schema.names}

@@ -20,10 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tamarack.llm.common import tidy
+
 SPACE = "▁"
 
-#: Chunks, and pairs of tokens, that a task keeps at most; when full, the store begins anew. Bounds memory only.
-KEPT = 250_000
+#: Pairs of tokens that a task keeps at most, and bytes of chunks with their ids (an entry counts at least ENTRY bytes, what Python needs
+#: for it); when full, the store begins anew. Bounds memory only.
+KEPT, KEPT_BYTES, ENTRY = 250_000, 24 * 2**20, 200
 
 
 class PieceModel:
@@ -153,16 +156,20 @@ class Chunks(dict):
 
     def __init__(self, model: PieceModel):
         super().__init__()
-        self.model, self.old = model, {}
+        self.model, self.old, self.held = model, {}, 0
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= KEPT:
-            self.old = dict(self)
-            self.clear()
         ids = self.old.get(word)
         if ids is None:
             ids = np.array(self.model.chunk_ids(SPACE + word), "<u4").tobytes()
+        size = ENTRY + 4 * len(word) + len(ids)
+        if size > KEPT_BYTES // 16:  # a text without spaces, say: not worth the room
+            return ids
+        if self.held + size > KEPT_BYTES:
+            self.old, self.held = dict(self), 0
+            self.clear()
         self[word] = ids
+        self.held += size
         return ids
 
 
@@ -250,6 +257,7 @@ RESULT = T.StructType(
 def _encode_batches(
     batches: Iterator[pa.RecordBatch], path: str, column: str, keep: list[str], with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
+    tidy()
     encoder = Encoder(path)
     for batch in batches:
         at = batch.schema.get_field_index(column)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarack.llm.common import crc_fold, discard, written
+from tamarack.llm.common import crc_fold, discard, tidy, written
 
 #: Letters that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {
@@ -75,6 +75,7 @@ def terms_of(words: set[str]) -> set[str]:
 
 def _count_batches(batches: Iterator[pa.RecordBatch], folds: Sequence[int]) -> Iterator[pa.RecordBatch]:
     """Per term: in how many toxic and clean texts of each fold; text, toxic, fold come in."""
+    tidy()
     counts: Counter = Counter()
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -91,7 +92,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], folds: Sequence[int]) -> I
         for text, toxic, fold in zip(*(batch.column(k).to_pylist() for k in range(3))):
             slot = 2 * folds.index(fold) + toxic
             counts.update((t, slot) for t in terms_of(set(folded_words(text))))
-            if len(counts) > 400_000:
+            if len(counts) > 150_000:
                 yield from flush()
     yield from flush()
 
@@ -147,6 +148,7 @@ class Matcher:
 def _score_batches(
     batches: Iterator[pa.RecordBatch], lexicons: dict, exceptions: Sequence[str], keep: list[str], column: str, fold: str
 ) -> Iterator[pa.RecordBatch]:
+    tidy()
     matchers = {k: Matcher(v, exceptions) for k, v in lexicons.items()}
     for batch in batches:
         value = []
