@@ -11,7 +11,8 @@ from tamarack.functions.parsing import duration_lenient, duration_strict, parse_
 from tamarack.functions.text import token_count, with_keyword_flags, with_token_stats
 from tamarack.operators import clean, correlation, profile
 from tamarack.operators.joins import lookup_join, skew_join
-from tamarack.operators.ordering import dense_codes, exact_quantiles, percentile_rank
+from tamarack.operators.ordering import dense_codes
+from tamarack.operators.selection import exact_quantiles, percentile_rank
 from tamarack.session import spread
 from tamarack.sources.readers import info
 

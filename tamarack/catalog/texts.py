@@ -17,7 +17,7 @@ from tamarack.functions.text import (
     with_token_stats,
 )
 from tamarack.operators.lexicon import with_entity_counts, with_sentiment
-from tamarack.operators.ordering import percentile_rank
+from tamarack.operators.selection import percentile_rank
 from tamarack.operators.splitting import with_split
 from tamarack.operators.vectors import TRIGRAMS, vocabulary
 from tamarack.session import spread

@@ -1,6 +1,6 @@
-"""Exact order statistics without sorting a whole table, or a whole group, in one task.
+"""Running totals, codes, row numbers and exact picks without sorting a whole table, or a whole group, in one task.
 
-All of them rest on :func:`running_totals`: the rows are first reduced to one row per distinct
+Quantiles and ranks are in :mod:`tamarack.operators.selection`. All here rest on :func:`running_totals`: the rows are first reduced to one row per distinct
 value, values are cut into ranges, range totals are summed over the (few) ranges, and only the
 rows of one range of one group are ever sorted together.
 """
@@ -88,54 +88,6 @@ def value_counts_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     )
 
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    quantiles: dict[str, float],
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group, one column per entry of ``quantiles``.
-
-    A group may hold any number of rows: it is never gathered in one task.
-    """
-    ranked = running_totals(written_counts(df, keys, value), keys, value, ["n"])
-    aggregates = []
-    for name, q in quantiles.items():
-        spot = (F.col("n_total") - 1) * F.lit(float(q))
-        low, high = F.floor(spot), F.ceil(spot)
-        after = F.col("n_before") + F.col("n")
-        aggregates += [
-            F.max(F.when((F.col("n_before") <= low) & (low < after), F.col(value))).alias(f"_lo_{name}"),
-            F.max(F.when((F.col("n_before") <= high) & (high < after), F.col(value))).alias(f"_hi_{name}"),
-            F.max(spot - low).alias(f"_part_{name}"),
-        ]
-    out = ranked.groupBy(*keys).agg(*aggregates)
-    return out.select(
-        *keys,
-        *[
-            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
-            for n in quantiles
-        ],
-    )
-
-
-def percentile_rank(
-    df: DataFrame, keys: Sequence[str], value: str, output: str, salt_by: Sequence[str]
-) -> DataFrame:
-    """Average rank divided by the number of non-null values, within each group.
-
-    Ranks are computed on distinct values and joined back, so a group holding a third of all
-    rows costs no more than its number of distinct values.
-    """
-    counts = written_counts(df, keys, value)
-    ranks = running_totals(counts, keys, value, ["n"]).select(
-        *keys,
-        value,
-        ((F.col("n_before") + (F.col("n") + 1) / 2) / F.col("n_total")).alias(output),
-    )
-    return skew_join(df, ranks, [*keys, value], salt_by, "left", hot_from_counts(counts, [*keys, value], "n"))
-
-
 def dense_codes(df: DataFrame, value: str, output: str, salt_by: Sequence[str]) -> DataFrame:
     """Code every value by its place among the sorted distinct values; null gets -1."""
     counts = written_counts(df, [], value)

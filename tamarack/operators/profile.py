@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from tamarack.functions.constants import LAG_BINS, WEEKDAYS
 from tamarack.functions.dates import day_name, lag_bin
 from tamarack.operators.joins import lookup_join
-from tamarack.operators.ordering import exact_quantiles, running_totals, value_counts_by
+from tamarack.operators.ordering import running_totals, value_counts_by
+from tamarack.operators.selection import exact_quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 

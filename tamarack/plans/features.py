@@ -15,7 +15,7 @@ from tamarack.functions.text import with_keyword_flags, with_readability, with_t
 from tamarack.operators.factors import fit_svd, fit_topics, topic_features
 from tamarack.operators.joins import lookup_join
 from tamarack.operators.lexicon import with_entity_counts, with_sentiment
-from tamarack.operators.ordering import percentile_rank
+from tamarack.operators.selection import percentile_rank
 from tamarack.operators.profile import group_stats
 from tamarack.operators.similarity import pair_cosine
 from tamarack.operators.vectors import TRIGRAMS, UNIGRAMS, fit_transform_tfidf

@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tamarack.operators import clean, correlation, factors, lexicon, metrics, models, ordering, profile, splitting, tuning
+from tamarack.operators import clean, correlation, factors, lexicon, metrics, models, ordering, profile, selection, splitting, tuning
 from tamarack.operators.joins import fits, hot_keys, lookup_join, skew_join
 from tamarack.operators.neighbours import knn
 from tamarack.operators.resample import smote, synthetic_rows
@@ -41,7 +41,7 @@ def test_lookup_join_falls_back_when_large(spark):
 
 def test_percentile_rank(spark):
     df = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", 2), (4, "a", 5), (5, "a", None)], "i int, g string, x int")
-    got = ordering.percentile_rank(df, ["g"], "x", "p", ["i"]).select("i", "p")
+    got = selection.percentile_rank(df, ["g"], "x", "p", ["i"]).select("i", "p")
     assert rows(got, "i") == [(1, 0.25), (2, 0.625), (3, 0.625), (4, 1.0), (5, None)]
 
 
@@ -49,7 +49,7 @@ def test_quantiles_match_numpy_with_one_hot_group(spark):
     rng = np.random.default_rng(1)
     data = [(("hot" if i % 3 else f"g{i % 7}"), float(rng.integers(0, 500)) / 7) for i in range(2000)]
     df = spark.createDataFrame(data, "g string, x double")
-    got = {r["g"]: r for r in ordering.exact_quantiles(df, ["g"], "x", {"a": 0.25, "b": 0.5, "c": 0.95}).collect()}
+    got = {r["g"]: r for r in selection.exact_quantiles(df, ["g"], "x", {"a": 0.25, "b": 0.5, "c": 0.95}).collect()}
     for g in {d[0] for d in data}:
         x = [v for k, v in data if k == g]
         assert np.allclose([got[g]["a"], got[g]["b"], got[g]["c"]], np.quantile(x, [0.25, 0.5, 0.95]))
@@ -57,7 +57,7 @@ def test_quantiles_match_numpy_with_one_hot_group(spark):
 
 def test_quantile_fixture(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (10.0,), (None,)], "x double")
-    row = ordering.exact_quantiles(df, [], "x", {"a": 0.25, "b": 0.95}).first()
+    row = selection.exact_quantiles(df, [], "x", {"a": 0.25, "b": 0.95}).first()
     assert math.isclose(row["a"], 1.75) and math.isclose(row["b"], 9.1)
 
 
