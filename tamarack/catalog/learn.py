@@ -6,13 +6,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.catalog.registry import QUERIES, Tables, movies_of, query, reviews_of
+from tamarack.catalog.registry import Tables, movies_of, query, reviews_of
 from tamarack.catalog.texts import BOOSTERS, DAMPENERS, NEGATIONS, name_list, word_valences
 from tamarack.operators import models, tuning
 from tamarack.operators.splitting import train_test_split
 from tamarack.plans.features import FeatureConfig, build_features
 from tamarack.plans.splits import prepare
-from tamarack.session import cut_lineage
+from tamarack.session import cut_lineage, ensure_checkpoint_dir
 
 
 def feature_config(t: Tables, **changes) -> FeatureConfig:
@@ -65,20 +65,18 @@ for _name in models.TRAINERS:
     _train_query(_name)
 
 
-@query("soft_vote_ensemble")
-def soft_vote_ensemble(t: Tables) -> DataFrame:
-    """Test predictions of the three best of the ten models, voting softly."""
-    train, test = train_test_split(examples(t), "label", "row_id")
-    training = models.train_all(cut_lineage(train), list(models.TRAINERS))
-    board = models.leaderboard(training.fitted, test)
-    return models.vote_of_best(training.fitted, board, test)
-
-
 def _searched(t: Tables, name: str) -> tuple[tuning.SearchResult, DataFrame, DataFrame]:
-    """The search over the training rows with the operator's own number of candidates and folds; training and test rows."""
+    """The search over the training rows with the operator's own number of candidates and folds; training and test rows.
+
+    All queries share a ledger in the shared folder: the second one on the same rows reads the scores of the first.
+    """
     train, test = train_test_split(examples(t), "label", "row_id")
     train = cut_lineage(train)
-    return tuning.random_search(name, train), train, test
+    return tuning.random_search(name, train, ledger=_ledger(t)), train, test
+
+
+def _ledger(t: Tables) -> str:
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/tamarack-searches"
 
 
 def _tuning_queries(name: str) -> None:
@@ -91,7 +89,7 @@ def _tuning_queries(name: str) -> None:
     @query(f"cv_scores_{slug}")
     def cv_scores(t: Tables) -> DataFrame:
         found, train, test = _searched(t, name)
-        result = tuning.evaluate_tuned(name, found.best_params, train, test, "BASE", fitted=found.best)
+        result = tuning.evaluate_tuned(name, found.best_params, train, test, "BASE", fitted=found.best, ledger=_ledger(t))
         row = (result["model_name"], result["cv_f1_mean"], result["cv_f1_std"], result["test_f1"], result["test_roc_auc"])
         return t.spark.createDataFrame(
             [row], "model_name string, cv_f1_mean double, cv_f1_std double, test_f1 double, test_roc_auc double"
@@ -103,7 +101,17 @@ def _tuning_queries(name: str) -> None:
         return tuning.learning_curve(tuning.BUILDERS[name](found.best_params), train)
 
 
+@query("soft_vote_ensemble")
+def soft_vote_ensemble(t: Tables) -> DataFrame:
+    """Test predictions of the three best of the ten models, voting softly."""
+    train, test = train_test_split(examples(t), "label", "row_id")
+    training = models.train_all(cut_lineage(train), list(models.TRAINERS))
+    board = models.leaderboard(training.fitted, test)
+    return models.vote_of_best(training.fitted, board, test)
+
+
 for _name in tuning.BUILDERS:
     _tuning_queries(_name)
-for _alias, _slugged in (("random_search", "logistic_regression"), ("cv_scores", "decision_tree"), ("learning_curve", "decision_tree")):
-    QUERIES[_alias] = QUERIES[f"{_alias}_{_slugged}"]
+
+#: Queries of many fits, which belong after all others.
+LONG = ["soft_vote_ensemble", *(f"{kind}_{_slug(name)}" for name in tuning.BUILDERS for kind in ("random_search", "cv_scores", "learning_curve"))]

@@ -1,20 +1,28 @@
-"""Random hyper-parameter search, cross-validation scores and learning curves."""
+"""Random hyper-parameter search, cross-validation scores and learning curves.
+
+With a ledger, every score of a fit is a written row, named by model, parameters, folds, seed and the digest of the training rows. A search
+that was cut short goes on from it, and whatever asks for an equal fit later reads the row.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.operators import metrics
@@ -22,6 +30,10 @@ from tamarack.operators.boosting import fit_adaboost
 from tamarack.operators.models import FEATURES, ID, LABEL, Fitted, _estimator, nearest_neighbours
 from tamarack.operators.spaces import DEEPEST, sample_space
 from tamarack.operators.splitting import with_folds
+from tamarack.session import cut_lineage
+
+#: Bytes of training rows for each partition of a fold, and fits that the driver watches at a time at most.
+FOLD_BYTES, MOST_FITS = 16 * 2**20, 64
 
 
 def _subset(name: str | None) -> str:
@@ -159,23 +171,100 @@ BUILDERS: dict[str, Callable[[dict], Callable[[DataFrame], Fitted]]] = {
 }
 
 
-def fold_scores(fit: Callable[[DataFrame], Fitted], folded: DataFrame, fold: int) -> tuple[float, float]:
+def fold_scores(fit: Callable[[DataFrame], Fitted], train: DataFrame, held_out: DataFrame) -> tuple[float, float]:
     """F1 and the AUC of hard labels (which equals balanced accuracy) on one held-out fold."""
-    fitted = fit(folded.where(F.col("fold") != fold).drop("fold"))
-    held_out = fitted.score(folded.where(F.col("fold") == fold).drop("fold"))
-    row = metrics.binary_scores(held_out, LABEL, "prediction").first()
+    row = metrics.binary_scores(fit(train).score(held_out), LABEL, "prediction").first()
     return row["f1"], row["balanced_accuracy"]
 
 
-def _in_parallel(frame: DataFrame, run: Callable, tasks: Sequence, parallel: int) -> list:
-    """Submit several Spark jobs at a time from driver threads."""
-    pool = ThreadPool(parallel)
+def _sized(table: DataFrame) -> int:
+    """Partitions that a written table deserves by its bytes."""
+    return max(1, -(-int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // FOLD_BYTES))
+
+
+class Folds:
+    """Training and held-out rows of every fold, from one written table; small tables are few partitions."""
+
+    def __init__(self, train: DataFrame, folds: int, seed: int) -> None:
+        table = cut_lineage(with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed))
+        self.parts = _sized(table)
+        self.pairs = [
+            tuple(table.where(w).drop("fold").coalesce(self.parts).persist(StorageLevel.MEMORY_AND_DISK) for w in (F.col("fold") != f, F.col("fold") == f))
+            for f in range(folds)
+        ]
+        self.whole = table.drop("fold").coalesce(self.parts)
+
+    def close(self) -> None:
+        for pair in self.pairs:
+            for frame in pair:
+                frame.unpersist()
+
+
+def _in_parallel(frame: DataFrame, run: Callable, tasks: Sequence, parallel: int | None, parts: int = 1) -> list:
+    """Submit several Spark jobs at a time from driver threads: as many as fill the cluster's slots, unless ``parallel`` says otherwise."""
+    slots = frame.sparkSession.sparkContext.defaultParallelism
+    pool = ThreadPool(parallel or max(1, min(MOST_FITS, slots // parts)))
     try:
         return pool.map(inheritable_thread_target(frame.sparkSession)(run), tasks, chunksize=1)
     finally:
         pool.close()
 
 
+def data_digest(train: DataFrame) -> str:
+    """Names the training rows, whatever their order and partitions."""
+    row = F.xxhash64(ID, LABEL, vector_to_array(FEATURES))
+    other = F.xxhash64(F.lit(1), ID, LABEL, vector_to_array(FEATURES))
+    n, one, two = train.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.sum(other.cast("decimal(38,0)"))).first()
+    return hashlib.sha256(f"{n}:{one}:{two}".encode()).hexdigest()
+
+
+class LostLedger(Exception):
+    """A score could not be written: the search ends rather than go on without its record."""
+
+
+class Ledger:
+    """Scores of fits as rows in a folder that outlives the driver, written as soon as a fit ends.
+
+    Each row has a folder of its own, partitioned by the digest of the data and the fit's name, so that fits that end at the same time
+    do not meet.
+    """
+
+    SCHEMA = "f1 double, roc_auc double"
+
+    def __init__(self, spark: SparkSession, folder: str | None, train: DataFrame) -> None:
+        self.spark, self.folder, self.known = spark, folder, {}
+        if folder is None:
+            return
+        self.folder = f"{folder.rstrip('/')}/data={data_digest(train)}"
+        try:
+            rows = spark.read.schema(f"{self.SCHEMA}, fit string").json(self.folder).collect()  # one per fit on these rows
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = []
+        self.known = {r["fit"]: (r["f1"], r["roc_auc"]) for r in rows}
+
+    @staticmethod
+    def name(model: str, params: dict, folds: int, seed: int, fold: int) -> str:
+        return hashlib.sha256(json.dumps([model, sorted((k, str(v)) for k, v in params.items()), folds, seed, fold]).encode()).hexdigest()
+
+    def scores(self, name: str, compute: Callable[[], tuple[float, float]]) -> tuple[float, float]:
+        """The row of that name, or what ``compute`` gives, which becomes the row. Errors are not noted: such a fit is tried again."""
+        if name in self.known:
+            return self.known[name]
+        found = compute()
+        if self.folder is not None:
+            try:
+                self.note(name, found)
+            except Exception as error:
+                raise LostLedger(self.folder) from error
+        self.known[name] = found
+        return found
+
+    def note(self, name: str, found: tuple[float, float]) -> None:
+        self.spark.createDataFrame([found], self.SCHEMA).coalesce(1).write.mode("overwrite").json(f"{self.folder}/fit={name}")
+
+
 @dataclass
 class SearchResult:
     """Every candidate's fold scores, the best parameters and the refitted model."""
@@ -188,32 +277,42 @@ class SearchResult:
 
 
 def random_search(
-    name: str, train: DataFrame, candidates: int = 100, folds: int = 5, parallel: int = 4, seed: int = 42,
-    space: dict[str, tuple] | None = None,
+    name: str, train: DataFrame, candidates: int = 100, folds: int = 5, parallel: int | None = None, seed: int = 42,
+    space: dict[str, tuple] | None = None, ledger: str | None = None,
 ) -> SearchResult:
-    """Draw candidates, cross-validate each, refit the best by mean F1 on the whole frame."""
+    """Draw candidates, cross-validate each, refit the best by mean F1 on the whole frame.
+
+    ``ledger`` is a folder for the scores; scores that stand there are not computed again.
+    """
     drawn = sample_space(name, candidates, seed, space)
-    folded = with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    noted = Ledger(train.sparkSession, ledger, train)
+    parted = Folds(train, folds, seed)
     tasks = [(c, f) for c in range(candidates) for f in range(folds)]
 
     def score(task: tuple[int, int]) -> tuple:
+        c, f = task
+
+        def fit() -> tuple[float, float]:
+            return fold_scores(BUILDERS[name](drawn[c]), *parted.pairs[f])
+
         try:
-            return (*task, *fold_scores(BUILDERS[name](drawn[task[0]]), folded, task[1]), None)
+            return (*task, *noted.scores(Ledger.name(name, drawn[c], folds, seed, f), fit), None)
+        except LostLedger:
+            raise
         except Exception as error:  # a candidate that cannot be fitted is noted and loses; the search goes on
             return (*task, None, None, str(error).split("\n")[0][:500])
 
-    rows = _in_parallel(train, score, tasks, parallel)
-    if all(r[4] for r in rows):
-        folded.unpersist()
-        raise RuntimeError(f"no candidate of {name} could be fitted: {rows[0][4]}")
-    whole = {c for c in range(candidates) if not any(r[4] for r in rows if r[0] == c)}
-    f1 = [float(np.mean([r[2] for r in rows if r[0] == c])) if c in whole else -1.0 for c in range(candidates)]
-    winner = int(np.argmax(f1))
-    best = BUILDERS[name](drawn[winner])(folded.drop("fold"))
-    best.name = name
-    folded.unpersist()
+    try:
+        rows = _in_parallel(train, score, tasks, parallel, parted.parts)
+        if all(r[4] for r in rows):
+            raise RuntimeError(f"no candidate of {name} could be fitted: {rows[0][4]}")
+        whole = {c for c in range(candidates) if not any(r[4] for r in rows if r[0] == c)}
+        f1 = [float(np.mean([r[2] for r in rows if r[0] == c])) if c in whole else -1.0 for c in range(candidates)]
+        winner = int(np.argmax(f1))
+        best = BUILDERS[name](drawn[winner])(parted.whole)
+        best.name = name
+    finally:
+        parted.close()
     table = train.sparkSession.createDataFrame(
         [(c, str(effective(drawn[c])), f, a, b, e) for c, f, a, b, e in rows],
         "candidate int, params string, fold int, f1 double, roc_auc double, error string",
@@ -222,20 +321,28 @@ def random_search(
 
 
 def cross_validate(
-    fit: Callable[[DataFrame], Fitted], train: DataFrame, folds: int = 5, parallel: int = 4, seed: int = 42
+    name: str, params: dict, train: DataFrame, folds: int = 5, parallel: int | None = None, seed: int = 42, ledger: str | None = None
 ) -> list[float]:
-    folded = with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    scores = _in_parallel(train, lambda f: fold_scores(fit, folded, f)[0], range(folds), parallel)
-    folded.unpersist()
-    return scores
+    """F1 of every fold; folds that a search with the same seed has scored are read from its ledger."""
+    noted = Ledger(train.sparkSession, ledger, train)
+    parted = Folds(train, folds, seed)
+
+    def score(f: int) -> float:
+        return noted.scores(Ledger.name(name, params, folds, seed, f), lambda: fold_scores(BUILDERS[name](params), *parted.pairs[f]))[0]
+
+    try:
+        return _in_parallel(train, score, range(folds), parallel, parted.parts)
+    finally:
+        parted.close()
 
 
 def evaluate_tuned(
-    name: str, params: dict, train: DataFrame, test: DataFrame, data_type: str, folds: int = 5, fitted: Fitted | None = None
+    name: str, params: dict, train: DataFrame, test: DataFrame, data_type: str, folds: int = 5, fitted: Fitted | None = None,
+    ledger: str | None = None,
 ) -> dict:
     """Cross-validated F1 mean and population std, test F1 and test AUC (None without probabilities)."""
     fit = BUILDERS[name](params)
-    cv = cross_validate(fit, train, folds)
+    cv = cross_validate(name, params, train, folds, ledger=ledger)
     fitted = fitted or fit(train.select(ID, LABEL, FEATURES))
     scored = fitted.score(test.select(ID, LABEL, FEATURES))
     auc = metrics.roc_auc(scored, LABEL, "score").first()["auc"] if fitted.has_probability else None
@@ -255,16 +362,17 @@ def learning_curve(
     train: DataFrame,
     shares: Sequence[float] = tuple(np.linspace(0.1, 1.0, 10)),
     folds: int = 5,
-    parallel: int = 4,
+    parallel: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Training and validation F1, mean and population std over folds, per share of the training rows.
 
     A larger share contains every row of a smaller one: rows enter by the size of their hash.
     """
-    folded = with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed)
+    folded = cut_lineage(with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed))
+    parts = _sized(folded)
     place = F.pmod(F.xxhash64(F.lit(seed + 1), ID), F.lit(1 << 20)) / float(1 << 20)
-    held = folded.withColumn("_place", place).persist(StorageLevel.MEMORY_AND_DISK)
+    held = folded.withColumn("_place", place).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
     def score(task: tuple[float, int]) -> tuple[float, float, float]:
         share, fold = task
@@ -276,7 +384,7 @@ def learning_curve(
         )
         return share, seen, fresh
 
-    rows = _in_parallel(train, score, [(float(s), f) for s in shares for f in range(folds)], parallel)
+    rows = _in_parallel(train, score, [(float(s), f) for s in shares for f in range(folds)], parallel, parts)
     counts = held.agg(
         *[F.count(F.when(F.col("_place") < float(s), 1)).alias(f"c{i}") for i, s in enumerate(shares)]
     ).first()

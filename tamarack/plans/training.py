@@ -60,15 +60,18 @@ def tune(
     spark: SparkSession, name: str, splits: str, reports: str, variants: Sequence[str] = ("BASE", "SMOTE", "SMOTE_PCA"),
     candidates: int = 100, folds: int = 5, models: str | None = None,
 ) -> dict[str, dict]:
-    """Random search, evaluation and learning curve per variant; results go to JSON and CSV.
+    """Random search, evaluation and learning curve per variant; results go to JSON and CSV, scores of fits to ``<reports>/ledger``.
+
+    A run that was cut short goes on from those scores.
 
     With ``models`` set, the best model of every variant is saved below that folder.
     """
     results = {}
     for variant in variants:
         train, test = read_split(spark, splits, variant, "train"), read_split(spark, splits, variant, "test")
-        found = random_search(name, train, candidates, folds)
-        results[variant] = evaluate_tuned(name, found.best_params, train, test, variant, folds, found.best)
+        ledger = f"{reports}/ledger"
+        found = random_search(name, train, candidates, folds, ledger=ledger)
+        results[variant] = evaluate_tuned(name, found.best_params, train, test, variant, folds, found.best, ledger)
         slug = f"{name.replace(' ', '_').lower()}_{variant.lower()}"
         write_tuning_result(spark, results[variant], f"{reports}/{slug}")
         write_leaderboard(learning_curve(BUILDERS[name](found.best_params), train, folds=folds), f"{reports}/{slug}_curve")

@@ -119,20 +119,57 @@ def test_search_and_failed_model(spark, data):
     assert list(broken.failed) == ["no such model"] and len(broken.fitted) == 1
 
 
+def test_search_goes_on_where_it_was_cut_short(spark, data, monkeypatch, tmp_path):
+    train = cut_lineage(train_test_split(examples(Tables(spark, data)), "label", "row_id")[0])
+    ledger, fits, note = str(tmp_path / "ledger"), [], tuning.Ledger.note
+    build = tuning.BUILDERS["Decision Tree"]
+
+    def counted(params):
+        fit = build(params)
+        return lambda frame: fits.append(str(params)) or fit(frame)
+
+    def full(self, name, found):
+        if len(self.known) >= 3:
+            raise OSError("the driver is lost here")
+        note(self, name, found)
+
+    monkeypatch.setitem(tuning.BUILDERS, "Decision Tree", counted)
+    monkeypatch.setattr(tuning.Ledger, "note", full)
+    with pytest.raises(tuning.LostLedger):
+        tuning.random_search("Decision Tree", train, candidates=4, folds=2, parallel=1, ledger=ledger)
+    done = spark.read.json(ledger).count()
+    assert done == 3
+    monkeypatch.setattr(tuning.Ledger, "note", note)
+    fits.clear()
+    found = tuning.random_search("Decision Tree", train, candidates=4, folds=2, ledger=ledger)
+    assert len(fits) == 8 - done + 1  # what was missing, and the winner on all rows
+    fits.clear()
+    again = tuning.random_search("Decision Tree", train.repartition(3), candidates=4, folds=2, ledger=ledger)
+    assert len(fits) == 1 and again.best_params == found.best_params and again.scores.collect() == found.scores.collect()
+    fits.clear()
+    cv = tuning.cross_validate("Decision Tree", found.best_params, train, 2, ledger=ledger)
+    assert not fits and sum(cv) / 2 == pytest.approx(found.best_f1)
+    assert tuning.cross_validate("Decision Tree", found.best_params, train, 2) == pytest.approx(cv)  # as without a ledger
+    other = train.where("row_id > 5")
+    fits.clear()
+    tuning.random_search("Decision Tree", other, candidates=1, folds=2, ledger=ledger)
+    assert len(fits) == 3  # other rows, other scores
+
+
 def test_tuning_queries_do_the_whole_search(spark, data, monkeypatch):
     search, seen = tuning.random_search, []
 
-    def few(name, train, candidates=100, folds=5, **more):
+    def few(name, train, candidates=100, folds=5, ledger=None):
         seen.append((name, train.count(), candidates, folds))
-        return search(name, train, 2, 2)
+        return search(name, train, 2, 2, ledger=ledger)
 
     rows = train_test_split(examples(Tables(spark, data)), "label", "row_id")[0].count()
     monkeypatch.setattr(tuning, "random_search", few)
     assert all(f"{q}_{m.lower().replace(' ', '_').replace('-', '_')}" in QUERIES for q in ("random_search", "cv_scores", "learning_curve") for m in models.TRAINERS)
-    assert QUERIES["cv_scores"](spark, data).first()["cv_f1_std"] >= 0 and seen == [("Decision Tree", rows, 100, 5)]
+    assert QUERIES["cv_scores_decision_tree"](spark, data).first()["cv_f1_std"] >= 0 and seen == [("Decision Tree", rows, 100, 5)]
     best = {}
     monkeypatch.setattr(tuning, "learning_curve", lambda fit, train: best.setdefault("rows", train.count()))
-    assert QUERIES["learning_curve"](spark, data) == rows and len(seen) == 2
+    assert QUERIES["learning_curve_decision_tree"](spark, data) == rows and len(seen) == 2
 
 
 def test_vote_takes_all_ten(spark, data, monkeypatch):
