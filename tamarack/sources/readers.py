@@ -6,6 +6,7 @@ import json
 from typing import Any
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from tamarack.functions.dates import parse_date
 from tamarack.functions.parsing import parse_list
 from tamarack.operators.boosting import BoostedModel
+from tamarack.operators.factors import ReducedModel
 from tamarack.sources import schemas
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
@@ -70,6 +72,13 @@ def load_arrays(spark: SparkSession, kind: type, path: str) -> Any:
     return kind(**{k: np.array(v) if isinstance(v, list) else v for k, v in state.items()})
 
 
+def load_reduced(spark: SparkSession, path: str) -> ReducedModel:
+    """What :func:`~tamarack.sources.writers.save_reduced` wrote."""
+    state = json.loads(spark.read.json(f"{path}/shares").first()["state"])
+    stages = PipelineModel.load(f"{path}/stages")
+    return ReducedModel(stages, np.array(state["ratios"]), state["components"], state["reached"])
+
+
 def load_boosted(spark: SparkSession, path: str) -> BoostedModel:
     weights = json.loads(spark.read.schema("state string").json(f"{path}/weights").first()["state"])
     return BoostedModel([load_model(spark, f"{path}/tree_{i}") for i in range(len(weights))], weights)

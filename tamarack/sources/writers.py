@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamarack.operators.boosting import BoostedModel
+from tamarack.operators.factors import ReducedModel
 from tamarack.sources.readers import CSV_OPTIONS
 
 
@@ -90,10 +91,19 @@ def save_boosted(spark: SparkSession, model: BoostedModel, path: str) -> None:
     spark.createDataFrame(row, "state string").coalesce(1).write.mode("overwrite").json(f"{path}/weights")
 
 
+def save_reduced(spark: SparkSession, model: ReducedModel, path: str) -> None:
+    """The fitted stages of a PCA as a Spark pipeline, and one row with its explained shares."""
+    save_model(model.stages, f"{path}/stages")
+    state = {"ratios": model.ratios.tolist(), "components": model.components, "reached": model.reached}
+    spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").json(f"{path}/shares")
+
+
 def save_fitted(spark: SparkSession, model: object, path: str) -> bool:
-    """Save any trained classifier; False for one without a model of its own (nearest neighbours)."""
+    """Save any trained classifier or PCA; False for one without a model of its own (nearest neighbours)."""
     if isinstance(model, BoostedModel):
         save_boosted(spark, model, path)
+    elif isinstance(model, ReducedModel):
+        save_reduced(spark, model, path)
     elif isinstance(model, (Model, Transformer)):
         save_model(model, path)
     elif is_dataclass(model):

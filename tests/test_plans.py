@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tamarack.catalog.learn import examples, feature_config
 from tamarack.catalog.registry import QUERIES, Tables, movies_of, reviews_of
 from tamarack.operators import models, tuning
+from tamarack.operators.factors import fit_pca
 from tamarack.operators.splitting import train_test_split
 from tamarack.plans.explore import engineered_report, initial_report, pair_sample
 from tamarack.plans.features import build_features
@@ -214,3 +215,14 @@ def test_models_load_again(spark, data, tmp_path):
     boosted = models.adaboost(df, rounds=3).model
     writers.save_fitted(spark, boosted, str(tmp_path / "boosted"))
     assert readers.load_boosted(spark, str(tmp_path / "boosted")).weights == boosted.weights
+
+
+def test_fitted_pca_is_saved_and_loaded(spark, data, tmp_path):
+    rows = examples(Tables(spark, data))
+    fitted = fit_pca(rows, "features", "reduced", 0.6, 20)
+    assert writers.save_fitted(spark, fitted, str(tmp_path / "pca"))
+    loaded = readers.load_reduced(spark, str(tmp_path / "pca"))
+    assert (loaded.components, loaded.reached) == (fitted.components, fitted.reached)
+    assert loaded.ratios.tolist() == fitted.ratios.tolist()
+    want, got = (m.transform(rows).select("row_id", "reduced").orderBy("row_id").collect() for m in (fitted, loaded))
+    assert want == got
