@@ -26,7 +26,7 @@ SPACE = "▁"
 
 #: Pairs of tokens that a task keeps at most, and bytes of chunks with their ids (an entry counts at least ENTRY bytes, what Python needs
 #: for it); when full, the store begins anew. Bounds memory only.
-KEPT, KEPT_BYTES, ENTRY = 250_000, 24 * 2**20, 200
+KEPT, KEPT_BYTES, ENTRY = 250_000, 40 * 2**20, 200
 
 
 class PieceModel:
