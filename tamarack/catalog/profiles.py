@@ -460,6 +460,26 @@ def kde_grid(t: Tables) -> DataFrame:
     return curve.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 4).alias("density_ppm"))
 
 
+@query(
+    "kde_binned",
+    """
+    WITH s AS (SELECT min(n_chars)::DOUBLE AS lo, max(n_chars)::DOUBLE AS hi, count(*)::DOUBLE AS n,
+                      stddev_samp(n_chars) * power(count(*)::DOUBLE, -0.2) AS w FROM documents),
+    v AS (SELECT (n_chars - lo) / ((hi - lo) / 4096) AS p FROM documents, s WHERE n_chars IS NOT NULL),
+    l AS (SELECT p, least(floor(p), 4095) AS i FROM v),
+    c AS (SELECT i, sum(w) AS c FROM (SELECT i, 1 - (p - i) AS w FROM l UNION ALL SELECT i + 1, p - i FROM l) GROUP BY 1),
+    g AS (SELECT unnest(range(200))::INT AS point)
+    SELECT point, round(lo + point * ((hi - lo) / 199), 4) AS x,
+      round(1e6 * sum(c * exp(-0.5 * power((lo + point * ((hi - lo) / 199) - (lo + i * ((hi - lo) / 4096))) / w, 2))
+        / (n * w * sqrt(2 * pi()))), 4) AS density_ppm
+    FROM g CROSS JOIN s CROSS JOIN c GROUP BY point, lo, hi
+    """,
+)
+def kde_binned(t: Tables) -> DataFrame:
+    curve = profile.binned_density(t.documents, "n_chars")
+    return curve.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 4).alias("density_ppm"))
+
+
 @query(
     "box_by_group",
     """
@@ -672,6 +692,22 @@ def corr_matrix(t: Tables) -> DataFrame:
     return rounded(correlation.correlation_matrix(target_frame(t), MATRIX), 6, "correlation")
 
 
+@query(
+    "corr_matrix_wide",
+    """
+    WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)
+    SELECT 'v' || (p.i - 1) AS a, 'v' || (q.i - 1) AS b, round(corr(p.v, q.v), 6) AS correlation
+    FROM x p JOIN x q USING (vec_id) GROUP BY p.i, q.i
+    """,
+)
+def corr_matrix_wide(t: Tables) -> DataFrame:
+    """All dimensions of the vectors against each other."""
+    width = t.embeddings.agg(F.max(F.size("embedding"))).first()[0]
+    names = [f"v{i}" for i in range(width)]
+    wide = t.embeddings.select(*[F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    return rounded(correlation.correlation_matrix(wide, names), 6, "correlation")
+
+
 @query(
     "feature_rank_top30",
     f"""WITH f AS ({TARGET_SQL}), c AS ({TARGET_CORR_SQL})

@@ -107,16 +107,22 @@ def fit_svd(
     return SvdModel(components * np.where(signs == 0, 1, signs), np.sqrt(np.clip(values[order], 0, None)))
 
 
-def fit_topics(df: DataFrame, vector: str, topics: int = 10, iterations: int = 10, seed: int = 42) -> LDAModel:
-    """Online variational LDA on TF-IDF weights; every iteration sees the whole corpus."""
+def fit_topics(
+    df: DataFrame, vector: str, topics: int = 10, passes: int = 10, seed: int = 42, batches: int = 4
+) -> LDAModel:
+    """Online variational LDA on TF-IDF weights by mini-batches with decaying steps.
+
+    Each of the ``passes * batches`` updates sees a seeded draw of one in ``batches`` texts, so that the topics move
+    while the corpus is read and not only after each pass. A draw without texts changes nothing.
+    """
     lda = LDA(
         featuresCol=vector,
         k=topics,
         optimizer="online",
-        maxIter=iterations,
+        maxIter=passes * batches,
         learningOffset=50.0,
         learningDecay=0.7,
-        subsamplingRate=1.0,
+        subsamplingRate=1.0 / batches,
         optimizeDocConcentration=False,
         seed=seed,
     )

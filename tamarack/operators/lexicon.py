@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions import constants as C
 from tamarack.operators.joins import lookup_join
+from tamarack.session import cut_lineage
 
 BLANK_SPLIT = r"[^ \t\n\r\f]+"
 EDGE_MARKS = string.punctuation
@@ -106,39 +107,50 @@ def with_sentiment(
     )
 
 
-def entity_mentions(df: DataFrame, id_col: str, text: str, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
-    """(id, place, words, entity_type) of every gazetteer surface found in the text.
+def name_table(gazetteer: DataFrame) -> DataFrame:
+    """(surface, entity_type, head, length): the names as words with single blanks; names without any word are left out."""
+    words = gazetteer.select(
+        F.regexp_extract_all(F.coalesce("surface", F.lit("")), F.lit(NAME_WORD), F.lit(0)).alias("_words"), "entity_type"
+    ).where(F.size("_words") > 0)
+    return words.select(
+        F.array_join("_words", " ").alias("surface"),
+        "entity_type",
+        F.get("_words", F.lit(0)).alias("head"),
+        F.size("_words").alias("length"),
+    )
+
+
+def entity_mentions(df: DataFrame, id_col: str, text: str | Column, gazetteer: DataFrame) -> DataFrame:
+    """(id, place, words, entity_type) of every gazetteer surface found in the text, of any number of words.
 
     ``gazetteer`` has the columns surface and entity_type. The longest surface wins at each
-    place, and a mention that begins inside an earlier one that was kept is dropped.
+    place (of equal ones the first type), and a mention that begins inside an earlier one that was kept is dropped.
+    A word is looked up among the first words of the names, which say what lengths to try there; only those places go on.
+    An empty gazetteer and a null text give no rows.
     """
+    names = cut_lineage(name_table(gazetteer))
+    longest = names.agg(F.max("length")).first()[0] or 1
+    heads = names.groupBy("head").agg(F.sort_array(F.collect_set("length")).alias("lengths"))
     words = df.select(
-        id_col,
+        F.col(id_col).alias("_id"),
         F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NAME_WORD), F.lit(0)).alias("_words"),
     )
-    spans = F.filter(
-        F.flatten(
+    follow = F.lit(longest - 1)
+    placed = words.select(
+        "_id",
+        F.inline(
             F.transform(
                 "_words",
-                lambda w, i: F.array(
-                    *[
-                        F.struct(
-                            (i + 1).alias("place"),
-                            F.lit(n).alias("words"),
-                            F.when(
-                                i + n <= F.size("_words"),
-                                F.concat_ws(" ", *[F.get("_words", i + j) for j in range(n)]),
-                            ).alias("surface"),
-                        )
-                        for n in range(1, max_words + 1)
-                    ]
-                ),
+                lambda w, i: F.struct((i + 1).alias("place"), w.alias("head"), F.slice("_words", i + 2, follow).alias("_next")),
             )
         ),
-        lambda s: s["surface"].isNotNull(),
     )
-    placed = words.select(id_col, F.inline_outer(spans)).where(F.col("surface").isNotNull())
-    hits = lookup_join(placed, gazetteer.select("surface", "entity_type"), ["surface"], [id_col, "place"])
+    begun = lookup_join(placed, heads, ["head"], ["_id", "place"])
+    tries = begun.withColumn("words", F.explode(F.filter("lengths", lambda n: n <= F.size("_next") + 1)))
+    rest = F.slice("_next", F.lit(1), F.col("words") - 1)
+    spelled = tries.select("_id", "place", "words", F.array_join(F.concat(F.array("head"), rest), " ").alias("surface"))
+    hits = lookup_join(spelled, names.select("surface", "entity_type"), ["surface"], ["_id", "place"])
+    hits = hits.withColumnRenamed("_id", id_col)
     hit = F.struct("place", (-F.col("words")).alias("short"), "entity_type")
     ordered = hits.groupBy(id_col).agg(F.array_sort(F.collect_list(hit)).alias("_hits"))  # the hits of one text
     start = F.struct(F.lit(0).alias("reach"), F.array().cast(ordered.schema["_hits"].dataType).alias("kept"))
@@ -158,10 +170,9 @@ def with_entity_counts(
     text: str,
     gazetteer: DataFrame,
     types: Sequence[str] = C.ENTITY_TYPES,
-    max_words: int = 3,
 ) -> DataFrame:
     """One ``entity_<TYPE>`` count per type; 0 where nothing is found."""
-    mentions = entity_mentions(df, id_col, text, gazetteer, max_words)
+    mentions = entity_mentions(df, id_col, text, gazetteer)
     counts = mentions.groupBy(id_col).agg(
         *[F.count(F.when(F.col("entity_type") == t, 1)).alias(f"entity_{t}") for t in types]
     )

@@ -7,7 +7,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 from pyspark import StorageLevel
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -16,15 +18,18 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tamarack.operators import metrics
-from tamarack.operators.boosting import fit_adaboost
-from tamarack.operators.neighbours import knn_classify
+from tamarack.operators.boosting import BoostedModel, fit_adaboost
+from tamarack.operators.neighbours import KnnIndex, index_neighbours, search_index, vote
 from tamarack.operators.scaling import balanced
 from tamarack.operators.splitting import class_counts
+from tamarack.session import fresh_path
+from tamarack.sources.persisted import Persisted
 
 BOARD_COLUMNS = ["Model", "Accuracy", "Precision", "Recall", "F1-Score", "AUC-ROC", "Training Time"]
 ID, LABEL, FEATURES = "row_id", "label", "features"
@@ -85,18 +90,50 @@ def random_forest(frame: DataFrame) -> Fitted:
     )(frame)
 
 
+class NeighboursModel(Persisted, Model):
+    """k nearest neighbours over an index on disk.
+
+    Parts: ``cells``, the training rows by cell, ``pivots``, and ``stats`` (cell, rows, least and greatest radius).
+    """
+
+    k = Param(Params._dummy(), "k", "neighbours that vote", TypeConverters.toInt)
+    weighting = Param(Params._dummy(), "weighting", "distance or uniform", TypeConverters.toString)
+    metric = Param(Params._dummy(), "metric", "distance between vectors", TypeConverters.toString)
+    partitioned = {"cells": ["cell"]}
+
+    def __init__(self, parts: dict[str, Any] | None = None, **params: Any) -> None:
+        super().__init__()
+        self.parts = dict(parts or {})
+        self._set(**params)
+
+    def index(self) -> KnnIndex:
+        stats = {int(c): (int(n), low, high) for c, n, low, high in self.parts["stats"]}
+        return KnnIndex(self.parts["pivots"], stats, self.parts["cells"], self.getOrDefault("metric"), partitioned=bool(stats))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        """Adds prediction and score; rows stay out when there are no training rows."""
+        asked = dataset.select(ID, vector_to_array(FEATURES).alias("_a"))
+        found = search_index(self.index(), asked, self.getOrDefault("k"), ID, "_a")
+        votes = vote(found, ID, self.getOrDefault("weighting")).withColumnRenamed("probability", "score")
+        return dataset.join(votes, ID)
+
+
 def nearest_neighbours(frame: DataFrame, k: int = 5, weighting: str = "distance", metric: str = "euclidean") -> Fitted:
-    """Keeps the training frame; the search itself happens when rows are scored."""
+    """Writes the training frame by cells; scoring opens the cells that the distance bounds leave."""
     train = frame.select(F.col(ID).alias("train_id"), vector_to_array(FEATURES).alias("_a"), LABEL)
+    index = index_neighbours(train, "train_id", "_a", metric, LABEL).written(fresh_path(frame.sparkSession))
+    stats = np.array([(c, *numbers) for c, numbers in sorted(index.stats.items())], dtype=float).reshape(-1, 4)
+    parts = {"cells": index.rows, "pivots": index.centres, "stats": stats}
+    return fitted_of("", NeighboursModel(parts, k=k, weighting=weighting, metric=metric))
 
-    def scores(f: DataFrame) -> DataFrame:
-        asked = f.select(ID, LABEL, vector_to_array(FEATURES).alias("_a"))
-        votes = knn_classify(asked, train, ID, "train_id", "_a", LABEL, k, weighting, metric)
-        return asked.select(ID, LABEL).join(votes, ID).select(
-            ID, LABEL, "prediction", F.col("probability").alias("score")
-        )
 
-    return Fitted("", scores)
+def fitted_of(name: str, model: Any) -> Fitted:
+    """A trained or loaded model of any of the ten kinds, ready to score."""
+    if isinstance(model, NeighboursModel):
+        return Fitted(name, lambda f: model.transform(f).select(ID, LABEL, "prediction", "score"), model)
+    if isinstance(model, BoostedModel):
+        return Fitted(name, lambda f: model.transform(f).select(ID, LABEL, "prediction", F.col("probability_1").alias("score")), model)
+    return Fitted(name, lambda f: _spark_scores(model, f), model, model.hasParam("probabilityCol"))
 
 
 def _positive_weight(frame: DataFrame) -> DataFrame:
@@ -128,12 +165,7 @@ def gradient_boosting(frame: DataFrame) -> Fitted:
 
 
 def adaboost(frame: DataFrame, rounds: int = 100) -> Fitted:
-    model = fit_adaboost(frame, LABEL, FEATURES, rounds)
-    return Fitted(
-        "",
-        lambda f: model.transform(f).select(ID, LABEL, "prediction", F.col("probability_1").alias("score")),
-        model,
-    )
+    return fitted_of("", fit_adaboost(frame, LABEL, FEATURES, rounds))
 
 
 def linear_svc(frame: DataFrame, iterations: int = 2000, retry_iterations: int = 5000) -> Fitted:
@@ -249,8 +281,12 @@ def soft_vote(members: Sequence[DataFrame], id_col: str = ID, label: str = LABEL
     )
 
 
+def best_members(models: Sequence[Fitted], board: DataFrame, count: int = 3) -> list[Fitted]:
+    """The best models by F1 among those that give probabilities."""
+    able = {m.name: m for m in models if m.has_probability}
+    return [able[r["Model"]] for r in best_models(board.where(F.col("Model").isin(list(able))), count).collect()]
+
+
 def vote_of_best(models: Sequence[Fitted], board: DataFrame, test: DataFrame, count: int = 3) -> DataFrame:
     """Soft vote of the best models by F1 among those that give probabilities."""
-    able = {m.name: m for m in models if m.has_probability}
-    names = [r["Model"] for r in best_models(board.where(F.col("Model").isin(list(able))), count).collect()]
-    return soft_vote([able[n].score(test) for n in names])
+    return soft_vote([m.score(test) for m in best_members(models, board, count)])

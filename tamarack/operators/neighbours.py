@@ -10,6 +10,7 @@ candidates leave a task. No candidate is dropped without that proof, so the resu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -72,6 +73,87 @@ def _top(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+@dataclass
+class KnnIndex:
+    """Base rows by the cell of their closest pivot: (neighbour_id, _f, payload, cell, radius).
+
+    ``stats`` has (rows, least radius, greatest radius) per cell that holds rows. Where ``rows`` is a table partitioned by
+    cell, a search opens only the folders of the cells that its bounds leave.
+    """
+
+    centres: np.ndarray
+    stats: dict[int, tuple[int, float, float]]
+    rows: DataFrame
+    metric: str = "euclidean"
+    block: int = BLOCK
+    partitioned: bool = False
+
+    def pieces(self, counts: dict[int, int], cell: str) -> Column:
+        """Pieces of at most about ``block`` rows, 0 for an empty cell."""
+        return F.element_at(F.lit([-(-counts.get(c, 0) // self.block) for c in range(len(self.centres))]), F.col(cell) + 1)
+
+    def piece(self) -> Column:
+        held = {c: n for c, (n, _, _) in self.stats.items()}
+        return F.pmod(F.xxhash64("neighbour_id"), self.pieces(held, "cell")).cast("int")
+
+    def blocks(self, cells: list[int] | None) -> DataFrame:
+        rows = self.rows if cells is None else self.rows.where(F.col("cell").isin(cells))
+        return rows.select("cell", self.piece().alias("piece"), "neighbour_id", "_f", "payload")
+
+    def written(self, path: str) -> KnnIndex:
+        """The same index over a table at ``path``, one folder per cell, whose files hold a piece each."""
+        if len(self.centres):
+            self.rows.repartition("cell", self.piece()).write.partitionBy("cell").parquet(path)
+        else:
+            self.rows.write.parquet(path)
+        schema = T.StructType([*[f for f in self.rows.schema if f.name != "cell"], self.rows.schema["cell"]])
+        table = self.rows.sparkSession.read.schema(schema).parquet(path)
+        return KnnIndex(self.centres, self.stats, table, self.metric, self.block, bool(len(self.centres)))
+
+
+def _located(df: DataFrame, centres: np.ndarray, metric: str) -> DataFrame:
+    """Adds the closest pivot's number and distance of the vector ``_f``."""
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                gap = distances(np.stack(pdf["_f"].to_numpy()), centres, metric)
+                yield pdf.assign(cell=gap.argmin(1).astype("int32"), radius=gap.min(1))
+
+    schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())])
+    return df.mapInPandas(assign, schema)
+
+
+def index_neighbours(
+    base: DataFrame,
+    base_id: str,
+    features: str,
+    metric: str = "euclidean",
+    payload: str | None = None,
+    pivots: int | None = None,
+    block: int = BLOCK,
+) -> KnnIndex:
+    """Cells of the base rows; ``pivots`` is their number, by default an eighth of the root of the rows.
+
+    Only the pivots and one row of statistics per cell reach the driver.
+    """
+    base_rows = base.select(
+        F.col(base_id).cast("bigint").alias("neighbour_id"),
+        F.col(features).cast("array<double>").alias("_f"),
+        (F.col(payload) if payload else F.lit(0)).cast("double").alias("payload"),
+    )
+    count = pivots or max(1, int(base_rows.count() ** 0.5) // 8)
+    picked = base_rows.orderBy(F.xxhash64("neighbour_id"), "neighbour_id").limit(count).select("_f").collect()
+    centres = np.array([r["_f"] for r in picked])
+    celled = _located(base_rows, centres, metric)
+    if not picked:
+        return KnnIndex(centres, {}, celled, metric, block)
+    cells = celled.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")
+    ).collect()
+    return KnnIndex(centres, {r["cell"]: (r["n"], r["inner"], r["outer"]) for r in cells}, celled, metric, block)
+
+
 def knn(
     queries: DataFrame,
     base: DataFrame,
@@ -93,53 +175,25 @@ def knn(
     cell reach the driver. Queries are taken in pieces of their home cell, and a block of base
     rows is sent only to the pieces some query of which must look into its cell.
     """
-    base_rows = base.select(
-        F.col(base_id).alias("neighbour_id"),
-        F.col(features).cast("array<double>").alias("_f"),
-        (F.col(payload) if payload else F.lit(0)).cast("double").alias("payload"),
-    )
+    return search_index(index_neighbours(base, base_id, features, metric, payload, pivots, block), queries, k, query_id, features, skip_self)
+
+
+def search_index(
+    index: KnnIndex, queries: DataFrame, k: int, query_id: str, features: str, skip_self: bool = False
+) -> DataFrame:
+    """:func:`knn` over an index that is at hand."""
     query_rows = queries.select(F.col(query_id).alias("query_id"), F.col(features).cast("array<double>").alias("_f"))
-    count = pivots or max(1, int(base_rows.count() ** 0.5) // 8)
-    picked = base_rows.orderBy(F.xxhash64("neighbour_id"), "neighbour_id").limit(count).select("_f").collect()
-    if not picked:
+    centres, stats, metric, pieces = index.centres, index.stats, index.metric, index.pieces
+    if not len(centres):
         return query_rows.select("query_id").where("false").withColumns(
             {"neighbour_id": F.lit(None).cast("bigint"), "distance": F.lit(0.0), "payload": F.lit(0.0), "rank": F.lit(0)}
         )
-    centres = np.array([r["_f"] for r in picked])
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                gap = distances(np.stack(pdf["_f"].to_numpy()), centres, metric)
-                yield pdf.assign(cell=gap.argmin(1).astype("int32"), radius=gap.min(1))
-
-    def assigned(df: DataFrame) -> DataFrame:
-        schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())])
-        return df.mapInPandas(assign, schema)
-
-    celled = assigned(base_rows)
-    cells = celled.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")
-    ).collect()
-    stats = {r["cell"]: (r["n"], r["inner"], r["outer"]) for r in cells}
-    located = assigned(query_rows)
+    located = _located(query_rows, centres, metric)
     asked = {r["cell"]: r["count"] for r in located.groupBy("cell").count().collect()}
-
-    def pieces(counts: dict[int, int], cell: str) -> Column:
-        """Pieces of at most about ``block`` rows, 0 for an empty cell."""
-        return F.element_at(F.lit([-(-counts.get(c, 0) // block) for c in range(len(centres))]), F.col(cell) + 1)
-
-    base_blocks = celled.select(
-        "cell",
-        F.pmod(F.xxhash64("neighbour_id"), pieces({c: n for c, (n, _, _) in stats.items()}, "cell")).cast("int").alias("piece"),
-        "neighbour_id",
-        "_f",
-        "payload",
-    )
     part = F.pmod(F.xxhash64("query_id"), pieces(asked, "cell")).cast("int")
     home = located.select("query_id", "_f", F.col("cell").alias("home"), part.alias("part"))
 
-    def search(routed: DataFrame) -> DataFrame:
+    def search(routed: DataFrame, cells: list[int] | None) -> DataFrame:
         """``routed`` has query_id, _f, home, part, bound and the cells to look into; it is read twice."""
         held = {c: n for c, (n, _, _) in stats.items()}
 
@@ -153,7 +207,7 @@ def knn(
         return (
             visits("query_id", "_f", "bound")
             .groupBy(*block_key)
-            .cogroup(base_blocks.join(wanted, ["cell", "piece"]).groupBy(*block_key))
+            .cogroup(index.blocks(cells).join(wanted, ["cell", "piece"]).groupBy(*block_key))
             .applyInPandas(
                 lambda q, b: _closest(q, b, k, metric, skip_self),
                 "query_id bigint, neighbour_id bigint, distance double, payload double",
@@ -161,7 +215,7 @@ def knn(
         )
 
     own_cell = home.withColumns({"cells": F.array("home"), "bound": F.lit(None).cast("double")})
-    first = cut_lineage(_top(search(own_cell), k))
+    first = cut_lineage(_top(search(own_cell, list(asked) if index.partitioned else None), k))
     bound = first.groupBy("query_id").agg(
         F.max(F.when(F.col("rank") == k, F.col("distance"))).alias("bound")
     )
@@ -189,7 +243,10 @@ def knn(
     routed = home.join(bound, "query_id", "left").select("query_id", "_f", "home", "part", "bound")
     schema = T.StructType([*routed.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
     routed = cut_lineage(routed.mapInPandas(route, schema))
-    return _top(first.drop("rank").unionByName(search(routed)), k)
+    left = None
+    if index.partitioned:
+        left = [r["c"] for r in routed.select(F.explode("cells").alias("c")).distinct().collect()]
+    return _top(first.drop("rank").unionByName(search(routed, left)), k)
 
 
 def knn_classify(
@@ -207,12 +264,16 @@ def knn_classify(
 
     Votes weigh 1/distance; where a neighbour coincides with the query only such neighbours vote.
     """
-    found = knn(queries, train, k, query_id, train_id, features, metric, payload=label)
+    return vote(knn(queries, train, k, query_id, train_id, features, metric, payload=label), query_id, weighting)
+
+
+def vote(found: DataFrame, query_id: str, weighting: str = "distance") -> DataFrame:
+    """(query_id, prediction, probability) from found neighbours whose payload is a 0/1 label."""
     exact = F.max((F.col("distance") == 0).cast("int")).over(W.partitionBy("query_id")) == 1
-    vote = F.lit(1.0)
+    weight = F.lit(1.0)
     if weighting == "distance":
-        vote = F.when(exact, (F.col("distance") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("distance")))
-    votes = found.withColumn("_vote", vote).groupBy("query_id").agg(
+        weight = F.when(exact, (F.col("distance") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("distance")))
+    votes = found.withColumn("_vote", weight).groupBy("query_id").agg(
         (F.sum(F.col("_vote") * F.col("payload")) / F.sum("_vote")).alias("probability")
     )
     return votes.select(

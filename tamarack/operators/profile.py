@@ -324,6 +324,33 @@ def density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     )
 
 
+def binned_density(df: DataFrame, column: str, points: int = 200, cells: int = 4096) -> DataFrame:
+    """:func:`density` from ``cells`` + 1 binned weights instead of every distinct value: (point, x, density).
+
+    Each value shares its weight between the two grid lines around it; tasks send at most cells + 1 sums, and only those
+    meet the points. With d the distance of the lines and h the bandwidth, no point is off by more than
+    d * d / (8 * sqrt(2 * pi) * h ** 3). Nulls are left out; no values, one value or equal values give no rows.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    stats = values.agg(
+        F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("rows"), F.stddev_samp("v").alias("sd"))
+    ).scalar()
+    gap = (F.col("s.hi") - F.col("s.lo")) / cells
+    place = (F.col("v") - F.col("s.lo")) / gap
+    line = F.least(F.floor(place), F.lit(cells - 1)).cast("int")
+    sides = F.array(
+        F.struct(line.alias("line"), (1 - (place - line)).alias("w")), F.struct((line + 1).alias("line"), (place - line).alias("w"))
+    )
+    placed = values.withColumn("s", stats).where(F.col("s.hi") > F.col("s.lo")).select(F.inline(sides))
+    weights = placed.groupBy("line").agg(F.sum("w").alias("w"))
+    grid = weights.withColumn("s", stats).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    x = F.col("s.lo") + F.col("point") * ((F.col("s.hi") - F.col("s.lo")) / (points - 1))
+    width = F.col("s.sd") * F.pow(F.col("s.rows").cast("double"), F.lit(-0.2))
+    z = (x - (F.col("s.lo") + F.col("line") * gap)) / width
+    kernel = F.exp(-0.5 * z * z) / (F.col("s.rows") * width * F.sqrt(F.lit(2.0) * F.pi()))
+    return grid.withColumn("x", x).groupBy("point", "x").agg(F.sum(F.col("w") * kernel).alias("density"))
+
+
 def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Quartiles, whiskers within 1.5 inter-quartile ranges, and the number of points outside."""
     keys = list(keys)

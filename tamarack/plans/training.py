@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tamarack.operators.models import (
     TRAINERS,
+    Fitted,
     Training,
+    best_members,
     best_per_variant,
     combine_boards,
     leaderboard,
+    soft_vote,
     train_all,
-    vote_of_best,
 )
 from tamarack.operators.tuning import BUILDERS, evaluate_tuned, learning_curve, random_search
 from tamarack.sources.readers import read_split
-from tamarack.sources.writers import save_fitted, write_leaderboard, write_tuning_result
+from tamarack.sources.writers import save_ensemble, save_fitted, write_leaderboard, write_tuning_result
 
 
 @dataclass
@@ -26,13 +28,15 @@ class VariantRun:
     training: Training
     board: DataFrame
     ensemble: DataFrame
+    members: list[Fitted]
 
 
 def run_variant(train: DataFrame, test: DataFrame, names: Sequence[str] = tuple(TRAINERS)) -> VariantRun:
     """Train all models, score them on the test rows, vote with the best three."""
     training = train_all(train, names)
     board = leaderboard(training.fitted, test)
-    return VariantRun(training, board, vote_of_best(training.fitted, board, test))
+    members = best_members(training.fitted, board)
+    return VariantRun(training, board, soft_vote([m.score(test) for m in members]), members)
 
 
 def compare_variants(
@@ -41,7 +45,7 @@ def compare_variants(
 ) -> tuple[DataFrame, DataFrame]:
     """Leaderboards of all variants and the best model of each, written as CSV.
 
-    With ``models`` set, every trained model is saved below that folder.
+    With ``models`` set, every trained model and the members of the vote are saved below that folder.
     """
     boards = {}
     for variant in variants:
@@ -51,6 +55,8 @@ def compare_variants(
         for fitted in run.training.fitted:
             if models:
                 save_fitted(spark, fitted.model, f"{models}/{variant.lower()}/{fitted.name.replace(' ', '_').lower()}_model")
+        if models:
+            save_ensemble(spark, run.members, f"{models}/{variant.lower()}/ensemble")
     combined = combine_boards(boards)
     write_leaderboard(combined, f"{reports}/all_model_comparison")
     return combined, best_per_variant(combined)

@@ -76,12 +76,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new folder name below the shared one."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tamarack-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame as Parquet to the shared folder and read it back.
 
     Lost executors then cost no recompute, and later readers decode only the columns they use.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tamarack-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

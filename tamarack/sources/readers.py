@@ -16,6 +16,7 @@ from tamarack.functions.dates import parse_date
 from tamarack.functions.parsing import parse_list
 from tamarack.operators.boosting import BoostedModel
 from tamarack.operators.factors import ReducedModel
+from tamarack.operators.models import Fitted, fitted_of
 from tamarack.sources import schemas
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
@@ -84,6 +85,13 @@ def load_boosted(spark: SparkSession, path: str) -> BoostedModel:
     return BoostedModel([load_model(spark, f"{path}/tree_{i}") for i in range(len(weights))], weights)
 
 
+def load_ensemble(spark: SparkSession, path: str) -> list[Fitted]:
+    """The members that :func:`~tamarack.sources.writers.save_ensemble` wrote, ready for a soft vote."""
+    rows = spark.read.schema("place int, name string, kind string").json(f"{path}/members").orderBy("place").collect()
+    loaders = {"boosted": load_boosted, "stage": load_model}
+    return [fitted_of(r["name"], loaders[r["kind"]](spark, f"{path}/member_{r['place']}")) for r in rows]
+
+
 def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 

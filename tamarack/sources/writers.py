@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import fields, is_dataclass
 
 import numpy as np
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tamarack.operators.boosting import BoostedModel
 from tamarack.operators.factors import ReducedModel
+from tamarack.operators.models import Fitted
 from tamarack.sources.readers import CSV_OPTIONS
 
 
@@ -99,7 +100,7 @@ def save_reduced(spark: SparkSession, model: ReducedModel, path: str) -> None:
 
 
 def save_fitted(spark: SparkSession, model: object, path: str) -> bool:
-    """Save any trained classifier or PCA; False for one without a model of its own (nearest neighbours)."""
+    """Save any trained classifier or PCA; False for one without a model of its own."""
     if isinstance(model, BoostedModel):
         save_boosted(spark, model, path)
     elif isinstance(model, ReducedModel):
@@ -113,6 +114,16 @@ def save_fitted(spark: SparkSession, model: object, path: str) -> bool:
     return True
 
 
+def save_ensemble(spark: SparkSession, members: Sequence[Fitted], path: str) -> None:
+    """The members of a soft vote, each as its own model, and a row per member with its name and kind."""
+    rows = []
+    for i, member in enumerate(members):
+        save_fitted(spark, member.model, f"{path}/member_{i}")
+        rows.append((i, member.name, "boosted" if isinstance(member.model, BoostedModel) else "stage"))
+    table = spark.createDataFrame(rows, "place int, name string, kind string")
+    table.coalesce(1).write.mode("overwrite").json(f"{path}/members")
+
+
 def run_metadata(
     shape: tuple[int, int],
     feature_names: list[str],
