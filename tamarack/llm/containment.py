@@ -4,14 +4,15 @@ A short item inside a long document has a small Jaccard similarity with it, so t
 item's shingles the document holds. Items are partitioned by the size of their shingle set, in powers of two; an item's sketch
 are the shingles of smallest hash, as many as its partition asks for. A document that holds the wanted share of an item lacks few
 of its shingles, hence holds a known number of the sketch whatever its own length, and no such document is missed. What the
-sketches let through is verified by exact counts. Items are a stated query set: they are sent out in blocks of bounded size.
+sketches let through is verified by exact counts. Items are a stated query set: they are sent out in blocks of bounded
+size, one pass over the documents each.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -130,11 +131,34 @@ def mark_leaks(
     total = asked.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_shingles))
     keep = [c for c in docs.columns if c not in ("leaks", "_found")]
-    out = docs.select(*keep).withColumn("leaks", F.array().cast(T.ArrayType(LEAK)))
+    kept = docs.select(*keep)
+    if blocks > 1:
+        return _marked_by_text(kept, asked, blocks, share, width, text)
+    run = partial(_mark_batches, items=_sent(asked, 1, 0), share=share, width=width, column=text, keep=keep)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("_found", T.ArrayType(LEAK))])
+    return kept.mapInArrow(run, schema).select(*keep, F.array_sort("_found").alias("leaks"))
+
+
+def _sent(asked: DataFrame, blocks: int, block: int) -> list[tuple[int, int, bytes]]:
+    """One block of items, of at most about the stated number of shingles."""
+    rows = asked.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == block).collect()
+    return [(r["item_id"], r["words"], np.array(r["shingles"], np.int64).view(np.uint64).tobytes()) for r in rows]
+
+
+def _marked_by_text(docs: DataFrame, asked: DataFrame, blocks: int, share: float, width: int, text: str) -> DataFrame:
+    """Leaks of each block written before the next block is collected, then joined to the rows by a digest of the text.
+
+    The driver and a task hold one block at a time; what is written are the leaking texts' digests and finds only. Rows of equal
+    texts have equal leaks, so a digest's finds are at most the items that one text holds.
+    """
+    schema = T.StructType([T.StructField("_digest", T.BinaryType()), T.StructField("_found", T.ArrayType(LEAK))])
+    digest = F.unhex(F.sha2(F.col(text), 256))
+    asking = docs.select(digest.alias("_digest"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    finds = []
     for block in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == block).collect()
-        sent = [(r["item_id"], r["words"], np.array(r["shingles"], np.int64).view(np.uint64).tobytes()) for r in rows]
-        run = partial(_mark_batches, items=sent, share=share, width=width, column=text, keep=[*keep, "leaks"])
-        schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("leaks", T.ArrayType(LEAK)), T.StructField("_found", T.ArrayType(LEAK))])
-        out = out.mapInArrow(run, schema).select(*keep, F.concat("leaks", "_found").alias("leaks"))
-    return out.withColumn("leaks", F.array_sort("leaks"))
+        run = partial(_mark_batches, items=_sent(asked, blocks, block), share=share, width=width, column="_text", keep=["_digest"])
+        finds.append(written(asking.mapInArrow(run, schema).where(F.size("_found") > 0), "leaks"))
+    found = reduce(DataFrame.unionAll, finds).select("_digest", F.explode("_found").alias("_leak")).distinct()
+    leaks = found.groupBy("_digest").agg(F.array_sort(F.collect_list("_leak")).alias("leaks"))
+    marked = docs.withColumn("_digest", digest).join(leaks, "_digest", "left")
+    return marked.select(*docs.columns, F.coalesce("leaks", F.array().cast(T.ArrayType(LEAK))).alias("leaks"))

@@ -10,13 +10,14 @@ the empty token, which every URL has.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarack.llm.common import ascii_lower
+from tamarack.llm.common import ascii_lower, written
 
 #: Fixed values of the query's contract: host and path prefix, verdict.
 SITE_RULES = (
@@ -99,14 +100,42 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(F.split(ascii_lower(url), "[^a-z0-9]+"), F.array(F.lit(""))))
 
 
-def rule_index(urls: DataFrame, rules: Sequence[str], url: str = "url") -> DataFrame:
-    """One row per rule: rule, regex, verdict and the token it is filed under, its rarest in ``urls``."""
-    spark = urls.sparkSession
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(rule) from text files in block-list syntax, one rule a line.
+
+    Comments (``!``), headers (``[``), rules for page elements (``##``, ``#@#``, ``#?#``) and regular expressions (``/.../``) are no
+    patterns over URLs and left out, as are rules with options after ``$``, which hold only for some requests.
+    """
+    line = F.trim("value")
+    other = F.rlike(line, F.lit(r"^[!\[]|#@?\??#|^(@@)?/.*/$|\$[~a-z0-9_-]+(=[^,]*)?(,[~a-z0-9_-]+(=[^,]*)?)*$"))
+    return spark.read.text(path).where((line != "") & ~other).select(line.alias("rule")).distinct()
+
+
+def _compile_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        compiled = [(r, *compile_rule(r)) for r in pdf["rule"]]
+        rows = [(r, regex, verdict, t) for r, regex, verdict, tokens in compiled for t in (tokens or [""])]
+        yield pd.DataFrame(rows, columns=_INDEX.names, dtype=object)
+
+
+def compiled_rules(spark: SparkSession, rules: Sequence[str] | DataFrame) -> tuple[DataFrame, bool]:
+    """One row per rule and token, and whether there are few enough of them to broadcast.
+
+    A table of rules (column ``rule``) is compiled by the tasks, written once and counted; a sequence by the driver.
+    """
+    if isinstance(rules, DataFrame):
+        named = rules.select("rule").where(F.col("rule").isNotNull()).distinct()
+        spots = written(named.mapInPandas(_compile_batches, _INDEX), "rules")
+        return spots, spots.count() <= BROADCAST_RULES
     compiled = [(r, *compile_rule(r)) for r in dict.fromkeys(rules)]
     rows = [(r, regex, verdict, t) for r, regex, verdict, tokens in compiled for t in (tokens or [""])]
-    spots = spark.createDataFrame(rows, _INDEX)
+    return spark.createDataFrame(rows, _INDEX), len(rows) <= BROADCAST_RULES
+
+
+def rule_index(urls: DataFrame, spots: DataFrame, few: bool, url: str = "url") -> DataFrame:
+    """One row per rule: rule, regex, verdict and the token it is filed under, its rarest in ``urls``."""
     wanted = spots.where("token <> ''").select("token").distinct()
-    if len(rows) <= BROADCAST_RULES:
+    if few:
         wanted = F.broadcast(wanted)
     seen = urls.select(F.explode(url_tokens(F.col(url))).alias("token")).join(wanted, "token", "left_semi")
     seen = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -114,13 +143,18 @@ def rule_index(urls: DataFrame, rules: Sequence[str], url: str = "url") -> DataF
     return ranked.groupBy("rule", "regex", "verdict").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
 
 
-def match_patterns(urls: DataFrame, rules: Sequence[str], url: str = "url") -> DataFrame:
+def candidate_rules(urls: DataFrame, rules: Sequence[str] | DataFrame, url: str = "url") -> DataFrame:
+    """(url, token, rule, regex, verdict): the rules that each distinct URL's tokens fetch; only their expressions are run."""
+    spots, few = compiled_rules(urls.sparkSession, rules)
+    index = rule_index(urls, spots, few, url)
+    fetched = urls.select(url, F.explode(url_tokens(F.col(url))).alias("token"))
+    return fetched.join(F.broadcast(index) if few else index, "token")
+
+
+def match_patterns(urls: DataFrame, rules: Sequence[str] | DataFrame, url: str = "url") -> DataFrame:
     """Distinct URLs that some rule fits: url, pattern, verdict. An exception beats a block; ties go to the smaller rule text."""
     distinct = urls.where(F.col(url).isNotNull()).select(url).distinct()
-    index = rule_index(distinct, rules, url)
-    if len(rules) <= BROADCAST_RULES:
-        index = F.broadcast(index)
-    fetched = distinct.select(url, F.explode(url_tokens(F.col(url))).alias("token")).join(index, "token")
+    fetched = candidate_rules(distinct, rules, url)
     fits = fetched.where(F.rlike(ascii_lower(F.col(url)), F.col("regex")))
     best = F.min(F.struct((F.col("verdict") == "block").alias("late"), "rule", "verdict"))
     return fits.groupBy(url).agg(best.alias("best")).select(
@@ -131,13 +165,14 @@ def match_patterns(urls: DataFrame, rules: Sequence[str], url: str = "url") -> D
 def judge_urls(
     pages: DataFrame,
     site_rules: Sequence[tuple[str, str, str]] = SITE_RULES,
-    pattern_rules: Sequence[str] = PATTERN_RULES,
+    pattern_rules: Sequence[str] | DataFrame = PATTERN_RULES,
     default: str = "allow",
     url: str = "url",
 ) -> DataFrame:
     """Add host, path, rule, pattern and verdict to every row.
 
-    The longest fitting site rule decides; else the pattern rules; else ``default``. Null, empty and malformed URLs have an empty
+    The longest fitting site rule decides; else the pattern rules (a sequence, or a table as from :func:`read_rules`); else
+    ``default``. Null, empty and malformed URLs have an empty
     host and path, fit nothing and get the default. Equal URLs get equal verdicts and are judged once; existing columns of the
     added names are replaced; an empty table gives an empty result.
     """

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -5,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tamarack.llm.sharding import kd_shards
-from tamarack.llm.urls import PATTERN_RULES, compile_rule, judge_urls, split_url
+from tamarack.llm.urls import PATTERN_RULES, candidate_rules, compile_rule, judge_urls, read_rules, split_url
 from tests.llm.conftest import ODD
 
 
@@ -82,3 +83,27 @@ def test_only_delimited_literals_are_tokens(rule, tokens):
 def test_host_of_a_url(spark):
     row = spark.createDataFrame([("x://A.B/c/d?e",)], "url string").select(*[c.alias(n) for c, n in zip(split_url("url"), "hp")]).first()
     assert tuple(row) == ("a.b", "/c/d")
+
+
+def test_ten_thousand_rules_from_files(spark, tmp_path):
+    rng = random.Random(8)
+    hosts = [f"h{rng.randrange(3000)}.{rng.choice(['ads', 'shop', 'news'])}{rng.randrange(40)}.org" for _ in range(3000)]
+    rules = {f"||{rng.choice(hosts)}^" for _ in range(3000)} | {f"/path{rng.randrange(10**5)}/*" for _ in range(4000)}
+    rules |= {f"@@||{h}/ok{rng.randrange(9)}^" for h in hosts[:1500]} | {f"|http://s{k}.net/*/x{k}^" for k in range(2500)} | {"*-promo-*", "||shop7."}
+    lines = ["[Adblock Plus 2.0]", "! a comment", "", "site.org##.banner", "a.org#@#div", "/ad[0-9]+/", "||h1.org^$third-party,image", *sorted(rules)]
+    (tmp_path / "list.txt").write_text("\n".join(lines))
+    table = read_rules(spark, str(tmp_path))
+    assert {r["rule"] for r in table.collect()} == rules and len(rules) > 9_000
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['', f'ok{rng.randrange(9)}', f'path{rng.randrange(10**5)}/y', 'a-promo-b'])}" for _ in range(150)]
+    urls += ["http://s7.net/q/x7", "http://s7.net/q/x77", None, ""]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    compiled = [(v == "block", r, v, re.compile(x)) for r in rules for x, v, _ in [compile_rule(r)]]
+    got = {r["page_id"]: (r["pattern"], r["verdict"]) for r in judge_urls(pages, (), table).collect()}
+    for k, u in enumerate(urls):
+        late, rule, verdict, _ = min((c[:3] + (0,) for c in compiled if u is not None and c[3].search(u)), default=(0, None, "allow", 0))
+        assert got[k] == (rule, verdict), u
+    assert len({v for _, v in got.values()}) == 2
+    known = pages.where("url is not null").select("url").distinct()
+    run = candidate_rules(known, table).count()
+    assert run < 8 * known.count()  # expressions run, of about ten thousand per URL
+    assert judge_urls(pages, (), table.limit(0)).where("verdict <> 'allow'").count() == 0
