@@ -1,12 +1,14 @@
 """Main text of HTML pages by wrapper induction.
 
 The DOM trees of the pages of one host are aligned by simple tree matching and merged into one tree, the host's wrapper. Its slots
-know on how many pages they stand, how much text and link text they hold, and whether their text varies between pages. Elements
-that stand alike on all pages that have their slot are template, if these are two or more and differ; the content lies where the text varies: below the article and main elements if
-the wrapper has any, else below the lowest node that covers the varying text outside links. Menus, headers, footers and the like are
-template even where their text varies. Slots are told apart by tag and by words of class and id that recur on the host's
-pages, so that a tree is bounded by the template. Merging is done per task first, then per host in rounds of shares, so that no
-task sees all pages of a host.
+know on how many pages they stand, how much text and link text they hold, and whether their text varies between pages. The content
+lies where the text varies: below the lowest node that covers the varying text outside links. Article and main elements narrow
+that down to themselves if they hold at least half of the varying text, or half of all text (copies of one article under many
+addresses vary only outside it). Inside the content, elements that stand alike on all pages that have their slot are template, if
+these are most of the pages with the content, differ, and such elements hold at most half of the content's text; headings and all
+that a page would be left with are kept. Menus, headers, footers and the like are template even where their text varies. Slots are
+told apart by tag and by words of class and id that recur on the host's pages, so that a tree is bounded by the template. Merging
+is done per task first, then per host in rounds of shares, so that no task sees all pages of a host.
 """
 
 from __future__ import annotations
@@ -61,10 +63,9 @@ DEPTH = 60
 
 #: Share of a host's pages on which a word of class or id must stand to be part of labels.
 RECURS = 0.1
-#: Below so many pages, constant elements are template only if they hold at most half of the content's text.
-AGREE = 8
-#: Parts of lists and tables, which are template only with the whole list or table.
+#: Parts of lists and tables, which are template only with the whole list or table, and headings, which are never constant template.
 ROWS = frozenset("li dt dd tr td th tbody thead tfoot caption option".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>?", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -381,23 +382,23 @@ def _own(slot: list, alone: bool) -> int:
 def content_roots(wrapper: list) -> tuple[list[tuple[str, ...]], bool, set[tuple[str, ...]]]:
     """Label paths of the slots that hold the content, whether elements say so, and paths near the top that are not content.
 
-    These are all article and main elements. Without any, it is the lowest slot that covers all varying text outside links. Down
-    from there to where that text is spread out, slots without such text are not content, and a path that ends in "" stands for
-    a slot's own text.
+    It is the lowest slot that covers all varying text outside links. Down from there to where that text is spread out, slots
+    without such text are not content, and a path that ends in "" stands for a slot's own text. Article and main elements take its
+    place if they hold at least half of that text, or half of all text outside links.
     """
     queue, named = [((), wrapper)], []
+    alone = wrapper[PAGES] == 1 or not _varying(wrapper, False)
     while queue:
         path, slot = queue.pop(0)
         if slot[SKIP]:
             continue
         if _rank(slot) is not None:
-            named.append(path)
+            named.append((path, slot))
             continue
         queue += [((*path, c[LABEL]), c) for c in slot[CHILDREN]]
-    if named:
-        return named, True, set()
+    if named and any(2 * sum(_varying(s, whole) for _, s in named) >= _varying(wrapper, whole) for whole in {alone, True}):
+        return [path for path, _ in named], True, set()
     path, slot, root, aside = (), wrapper, (), set()
-    alone = wrapper[PAGES] == 1 or not _varying(wrapper, False)
     covers = True
     while slot[CHILDREN]:
         mass = {c[LABEL]: _varying(c, alone) for c in slot[CHILDREN]}
@@ -416,18 +417,23 @@ def content_roots(wrapper: list) -> tuple[list[tuple[str, ...]], bool, set[tuple
     return [root], False, aside
 
 
-def _constant(slot: list) -> list[int]:
-    """Marks of the elements of a slot that stand on all its pages, while the pages differ: template."""
-    return slot[COMMON] if slot[PAGES] > 1 and slot[DIFFERS] and slot[TAG] not in ROWS else []
+def _constant(slot: list, pages: int) -> list[int]:
+    """Marks of the elements of a slot that stand on all its pages, while these differ and are most of ``pages``: template."""
+    most = slot[PAGES] > 1 and 2 * slot[PAGES] > pages and slot[DIFFERS]
+    return slot[COMMON] if most and slot[TAG] not in ROWS and slot[TAG] not in HEADINGS else []
 
 
-def _weights(slot: list) -> tuple[int, float]:
-    """Characters of constant elements below a slot, and of all text below it, per page."""
-    below = [_weights(c) for c in slot[CHILDREN] if slot[SKIP] != DROPPED]
-    constant = max(sum(m & ((1 << _LENGTH) - 1) for m in _constant(slot)), sum(b[0] for b in below))
+def _weights(slot: list, pages: int) -> tuple[int, int]:
+    """Characters of constant elements below a slot on a page, and of all text below it on all pages."""
+    below = [_weights(c, pages) for c in slot[CHILDREN] if slot[SKIP] != DROPPED]
+    constant = max(sum(m & ((1 << _LENGTH) - 1) for m in _constant(slot, pages)), sum(b[0] for b in below))
     return constant, (slot[CHARS] if slot[SKIP] != DROPPED else 0) + sum(b[1] for b in below)
 
 
+#: Marks of constant elements by the label path of their slot.
+Marks = dict[tuple[str, ...], frozenset[int]]
+
+
 class Wrapper:
     """A host's merged tree, ready to extract, and the ranks of the words in its labels."""
 
@@ -437,48 +443,53 @@ class Wrapper:
         roots, self.named, self.aside = content_roots(tree)
         self.roots = set(roots)
         self.above = {r[:k] for r in roots for k in range(len(r))}
-        self.constant: dict[tuple[str, ...], frozenset[int]] = {}
+        self.constant: Marks = {}
         self.kept: set[tuple[str, ...]] = set()  # with hint words, but content
         for root in roots:
             slot = tree
             for k, label in enumerate(root):
                 slot = next(c for c in slot[CHILDREN] if c[LABEL] == label)
                 self.kept.add(root[: k + 1])
-            below = [_weights(c) for c in slot[CHILDREN] if not c[SKIP]]
-            enough = slot[PAGES] >= AGREE or 2 * slot[PAGES] * sum(b[0] for b in below) <= slot[CHARS] + sum(b[1] for b in below)
-            self._mark(slot, root, enough)
+            below = [_weights(c, slot[PAGES]) for c in slot[CHILDREN] if not c[SKIP]]
+            minor = 2 * slot[PAGES] * sum(b[0] for b in below) <= slot[CHARS] + sum(b[1] for b in below)
+            self._mark(slot, root, slot[PAGES] if minor else None)
 
-    def _mark(self, slot: list, path: tuple[str, ...], enough: bool) -> None:
+    def _mark(self, slot: list, path: tuple[str, ...], pages: int | None) -> None:
         for c in slot[CHILDREN]:
             below = (*path, c[LABEL])
             if not c[SKIP]:
                 self.kept.add(below)
-            if enough and (marks := _constant(c)):
+            if pages and (marks := _constant(c, pages)):
                 self.constant[below] = frozenset(marks)
-            self._mark(c, below, enough)
+            self._mark(c, below, pages)
 
     def blocks(self, page: Node) -> list[str] | None:
-        """Content blocks of a page; None if the page has no slot where the wrapper has its content."""
-        out: list[list[str]] = [[]]
-        fits = self._find(page, (), out)
-        found = (" ".join(entities.unescape("".join(b)).split()) for b in out)
-        blocks = [b for b in found if b]
+        """Content blocks of a page; None if the page has no slot where the wrapper has its content. Constant elements are kept if
+        nothing else is there."""
+        blocks: list[str] = []
+        for constant in (self.constant, {}) if self.constant else ({},):
+            out: list[list[str]] = [[]]
+            fits = self._find(page, (), out, constant)
+            found = (" ".join(entities.unescape("".join(b)).split()) for b in out)
+            blocks = [b for b in found if b]
+            if blocks or not fits:
+                break
         return blocks if fits and (blocks or self.named) else None
 
-    def _find(self, node: Node, path: tuple[str, ...], out: list[list[str]]) -> bool:
+    def _find(self, node: Node, path: tuple[str, ...], out: list[list[str]], constant: Marks) -> bool:
         """Walk the content slots of a page in order; whether there are any."""
         if path in self.roots:
             out.append([])
-            self._walk(node, path, out)
+            self._walk(node, path, out, constant)
             return True
         fits = False
         if path in self.above:
             for item in node.items:
                 if isinstance(item, Node) and item.skip != DROPPED:
-                    fits = self._find(item, (*path, item.label), out) or fits
+                    fits = self._find(item, (*path, item.label), out, constant) or fits
         return fits
 
-    def _walk(self, node: Node, path: tuple[str, ...], out: list[list[str]]) -> None:
+    def _walk(self, node: Node, path: tuple[str, ...], out: list[list[str]], constant: Marks) -> None:
         silent = (*path, "") in self.aside
         for item in node.items:
             if isinstance(item, str):
@@ -487,18 +498,18 @@ class Wrapper:
             elif item.tag in BLOCKS:
                 out.append([])
                 below = (*path, item.label)
-                if not self._template(item, below):
-                    self._walk(item, below, out)
+                if not self._template(item, below, constant):
+                    self._walk(item, below, out, constant)
                     out.append([])
             elif item.tag in ("td", "th"):
                 out[-1].append(" ")
-                self._walk(item, (*path, item.label), out)
+                self._walk(item, (*path, item.label), out, constant)
                 out[-1].append(" ")
-            elif not self._template(item, below := (*path, item.label)):
-                self._walk(item, below, out)
+            elif not self._template(item, below := (*path, item.label), constant):
+                self._walk(item, below, out, constant)
 
-    def _template(self, item: Node, below: tuple[str, ...]) -> bool:
-        if below in self.constant and mark_of(item) in self.constant[below]:
+    def _template(self, item: Node, below: tuple[str, ...], constant: Marks) -> bool:
+        if below in constant and mark_of(item) in constant[below]:
             return True
         return item.skip == DROPPED or below in self.aside or item.skip == HINTED and below not in self.kept
 

@@ -192,6 +192,58 @@ def test_constant_elements_of_any_tag_are_template(spark):
     assert near == [f"The same article under two addresses\n{n}" for n in range(2)]
 
 
+def test_copies_of_an_article_keep_it(spark):
+    body = "<h1>Head</h1><p>The same article stands under many addresses of the host</p><p>And it goes on for a while</p>"
+    want = "Head\nThe same article stands under many addresses of the host\nAnd it goes on for a while"
+    for count in (2, 10):
+        page = f"<article>{body}</article><div class='count'>viewed {{0}} times</div>"
+        assert texts_of(spark, [page.format(n) for n in range(count)]) == [want] * count
+        page = f"<article>{body}<p>viewed {{0}} times</p></article>"
+        assert texts_of(spark, [page.format(n) for n in range(count)]) == [f"{want}\nviewed {n} times" for n in range(count)]
+    own = "<div class='body'><p>Own text {0} of page {0}, which no other page has, {0}</p></div>"
+    quote = "<div class='body'><blockquote>The quote that two copies hold</blockquote><p>copied</p></div><p>seen {0}</p>"
+    texts = texts_of(spark, [own.format(n) for n in range(8)] + [quote.format(n) for n in (1, 2)])
+    assert all("The quote that two copies hold" in t for t in texts[8:])
+
+
+def test_headings_and_the_last_content_of_a_page_stay(spark):
+    page = "<article><h2>Introduction</h2><p>Start {0} of the text {0}</p><h2>Conclusion</h2><p>End {0} of the text {0}</p><p>Licence</p></article>"
+    want = "Introduction\nStart {0} of the text {0}\nConclusion\nEnd {0} of the text {0}"
+    bare = "<article><p>Licence</p></article>"
+    texts = texts_of(spark, [page.format(f"w{n}") for n in range(9)] + [bare])
+    assert texts == [want.format(f"w{n}") for n in range(9)] + ["Licence"]
+
+
+def test_content_is_found_without_telling_names(spark):
+    """Words and tags without meaning: the text of the nodes that a plain alignment finds to vary, and the same with article elements."""
+    page = (
+        "<html><body><{2} class='q'><div class='k1'>Site of the house</div><div class='k2'><a href='/'>One</a><a href='/x'>Two</a></div></{2}>"
+        "<{1} class='k3'><div class='k4'>Title {0}</div><div class='k5'><p>Text {0} with words {0}</p><p>More {0} of it {0}</p></div></{1}>"
+        "<div class='k6'>Imprint and rights</div></body></html>"
+    )
+    sources = [page.format(f"w{n}", "div", "div") for n in range(6)]
+
+    def texts(node):
+        return [t for i in node.items for t in ([" ".join(i.split())] if isinstance(i, str) else texts(i)) if t]
+
+    rows = [texts(parse(p)) for p in sources]
+    varying = [k for k, column in enumerate(zip(*rows, strict=True)) if len(set(column)) > 1]
+    want = ["\n".join(r[k] for k in varying) for r in rows]
+    assert texts_of(spark, sources) == want
+    assert texts_of(spark, [page.format(f"w{n}", "article", "div") for n in range(6)]) == want
+    teaser = "<article>Top</article>" + page  # an article element that holds hardly any of the text does not decide
+    got = texts_of(spark, [teaser.format(f"w{n}", "div", "div") for n in range(6)])
+    assert all(w in g and "Imprint" not in g for w, g in zip(want, got))
+
+
+def test_long_pages_and_clashing_columns(spark):
+    page = "<article><p>" + "long words " * 200_000 + "</p></article>"
+    frame = spark.createDataFrame([(1, "http://h.org/", page), (2, None, None)], "page_id long, url string, html string")
+    frame = frame.withColumns({"_host": F.lit("x"), "_wrapper": F.lit("y"), "host": F.lit("z")})
+    got = {r["page_id"]: r for r in extract_pages(frame).collect()}
+    assert got[1]["text"] == ("long words " * 200_000).strip() and got[2]["text"] == "" and got[1]["host"] == "z"
+
+
 def test_words_of_one_page_only_do_not_split_slots(spark):
     names = ["".join(chr(97 + n // 26**k % 26) for k in range(3)) + "x" for n in range(60)]
     page = "<div class='{0} entry' id='post-{0}'><p>Text {0} of the page {0}</p><p class='{0}'>Licence of the house</p></div><div class='foot'>Kept</div>"
