@@ -75,10 +75,10 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 class Node:
     """An element of a page: its label (tag, role, mark and recurring words of class and id) and its children and texts in order."""
 
-    __slots__ = ("tag", "label", "skip", "items", "mark")
+    __slots__ = ("tag", "label", "skip", "items", "mark", "own")
 
     def __init__(self, tag: str, label: str, skip: int):
-        self.tag, self.label, self.skip, self.items, self.mark = tag, label, skip, [], None
+        self.tag, self.label, self.skip, self.items, self.mark, self.own = tag, label, skip, [], None, None
 
 
 def _hints(value: str) -> bool:
@@ -227,35 +227,38 @@ LABEL, TAG, SKIP, PAGES, CHARS, LINKED, TEXT, VARIES, CHILDREN, COMMON, PAGE, DI
 _LENGTH = 20
 
 
+def _own_text(node: Node) -> str:
+    """The text of an element besides that of its children, with single spaces."""
+    if node.own is None:
+        texts = [i for i in node.items if i.__class__ is str]
+        node.own = " ".join(" ".join(texts).split()) if texts else ""
+    return node.own
+
+
 def mark_of(node: Node) -> int:
     """A hash of the text of an element outside template, with its length in the last bits; 0 without text."""
     if node.mark is None:
-        parts, size = [], 0
-        for item in node.items if node.skip != DROPPED else ():
-            if isinstance(item, str):
-                text = " ".join(item.split())
-                size += len(text)
-                part = text.encode("utf-8", "replace")
-            else:
-                mark = mark_of(item)
-                size += mark & ((1 << _LENGTH) - 1)
-                part = mark.to_bytes(8, "big") if mark else b""
-            if part:
-                parts.append(part)
-        found = int.from_bytes(hashlib.blake2b(b"\0".join(parts), digest_size=5).digest(), "big") if parts else 0
-        node.mark = found << _LENGTH | min(size, (1 << _LENGTH) - 1) if parts else 0
+        node.mark = 0
+        if node.skip != DROPPED:
+            own = _own_text(node)
+            marks = [m for i in node.items if i.__class__ is Node and (m := mark_of(i))]
+            if own or marks:
+                size = len(own) + sum(m & ((1 << _LENGTH) - 1) for m in marks)
+                parts = own.encode("utf-8", "replace") + b"\0" + b"".join([m.to_bytes(8, "big") for m in marks])
+                found = int.from_bytes(hashlib.blake2b(parts, digest_size=5).digest(), "big")
+                node.mark = found << _LENGTH | min(size, (1 << _LENGTH) - 1)
     return node.mark
 
 
 def _page_mark(page: Node) -> int:
     """A mark of the page's text outside elements with hint words."""
-    total, stack = 0, [page]
+    texts, stack = [], [page]
     while stack:
         node = stack.pop()
         if node.skip == KEPT:
-            total = zlib.crc32(" ".join(" ".join(i for i in node.items if isinstance(i, str)).split()).encode("utf-8", "replace"), total)
-            stack += [i for i in node.items if isinstance(i, Node)]
-    return total
+            texts.append(_own_text(node))
+            stack += [i for i in node.items if i.__class__ is Node]
+    return zlib.crc32("\0".join(texts).encode("utf-8", "replace"))
 
 
 def tree_of(page: Node) -> list:
@@ -271,7 +274,7 @@ def tree_of(page: Node) -> list:
 
 def _tree_of(node: Node, linked: bool, page: int) -> list:
     linked = linked or node.tag == "a"
-    own = " ".join(" ".join(i for i in node.items if isinstance(i, str)).split()) if node.skip != DROPPED else ""
+    own = _own_text(node) if node.skip != DROPPED else ""
     children: dict[str, list] = {}
     for item in node.items:
         if isinstance(item, Node):
@@ -279,7 +282,7 @@ def _tree_of(node: Node, linked: bool, page: int) -> list:
             there = children.get(item.label)
             children[item.label] = slot if there is None else merge(there, slot, same_page=True)
     size = len(own)
-    text, mark = zlib.crc32(own.encode("utf-8", "replace")), mark_of(node)
+    text, mark = zlib.crc32(own.encode("utf-8", "replace")) if own else 0, mark_of(node)
     common = {mark} if mark else set()  # a set while the page's own slots are joined
     return [node.label, node.tag, node.skip, 1, size, size if linked else 0, text, False, list(children.values()), common, page, False]
 
@@ -308,12 +311,17 @@ def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
     return 1 + best[-1][-1], pairs[::-1]
 
 
-def merge(a: list, b: list, same_page: bool = False) -> list:
-    """Two aligned trees as one; children without a partner stay where they stood."""
-    pairs = dict(matching(a, b)[1])
+def _labels(slot: list) -> list[str]:
+    return [c[LABEL] for c in slot[CHILDREN]]
+
+
+def _merge_children(left: list, right: list, matched: list[tuple[int, int]] | None, same_page: bool) -> list:
+    """Children of two slots as one list, by the pairs that match; None if all pair off in order."""
+    if matched is None:
+        return [merge(x, y, same_page) for x, y in zip(left, right)]
+    pairs = dict(matched)
     partner = {j: i for i, j in pairs.items()}
     children, seen = [], 0
-    left, right = a[CHILDREN], b[CHILDREN]
     for i, x in enumerate(left):
         if i in pairs:
             children += [y for j, y in enumerate(right[seen : pairs[i]], seen) if j not in partner]
@@ -326,6 +334,12 @@ def merge(a: list, b: list, same_page: bool = False) -> list:
     for c in children:  # a slot that moved to another place stays one slot
         there = merged.get(c[LABEL])
         merged[c[LABEL]] = c if there is None else merge(there, c, same_page)
+    return list(merged.values())
+
+
+def merge(a: list, b: list, same_page: bool = False) -> list:
+    """Two aligned trees as one; children without a partner stay where they stood."""
+    slots = _merge_children(a[CHILDREN], b[CHILDREN], matching(a, b)[1] if _labels(a) != _labels(b) else None, same_page)
     varies = a[VARIES] or b[VARIES] or (not same_page and a[TEXT] != b[TEXT])
     text = zlib.crc32(f"{a[TEXT]} {b[TEXT]}".encode()) if same_page else a[TEXT]
     pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
@@ -336,7 +350,6 @@ def merge(a: list, b: list, same_page: bool = False) -> list:
         common = sorted(set(a[COMMON]).intersection(b[COMMON]))
     differs = a[DIFFERS] or b[DIFFERS] or a[PAGE] != b[PAGE]
     chars, links = a[CHARS] + b[CHARS], a[LINKED] + b[LINKED]
-    slots = list(merged.values())
     return [a[LABEL], a[TAG], max(a[SKIP], b[SKIP]), pages, chars, links, text, varies, slots, common, a[PAGE], differs]
 
 
