@@ -29,6 +29,21 @@ def vocab_top_n(t: Tables) -> DataFrame:
     return vectors.vocabulary(t.documents, "text", 5000)
 
 
+@query(
+    "vocab_hashed_counters",
+    f"""
+    WITH w AS (SELECT {WORDS} AS t FROM documents),
+    g AS (SELECT unnest(t) AS term FROM w
+      UNION ALL SELECT unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM w
+      UNION ALL SELECT unnest(list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) FROM w)
+    SELECT term, count(*) AS tf FROM g GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5000
+    """,
+)
+def vocab_hashed_counters(t: Tables) -> DataFrame:
+    """The way of large inputs, whatever the table's size."""
+    return vectors.vocabulary(t.documents, "text", 5000, vectors.TRIGRAMS, direct_bytes=-1)
+
+
 @query(
     "tfidf_weights",
     f"""

@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import exploded_terms, ngrams, vector_words
+from tamarack.operators.frequent import frequent_terms
 from tamarack.session import cut_lineage, shuffle_width, spread
 
 UNIGRAMS = (1,)
 TRIGRAMS = (1, 2, 3)
 
+#: Bytes of input up to which all terms are counted in one pass.
+DIRECT_BYTES = 1 << 30
+
 
 def with_terms(df: DataFrame, text: str, sizes: Sequence[int] = UNIGRAMS, output: str = "terms") -> DataFrame:
     """Array column of all n-grams; the words are extracted once."""
@@ -36,9 +40,17 @@ def term_counts(df: DataFrame, keep: Sequence[str], text: str, sizes: Sequence[i
     return exploded.groupBy(*keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(df: DataFrame, text: str, size: int, sizes: Sequence[int] = UNIGRAMS) -> DataFrame:
-    """The ``size`` most frequent terms of the corpus, ties by term: (term, tf)."""
-    terms = exploded_terms(with_terms(spread(df.select(text)), text, sizes), [], "terms", "term")
+def vocabulary(df: DataFrame, text: str, size: int, sizes: Sequence[int] = UNIGRAMS, direct_bytes: int = DIRECT_BYTES) -> DataFrame:
+    """The ``size`` most frequent terms of the corpus, ties by term: (term, tf).
+
+    Inputs beyond ``direct_bytes``, by the plan's estimate, have hashed counters first, so that rare terms are never shuffled; the
+    rows are the same.
+    """
+    texts = df.select(text)
+    large = int(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > direct_bytes
+    terms = exploded_terms(with_terms(spread(texts), text, sizes), [], "terms", "term")
+    if large:
+        return frequent_terms(terms, size)
     counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
     return counts.orderBy(F.desc("tf"), "term").limit(size)
 
