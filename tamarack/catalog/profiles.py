@@ -13,7 +13,8 @@ from tamarack.operators import clean, correlation, profile
 from tamarack.operators.joins import lookup_join, skew_join
 from tamarack.operators.ordering import dense_codes
 from tamarack.operators.selection import exact_quantiles, percentile_rank
-from tamarack.session import spread
+from tamarack.operators.sketches import DISTINCT_ERROR, RANK_ERROR, merge_sketches, read_sketches, sketch_columns
+from tamarack.session import cut_lineage, spread
 from tamarack.sources.readers import info
 
 TOKENS = r"len(regexp_extract_all(text, '[\p{L}\p{N}_'']+|[^\p{L}\p{N}_''\s]'))"
@@ -725,3 +726,39 @@ def feature_rank_top30(t: Tables) -> DataFrame:
 )
 def top_bottom_features(t: Tables) -> DataFrame:
     return rounded(correlation.top_and_bottom(target_frame(t), TARGET_FEATURES, "toxic", 5), 6, "correlation")
+
+
+SKETCHED = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query(
+    "sketched_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, count(*) AS "rows", count(*) - count({c}) AS missing, CAST(min({c}) AS DOUBLE) AS low,
+        CAST(max({c}) AS DOUBLE) AS high, round(avg({c}), 4) AS mean, TRUE AS distinct_fits, TRUE AS quantiles_fit FROM lineitem"""
+        for c in SKETCHED
+    ),
+)
+def sketched_profile(t: Tables) -> DataFrame:
+    """Sketches per ship month, merged; estimates are held against exact counts of the same table, at twice the stated errors."""
+    wanted = {"q05": 0.05, "q50": 0.5, "q95": 0.95}
+    parts = sketch_columns(t.lineitem.withColumn("_month", F.trunc("l_shipdate", "MM")), SKETCHED, ["_month"])
+    read = cut_lineage(read_sketches(merge_sketches(cut_lineage(parts)), wanted))
+    long = profile.long_form(t.lineitem, SKETCHED).join(F.broadcast(read.select("feature", *wanted)), "feature")
+    counts = [F.count(F.when(F.col("value") < F.col(q), 1)).alias(f"{q}_below") for q in wanted]
+    counts += [F.count(F.when(F.col("value") <= F.col(q), 1)).alias(f"{q}_up_to") for q in wanted]
+    exact = long.groupBy("feature").agg(F.count_distinct("value").alias("values"), F.count(F.lit(1)).alias("n"), *counts)
+    slack = F.col("n") * 2 * RANK_ERROR
+    fits = F.lit(True)
+    for q, share in wanted.items():
+        fits = fits & (F.col(f"{q}_below") - slack <= F.col("n") * share) & (F.col("n") * share <= F.col(f"{q}_up_to") + slack)
+    return read.join(exact, "feature").select(
+        "feature",
+        "rows",
+        "missing",
+        "low",
+        "high",
+        F.round("mean", 4).alias("mean"),
+        (F.abs(F.col("distinct") - F.col("values")) <= F.col("values") * 2 * DISTINCT_ERROR).alias("distinct_fits"),
+        fits.alias("quantiles_fit"),
+    )

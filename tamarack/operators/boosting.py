@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.session import cut_lineage
+from tamarack.session import cut_lineage, partitions_by_bytes
 
 CHECKPOINT_EVERY = 10
 
@@ -52,6 +52,27 @@ def _vote(tree: DecisionTreeClassificationModel, array: str) -> Column:
     return branch(tree._java_obj.rootNode())
 
 
+def _sums(tree: DecisionTreeClassificationModel) -> tuple[float, float]:
+    """Weight of the rows a tree gets wrong, and of all rows it was grown on, from the class sums that its leaves hold."""
+    wrong = total = 0.0
+    nodes = [tree._java_obj.rootNode()]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() == "LeafNode":
+            by_class = list(node.impurityStats().stats())
+            right = by_class[int(node.prediction())]
+            wrong, total = wrong + sum(by_class) - right, total + sum(by_class)
+        else:
+            nodes += [node.rightChild(), node.leftChild()]
+    return wrong, total
+
+
+def _held(df: DataFrame) -> DataFrame:
+    """The rows as a written table, in memory, in as many partitions as its bytes deserve."""
+    table = cut_lineage(df)
+    return table.coalesce(partitions_by_bytes(table)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_adaboost(
     df: DataFrame,
     label: str = "label",
@@ -61,14 +82,13 @@ def fit_adaboost(
     depth: int = 1,
     seed: int = 42,
 ) -> BoostedModel:
-    """Reweight the rows after every tree.
+    """Reweight the rows after every tree; a tree's leaves know the weight of their errors, so that a round is one fit.
 
     The weight is an expression over the trees grown since the last checkpoint; every few rounds
     it is written down, so that neither the expression nor the lineage grows with the rounds.
     """
     rows = df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
-    held = cut_lineage(rows.withColumns({"_a": vector_to_array("features"), "_w": F.lit(1.0)}))
-    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    held = _held(rows.withColumns({"_a": vector_to_array("features"), "_w": F.lit(1.0)}))
     trees, weights = [], []
     factor = F.lit(1.0)
     for turn in range(rounds):
@@ -78,8 +98,8 @@ def fit_adaboost(
         )
         tree = learner.fit(current)
         miss = (_vote(tree, "_a") > 0).cast("double") != F.col("label")
-        sums = current.agg(F.sum(F.when(miss, F.col("_w")).otherwise(0.0)).alias("bad"), F.sum("_w").alias("all")).first()
-        error = sums["bad"] / sums["all"]
+        wrong, total = _sums(tree)
+        error = wrong / total
         if error <= 0:
             trees.append(tree)
             weights.append(1.0)
@@ -89,9 +109,9 @@ def fit_adaboost(
         weight = learning_rate * math.log((1 - error) / error)
         trees.append(tree)
         weights.append(weight)
-        factor = factor * F.when(miss, math.exp(weight) / sums["all"]).otherwise(1.0 / sums["all"])
+        factor = factor * F.when(miss, math.exp(weight) / total).otherwise(1.0 / total)
         if (turn + 1) % CHECKPOINT_EVERY == 0:
-            written = cut_lineage(held.withColumn("_w", F.col("_w") * factor)).persist(StorageLevel.MEMORY_AND_DISK)
+            written = _held(held.withColumn("_w", F.col("_w") * factor))
             held.unpersist()
             held, factor = written, F.lit(1.0)
     held.unpersist()

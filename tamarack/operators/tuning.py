@@ -30,10 +30,10 @@ from tamarack.operators.boosting import fit_adaboost
 from tamarack.operators.models import FEATURES, ID, LABEL, Fitted, _estimator, nearest_neighbours
 from tamarack.operators.spaces import DEEPEST, sample_space
 from tamarack.operators.splitting import with_folds
-from tamarack.session import cut_lineage
+from tamarack.session import cut_lineage, partitions_by_bytes
 
-#: Bytes of training rows for each partition of a fold, and fits that the driver watches at a time at most.
-FOLD_BYTES, MOST_FITS = 16 * 2**20, 64
+#: Fits that the driver watches at a time at most.
+MOST_FITS = 64
 
 
 def _subset(name: str | None) -> str:
@@ -177,17 +177,12 @@ def fold_scores(fit: Callable[[DataFrame], Fitted], train: DataFrame, held_out:
     return row["f1"], row["balanced_accuracy"]
 
 
-def _sized(table: DataFrame) -> int:
-    """Partitions that a written table deserves by its bytes."""
-    return max(1, -(-int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // FOLD_BYTES))
-
-
 class Folds:
     """Training and held-out rows of every fold, from one written table; small tables are few partitions."""
 
     def __init__(self, train: DataFrame, folds: int, seed: int) -> None:
         table = cut_lineage(with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed))
-        self.parts = _sized(table)
+        self.parts = partitions_by_bytes(table)
         self.pairs = [
             tuple(table.where(w).drop("fold").coalesce(self.parts).persist(StorageLevel.MEMORY_AND_DISK) for w in (F.col("fold") != f, F.col("fold") == f))
             for f in range(folds)
@@ -370,7 +365,7 @@ def learning_curve(
     A larger share contains every row of a smaller one: rows enter by the size of their hash.
     """
     folded = cut_lineage(with_folds(train.select(ID, LABEL, FEATURES), LABEL, ID, folds, seed))
-    parts = _sized(folded)
+    parts = partitions_by_bytes(folded)
     place = F.pmod(F.xxhash64(F.lit(seed + 1), ID), F.lit(1 << 20)) / float(1 << 20)
     held = folded.withColumn("_place", place).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
 

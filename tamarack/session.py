@@ -91,6 +91,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partitions_by_bytes(table: DataFrame, each: int = 16 * 2**20) -> int:
+    """Partitions that a written table deserves by its bytes."""
+    return max(1, -(-int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // each))
+
+
 def _bytes(value: str) -> int:
     """A size setting such as 128MB or 16m in bytes."""
     number = value.strip().lower().rstrip("b")
