@@ -20,8 +20,8 @@ from tamarack.llm.common import written
 #: Bins of one refinement step, the share of a leaf within which a cut may miss, and how many pieces of a leaf one text may fill.
 BINS, TOLERANCE, PIECES = 512, 1 / 128, 64
 
-#: Chunks in which the rows of one shard are numbered.
-CHUNKS = 16
+#: Rows of a shard that are numbered in one group on average, fewest groups of a shard, and equal rows that one task writes out at once.
+CHUNK, LEAST_CHUNKS, COPIES = 100_000, 16, 65_536
 
 
 def _points(rows: DataFrame, dimensions: Sequence[str], target: float) -> tuple[DataFrame, DataFrame]:
@@ -130,7 +130,8 @@ def kd_shards(
         ),
         "shard-input",
     )
-    total = float(rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
+    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    total = float(total)
     leaves = shards or max(1, round(total / target_bytes))
     dims = len(dimensions)
     dealt, points = _points(rows, list(coordinates), max(total, 1.0) / leaves)
@@ -171,15 +172,29 @@ def kd_shards(
         points = written(moved.select(*points.columns), "shard-points")
         nodes = after
     placed = dealt.join(points.select("group", "piece", F.col("node").alias("shard")), ["group", "piece"])
-    placed = placed.select("doc_id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS)).cast("int").alias("chunk"))
-    return _with_slots(written(placed, "shard-placed"))
+    return _with_slots(placed.select("doc_id", "size", "text_crc32", "shard"), max(LEAST_CHUNKS, -(-count // (CHUNK * leaves))))
 
 
-def _with_slots(placed: DataFrame) -> DataFrame:
-    """Number the rows of every shard from 0: within chunks first, then by the counts of the chunks before."""
+def _with_slots(placed: DataFrame, chunks: int) -> DataFrame:
+    """Number the rows of every shard from 0, alike in every run.
+
+    Equal rows are one row with their count; these go to chunks by a hash of all they hold, so that null or repeated ids spread.
+    Counts are added up within a chunk, then over the chunks before it, and many equal rows are written out by several tasks.
+    """
+    key = ["doc_id", "text_crc32", "size"]
+    chunk = F.pmod(F.xxhash64(*key), F.lit(chunks)).alias("chunk")
+    distinct = written(placed.groupBy(*key, "shard").agg(F.count(F.lit(1)).alias("n")).select("*", chunk), "shard-placed")
     ahead = W.partitionBy("shard").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    counts = placed.groupBy("shard", "chunk").agg(F.count(F.lit(1)).alias("n"))
-    offsets = counts.select("shard", "chunk", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
-    inside = W.partitionBy("shard", "chunk").orderBy("doc_id", "text_crc32", "size")
-    numbered = placed.withColumn("place", F.row_number().over(inside) - 1).join(F.broadcast(offsets), ["shard", "chunk"])
-    return numbered.select("doc_id", "size", "text_crc32", "shard", (F.col("place") + F.col("before")).cast("long").alias("slot"))
+    counts = distinct.groupBy("shard", "chunk").agg(F.sum("n").alias("held"))
+    offsets = counts.select("shard", "chunk", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("before"))
+    inside = W.partitionBy("shard", "chunk").orderBy(*key).rowsBetween(W.unboundedPreceding, -1)
+    numbered = distinct.withColumn("place", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(offsets, ["shard", "chunk"])
+    numbered = written(numbered.select(*key, "shard", "n", (F.col("place") + F.col("before")).alias("first")), "shard-numbered")
+    last = F.col("first") + F.col("n") - 1
+    few = numbered.where(F.col("n") <= COPIES).select(*key, "shard", F.explode(F.sequence("first", last)).alias("slot"))
+    pieces = numbered.where(F.col("n") > COPIES).select(
+        *key, "shard", last.alias("last"), F.explode(F.sequence("first", last, F.lit(COPIES).cast("long"))).alias("from")
+    )
+    end = F.least(F.col("last"), F.col("from") + (COPIES - 1))
+    many = pieces.repartition("shard", "from").select(*key, "shard", F.explode(F.sequence("from", end)).alias("slot"))
+    return few.unionByName(many).select("doc_id", "size", "text_crc32", "shard", "slot")

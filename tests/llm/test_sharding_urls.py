@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from tamarack.llm import sharding
 from tamarack.llm.sharding import kd_shards
 from tamarack.llm.urls import PATTERN_RULES, candidate_rules, compile_rule, judge_urls, read_rules, split_url
 from tests.llm.conftest import ODD
@@ -42,6 +43,17 @@ def test_target_bytes_odd_rows_and_empty_tables(spark, docs_of):
     assert kd_shards(docs_of([(1, "only")]), shards=24).collect()[0]["shard"] in range(24)
 
 
+def test_slots_of_null_and_repeated_ids(spark, docs_of, monkeypatch):
+    """A third without an id, a third under one id, most of them equal rows: gapless slots, the same in a second run."""
+    monkeypatch.setattr(sharding, "COPIES", 50)
+    monkeypatch.setattr(sharding, "CHUNK", 10)
+    texts = [(None, f"none {n % 40} " * 5) for n in range(1200)] + [(7, "seven " * 9)] * 1200 + [(n, f"own {n} " * 6) for n in range(1200)]
+    runs = [kd_shards(docs_of(texts), shards=6).collect() for _ in range(2)]
+    check_shards(runs[0], texts, 6)
+    of = [Counter((r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in run) for run in runs]
+    assert of[0] == of[1]
+
+
 URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?y#z", "http://a.example.com/en/1", "https://x.net/es/1", "https://x.net/fr",
     "ftp://casino-win.example.org/a", "http://notspam-farm.org/", "http://spam-farm.org", "http://docs.ads.org/api/x", "http://ads.docs.org/api/",
