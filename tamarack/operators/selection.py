@@ -11,6 +11,7 @@ give the rank, so that a value held by a third of all rows is never gathered; al
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,9 @@ from tamarack.session import cut_lineage, shuffle_width
 #: Rows of a group or an interval that one task may hold.
 FEW = 65_536
 
+#: Rows of a large group that one task ranks, about; more rows are more tasks.
+TASK_ROWS = 1 << 20
+
 #: Bins per power of two in the first round, bins of equal width in the others, and rounds until no two doubles share a bin.
 PER_OCTAVE, BINS, ROUNDS = 32, 1024, 8
 
@@ -170,9 +174,18 @@ def percentile_rank(df: DataFrame, keys: Sequence[str], value: str, output: str,
     spread = F.pmod(F.xxhash64(*salt_by), F.lit(4 * shuffle_width(df.sparkSession))) + 1
     salt = F.when(F.col(value).isNull() | alone, spread).otherwise(F.lit(0))
     marked = marked.withColumn("_salt", salt)
+    numbered = {
+        c: F.when(F.isnan(c), F.lit(1 << 62)).when(F.abs(c) == math.inf, F.lit(1 << 61) * F.signum(c).cast("int")).otherwise(F.col(c).cast("bigint"))
+        for c in cells
+    }
+    marked = marked.withColumns(numbered)  # windows see whole numbers, so that they keep the partitions given here
+    if large is not None:  # tasks as the rows ask for, so that one never sorts more the larger the table is
+        tasks = -(-int(large.agg(F.sum("_n")).first()[0]) // TASK_ROWS)
+        if tasks > shuffle_width(df.sparkSession):
+            marked = marked.repartition(tasks, *keys, *cells, "_salt")
     place = W.partitionBy(*by, *cells, "_salt")
     rank = F.rank().over(place.orderBy(value))
-    peers = F.count(F.lit(1)).over(W.partitionBy(*by, *cells, "_salt", value))
+    peers = F.count(F.lit(1)).over(place.orderBy(value).rangeBetween(W.currentRow, W.currentRow))  # in the order of the ranks: one sort
     size = F.coalesce("_n", F.count(value).over(place))
     mean = F.when(alone, F.col("_base") + (F.col("_same") + 1) / 2).otherwise(F.coalesce("_base", F.lit(0)) + F.col("_rank") + (F.col("_peers") - 1) / 2)
     out = marked.withColumns({"_rank": rank, "_peers": peers, "_size": size})
