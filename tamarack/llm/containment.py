@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarack.llm.common import list_column, shingle_hashes, shingle_sets, signed, word_hashes, written
+from tamarack.llm.common import list_column, shingle_hashes, shingle_sets, signed, tidied, word_hashes, written
 
 #: Words in a shingle, least share of an item's shingles, and shingles of items that are sent to the executors at once.
 WIDTH, SHARE, BLOCK_SHINGLES = 5, 0.75, 2_000_000
@@ -30,6 +30,7 @@ LEAK = T.StructType(
 )
 
 
+@tidied
 def _item_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
@@ -90,6 +91,7 @@ class Sketches:
                 yield r, n, shared
 
 
+@tidied
 def _mark_batches(
     batches: Iterator[pa.RecordBatch], items: list, share: float, width: int, column: str, keep: list[str]
 ) -> Iterator[pa.RecordBatch]:

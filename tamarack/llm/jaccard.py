@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import discard, list_column, mix, shingle_sets, signed, written
+from tamarack.llm.common import discard, list_column, mix, shingle_sets, signed, tidied, written
 from tamarack.llm.components import connected
 
 #: Words per shingle; links ask for 100 * intersection >= 75 * union.
@@ -48,6 +48,7 @@ BLOCK, FILTER_BITS, BROADCAST_ROWS = 2048, 2**26, 2_000_000
 _SALTS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+@tidied
 def _first_pass(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """kind 0: doc_id, set size, two hashes of the set, MinHash bands; kind 1: shingles that are frequent here, with counts."""
     held: list[np.ndarray] = []
@@ -60,9 +61,12 @@ def _first_pass(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
         )
 
     def noted() -> Iterator[pa.RecordBatch]:
-        token, count = np.unique(np.concatenate(held), return_counts=True)
-        token, count = token[count >= NOTED], count[count >= NOTED]
+        token = np.concatenate(held)
         held.clear()
+        token.sort()
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
+        count = np.diff(np.append(first, len(token)))
+        token, count = token[first[count >= NOTED]], count[count >= NOTED]
         if len(token):
             yield rows(len(token), 1, token=pa.array(signed(token)), count=pa.array(count.astype(np.int64)))
 
@@ -110,6 +114,7 @@ def _prefixes(values: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, counts:
     return values[keep], owner[keep]
 
 
+@tidied
 def _shared_batches(
     batches: Iterator[pa.RecordBatch], width: int, buckets: int, tokens: np.ndarray, counts: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
@@ -170,6 +175,7 @@ def _filter_bits(group: pa.Table, buckets: int, bits: int) -> pa.Table:
     return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()), "data": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
 
 
+@tidied
 def _entry_batches(
     batches: Iterator[pa.RecordBatch], width: int, buckets: int, tokens: np.ndarray, counts: np.ndarray, bits: int, kept: dict[int, bytes]
 ) -> Iterator[pa.RecordBatch]:
@@ -196,6 +202,7 @@ def bitmap(values: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+@tidied
 def _bitmap_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, values, sizes in shingle_sets(batch.column(0), width):
@@ -206,6 +213,7 @@ def _bitmap_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[p
             )
 
 
+@tidied
 def _array_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Text, key columns... to key columns and the sorted shingle array as bytes."""
     for batch in batches:
@@ -227,6 +235,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
+@tidied
 def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -237,6 +246,7 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+@tidied
 def _near_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with sizes and bitmaps: those whose bitmaps let them through."""
     for batch in batches:
@@ -287,6 +297,7 @@ def _tile_pairs(side: np.ndarray, classes: np.ndarray, comp: np.ndarray, n: np.n
         yield classes[x[i]], classes[right[j]]
 
 
+@tidied
 def _tile_batches(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by tile; a tile may span batches."""
     held: list[pa.RecordBatch] = []

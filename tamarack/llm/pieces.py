@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tamarack.llm.common import tidy
+from tamarack.llm.common import tidied
 
 SPACE = "▁"
 
@@ -254,10 +254,10 @@ RESULT = T.StructType(
 )
 
 
+@tidied
 def _encode_batches(
     batches: Iterator[pa.RecordBatch], path: str, column: str, keep: list[str], with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    tidy()
     encoder = Encoder(path)
     for batch in batches:
         at = batch.schema.get_field_index(column)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarack.llm.common import crc_fold, discard, tidy, written
+from tamarack.llm.common import crc_fold, discard, tidied, written
 
 #: Letters that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {
@@ -73,9 +73,9 @@ def terms_of(words: set[str]) -> set[str]:
     return out
 
 
+@tidied
 def _count_batches(batches: Iterator[pa.RecordBatch], folds: Sequence[int]) -> Iterator[pa.RecordBatch]:
     """Per term: in how many toxic and clean texts of each fold; text, toxic, fold come in."""
-    tidy()
     counts: Counter = Counter()
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -145,10 +145,10 @@ class Matcher:
         return math.fsum(best.values())
 
 
+@tidied
 def _score_batches(
     batches: Iterator[pa.RecordBatch], lexicons: dict, exceptions: Sequence[str], keep: list[str], column: str, fold: str
 ) -> Iterator[pa.RecordBatch]:
-    tidy()
     matchers = {k: Matcher(v, exceptions) for k, v in lexicons.items()}
     for batch in batches:
         value = []

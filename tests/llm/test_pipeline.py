@@ -74,3 +74,35 @@ def test_odd_rows_pass_all_stages(spark, docs_of, data):
     for _, stage in corpus_pipeline.STAGES:
         empty = written(stage(spark, empty, data), "empty-stage")
     assert empty.count() == 0
+
+
+def test_a_task_leaves_its_worker_tidy():
+    """Arrays in reference cycles are gone when a task of any stage ends, not only when the worker's next task begins."""
+    import gc
+    import weakref
+
+    import numpy as np
+
+    from tamarack.llm import containment, jaccard, pieces, toxicity
+    from tamarack.llm.common import tidied
+
+    left = []
+
+    @tidied
+    def task(batches):
+        class Held:
+            data = np.zeros(1000)
+
+        held = Held()
+        held.own = held
+        left.append(weakref.ref(held))
+        yield from batches
+
+    gc.disable()
+    try:
+        assert list(task(iter([1, 2]))) == [1, 2]
+        assert left[0]() is None
+    finally:
+        gc.enable()
+    for run in (jaccard._first_pass, jaccard._array_batches, containment._mark_batches, toxicity._score_batches, pieces._encode_batches):
+        assert run.__wrapped__
