@@ -324,3 +324,22 @@ def test_curves_have_their_end_points(spark):
     roc = {(r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, "y", "s").collect()}
     assert {(0.0, 0.0), (1.0, 1.0)} <= roc and len(roc) == 5
     assert (1.0, 0.0) in {(r["precision"], r["recall"]) for r in metrics.precision_recall_curve(df, "y", "s").collect()}
+
+
+def test_ranges_of_numbers_are_found_by_search(spark):
+    """Running totals over odd numbers, and without comparing each row with lists of borders."""
+    values = [None, -math.inf, -1.5, -0.0, 1e-300, 2.0, float(2**60), math.inf, math.nan, *np.random.default_rng(4).normal(size=300).tolist()]
+    df = spark.createDataFrame([(v, k + 1) for k, v in enumerate(values)], "v double, n long")
+    got = ordering.running_totals(df, [], "v", ["n"], ranges=40)
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    keyed = sorted(zip(values, range(1, len(values) + 1)), key=lambda p: (p[0] is not None, p[0] is not None and math.isnan(p[0]), p[0] or 0.0))
+    want, before = {}, 0
+    for _, n in keyed:
+        want[n], before = before, before + n
+    assert {r["n"]: r["n_before"] for r in got.collect()} == want and got.select("n_total").distinct().collect() == [(before,)]
+    big = [2**63 - 1, 2**63 - 2, 2**53 + 1, 2**53, -(2**63), 0]
+    longs = ordering.running_totals(spark.createDataFrame([(b, 1) for b in big], "v long, n long"), [], "v", ["n"], ranges=3)
+    assert [r["v"] for r in longs.orderBy("n_before").collect()] == sorted(big)
+    for odd in ([], [(None, 1)], [(math.nan, 1)], [(math.inf, 1)]):
+        rows_ = ordering.running_totals(spark.createDataFrame(odd, "v double, n long"), [], "v", ["n"]).collect()
+        assert [r["n_before"] for r in rows_] == [0] * len(odd)
