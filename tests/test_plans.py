@@ -179,6 +179,31 @@ def test_vote_takes_all_ten(spark, data, monkeypatch):
     assert QUERIES["soft_vote_ensemble"](spark, data).count() > 0 and asked == list(models.TRAINERS)
 
 
+def test_models_train_at_the_same_time(spark, data, monkeypatch):
+    import threading
+
+    meeting = threading.Barrier(3, timeout=60)
+
+    def waits(frame):
+        meeting.wait()
+        return models.decision_tree(frame)
+
+    monkeypatch.setattr(models, "TRAINERS", models.TRAINERS | {"First": waits, "Second": waits, "Third": waits})
+    rows = examples(Tables(spark, data))
+    training = models.train_all(rows, ["Third", "no such model", "First", "Second"])
+    assert [m.name for m in training.fitted] == ["Third", "First", "Second"] and list(training.failed) == ["no such model"]
+    assert [r["Model"] for r in models.leaderboard(training.fitted, rows).collect()] == ["Third", "First", "Second"]
+
+
+def test_boosting_fills_the_slots(spark):
+    from tamarack.operators import boosting
+
+    rows = spark.range(4000).repartition(4).select(F.array([F.rand(k) for k in range(100)]).alias("x"))
+    held = boosting._held(rows)
+    assert held.rdd.getNumPartitions() >= min(3, spark.sparkContext.defaultParallelism)
+    held.unpersist()
+
+
 def test_stages_in_a_spark_pipeline(spark, data):
     from pyspark.ml import Pipeline
 
