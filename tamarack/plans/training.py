@@ -45,12 +45,14 @@ def compare_variants(
 ) -> tuple[DataFrame, DataFrame]:
     """Leaderboards of all variants and the best model of each, written as CSV.
 
-    With ``models`` set, every trained model and the members of the vote are saved below that folder.
+    With ``models`` set, every trained model and the members of the vote are saved below that folder. Models that failed are
+    raised at the end, when all that was trained is written.
     """
-    boards = {}
+    boards, failed = {}, {}
     for variant in variants:
         run = run_variant(read_split(spark, splits, variant, "train"), read_split(spark, splits, variant, "test"), names)
         boards[variant] = run.board
+        failed |= {f"{name} ({variant})": reason for name, reason in run.training.failed.items()}
         write_leaderboard(run.board, f"{reports}/{variant.lower()}/model_comparison")
         for fitted in run.training.fitted:
             if models:
@@ -59,6 +61,7 @@ def compare_variants(
             save_ensemble(spark, run.members, f"{models}/{variant.lower()}/ensemble")
     combined = combine_boards(boards)
     write_leaderboard(combined, f"{reports}/all_model_comparison")
+    Training(failed=failed).whole()
     return combined, best_per_variant(combined)
 
 

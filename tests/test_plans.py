@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tamarack.catalog.learn import examples, feature_config
@@ -11,6 +12,7 @@ from tamarack.catalog.registry import QUERIES, Tables, movies_of, reviews_of
 from tamarack.operators import models, tuning
 from tamarack.operators.factors import fit_pca
 from tamarack.operators.splitting import train_test_split
+from tamarack.plans import training as training_plan
 from tamarack.plans.explore import engineered_report, initial_report, pair_sample
 from tamarack.plans.features import build_features
 from tamarack.plans.ingest import clean_movies, clean_reviews
@@ -179,6 +181,23 @@ def test_vote_takes_all_ten(spark, data, monkeypatch):
     assert QUERIES["soft_vote_ensemble"](spark, data).count() > 0 and asked == list(models.TRAINERS)
 
 
+def test_a_vote_without_one_of_the_ten_is_no_result(spark, data, monkeypatch, tmp_path):
+    def broken(frame):
+        raise ValueError("no such leaf")
+
+    quick = {name: models.TRAINERS["Decision Tree"] for name in models.TRAINERS}
+    monkeypatch.setattr(models, "TRAINERS", quick | {"AdaBoost": broken})
+    with pytest.raises(RuntimeError, match="AdaBoost could not be trained: ValueError: no such leaf"):
+        QUERIES["soft_vote_ensemble"](spark, data)
+    rows = spark.range(40).selectExpr("id row_id", "cast(id % 2 as int) label", "array(cast(id % 2 as double), 1D) x").select(
+        "row_id", "label", array_to_vector("x").alias("features")
+    )
+    monkeypatch.setattr(training_plan, "read_split", lambda *a: rows)
+    with pytest.raises(RuntimeError, match=r"AdaBoost \(BASE\) could not be trained"):
+        compare_variants(spark, "", str(tmp_path), ["BASE"], ["Decision Tree", "AdaBoost"])
+    assert readers.read_leaderboard(spark, str(tmp_path / "all_model_comparison")).count() == 1
+
+
 def test_models_train_at_the_same_time(spark, data, monkeypatch):
     import threading
 
