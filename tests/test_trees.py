@@ -1,10 +1,12 @@
 """Trees of many fits, grown inside the tasks, against Spark's trees of single fits."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 
-from tamarack.operators import trees, tuning
+from tamarack.operators import metrics, trees, tuning
 from tamarack.session import cut_lineage
 
 TREE = {"max_depth": 4, "min_samples_leaf": 3, "max_features": None, "class_weight": None, "criterion": "gini"}
@@ -83,3 +85,67 @@ def test_leaves_of_one_class_merge_and_blocks_change_nothing(monkeypatch):
     assert (np.bincount(leaf, y, len(s)) == np.where(np.bincount(leaf, minlength=len(s)) > 0, s, 0)).all()
     monkeypatch.setattr(trees, "BLOCK_VALUES", 2 * 4 * trees.BINS)
     assert (trees.predicted(rows, y, train, held, recipe) == want).all()
+
+
+@pytest.mark.parametrize(
+    "name, params",
+    [
+        ("Decision Tree", TREE),
+        ("Random Forest", TREE | {"n_estimators": 40, "bootstrap": True, "max_samples": 0.8, "max_features": "sqrt", "criterion": "entropy"}),
+        ("AdaBoost", {"n_estimators": 12, "learning_rate": 0.8, "base_depth": 2}),
+        ("XGBoost", BOOST | {"colsample_bytree": 1.0, "min_child_weight": 2, "scale_pos_weight": 5}),
+        ("LightGBM", BOOST | {"colsample_bytree": 0.7, "min_child_samples": 10, "class_weight": "balanced"}),
+        ("Gradient Boosting", BOOST | {"max_features": None, "min_samples_leaf": 2, "validation_fraction": 0.2, "tol": 1e-4}),
+    ],
+)
+def test_a_model_grown_in_a_task_is_sparks_model(spark, blobs, name, params, tmp_path):
+    fit = tuning.BUILDERS[name](params)
+    want, got = fit.alone(blobs), fit(blobs)
+    assert type(got.model) is type(want.model) and got.has_probability
+    scores = {m: {r["row_id"]: r["score"] for r in f.score(blobs).collect()} for m, f in (("want", want), ("got", got))}
+    apart = [abs(scores["want"][i] - scores["got"][i]) for i in scores["want"]]
+    assert len(apart) == 500 and np.mean(apart) < (1e-9 if params == TREE or name == "Gradient Boosting" else 0.1)
+    f1 = [metrics.binary_scores(f.score(blobs), "label", "prediction").first()["f1"] for f in (want, got)]
+    assert f1[0] == pytest.approx(f1[1], abs=1e-9 if params == TREE or name == "Gradient Boosting" else 0.05)
+    x = np.array([r["x"] for r in blobs.select("row_id", vector_to_array("features").alias("x")).orderBy("row_id").collect()])
+    if name in ("Decision Tree", "XGBoost"):  # drawn alike, so the kept trees say what the counts of a search say
+        y = np.array([float(i % 3 == 0) for i in range(500)])
+        says = trees.predicted(trees.Rows(trees.binned(x, np.ones(500, bool))), y, np.ones(500, bool), np.zeros(500), fit.recipe())
+        assert [r["prediction"] for r in got.score(blobs).orderBy("row_id").collect()] == says.astype(float).tolist()
+    if name == "Random Forest":
+        assert got.model.getNumTrees == 40 and sum(got.model.featureImportances) == pytest.approx(1) and got.model.getImpurity() == "entropy"
+    elif name == "LightGBM":
+        assert got.model.treeWeights == want.model.treeWeights
+    elif name == "AdaBoost":
+        assert len(got.model.trees) == len(want.model.trees)
+
+
+def test_sums_of_larger_children_are_those_counted(monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(900, 6)), 1)
+    y = (x[:, 0] * x[:, 1] + 0.3 * rng.normal(size=900) > 0).astype(float)
+    rows, c = trees.Rows(trees.binned(x, np.ones(900, bool))), rng.poisson(1.0, 900).astype(float)
+    weight = np.where(y > 0.5, 3.0, 0.5)
+    target = c * weight * (y - 0.5) * rng.integers(1, 5, 900)  # sums of these are exact
+    cases = [
+        (c * weight, c * weight * y, c, trees.Recipe("forest", 1, 8, 2, bootstrap=True, entropy=e), True, (0.5, 3.0)) for e in (False, True)
+    ] + [
+        (np.ones(900), (y - 0.5) * rng.integers(1, 5, 900), np.ones(900), trees.Recipe("boosted", 1, 8, 3), False, (1.0, 1.0)),
+        (weight, weight * y, np.ones(900), trees.Recipe("ada", 1, 8), True, None),
+        ((c > 0) * weight, (c > 0) * target, (c > 0).astype(float), trees.Recipe("boosted", 1, 8, 1, 0.7), False, (0.5, 3.0)),
+    ]
+    for kept in (0, 1 << 30):
+        monkeypatch.setattr(trees, "KEPT_ROWS", kept)
+        grown = [rows.tree(*case[:4], np.random.default_rng(2), *case[4:]) for case in cases]
+        if kept:
+            for (one, tree), (other, same) in zip(first, grown):
+                assert (one == other).all() and (tree.sums == same.sums).all() and (tree.left == same.left).all() and len(tree.left) > 9
+        first = grown
+
+
+def test_no_model_that_fits_in_a_task_is_left_to_spark(blobs):
+    def alone(frame):
+        raise AssertionError("fitted by Spark")
+
+    fit = tuning.BUILDERS["Decision Tree"](TREE)
+    assert replace(fit, alone=alone)(blobs).score(blobs).count() == 500
